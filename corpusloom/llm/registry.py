@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import quality_rules, simhash
+from corpusloom.llm import bpe, quality_rules, secrets, sharding, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +21,26 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.secret_spans(documents(spark, sf_dir)))
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.round_trip(documents(spark, sf_dir), vocabulary_path()))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_secrets, op5_bpe, op6_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
