@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, quality_rules, secrets, sharding, simhash
+from corpusloom.llm import bpe, decontaminate, language_id, quality_rules, secrets, sharding, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +39,18 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.drop("text_hash")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_id.identify(docs, *language_id.learn(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_secrets, op5_bpe, op6_sharding)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
