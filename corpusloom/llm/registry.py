@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, decontaminate, language_id, quality_rules, secrets, sharding, simhash
+from corpusloom.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,13 +44,23 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_classifier.classify(docs, quality_classifier.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.classify(docs, toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return language_id.identify(docs, *language_id.learn(docs))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op10_language)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op8_quality, op9_toxicity, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
