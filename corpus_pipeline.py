@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import quality_rules, simhash
+from corpusloom.llm import bpe, decontaminate, quality_rules, registry, secrets, simhash
 from corpusloom.llm.common import scratch_root
 
 
@@ -20,7 +20,23 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_of_each_group(docs)
 
 
-STAGES = [("quality rules", rules), ("near duplicates", dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, and the digests of ids and of the text decoded from them."""
+    coded = bpe.round_trip(docs, registry.vocabulary_path())
+    return bpe.digests(coded, keep_ids=True)
+
+
+STAGES = [("quality rules", rules), ("near duplicates", dedup), ("decontamination", decontamination), ("secret scan", secret_scan), ("tokens", tokens)]
 
 #: Stages decode and hash text in Python, which SQL cannot express.
 ORACLE_SQL = None

@@ -274,7 +274,7 @@ def round_trip(documents: DataFrame, vocabulary_path: str, *, decoded: bool = Tr
     return rows_of(documents, **cols).mapInArrow(encoded, schema)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, *, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of the ids (decimal, comma-joined) and of the decoded text."""
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", *["ids"] * keep_ids, F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, secrets, sharding, simhash, toxicity
+from corpusloom.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(documents(spark, sf_dir)))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.secret_spans(documents(spark, sf_dir)))
 
@@ -60,7 +64,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op8_quality, op9_toxicity, op10_language)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_suffix_dedup, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op8_quality, op9_toxicity, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
