@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+from importlib import import_module
 
-def queries() -> dict:
-    return {}
+from corpusloom.queries.base import ORACLES, QUERIES, Query
 
+MODULES = ("text",)
 
-def oracle_sql() -> dict:
-    return {}
+
+def _load() -> None:
+    for name in MODULES:
+        import_module(f"corpusloom.queries.{name}")
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    _load()
+    return dict(ORACLES)
