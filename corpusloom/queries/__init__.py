@@ -6,7 +6,7 @@ from importlib import import_module
 
 from corpusloom.queries.base import ORACLES, QUERIES, Query
 
-MODULES = ("text", "vectors")
+MODULES = ("text", "vectors", "graph")
 
 
 def _load() -> None:
