@@ -6,7 +6,7 @@ from importlib import import_module
 
 from corpusloom.queries.base import ORACLES, QUERIES, Query
 
-MODULES = ("text", "vectors", "graph", "bundle")
+MODULES = ("text", "vectors", "graph", "bundle", "blocks")
 
 
 def _load() -> None:
