@@ -7,29 +7,35 @@ import numpy as np
 SHARD_BYTES = 1 << 16
 
 
-def _shard_order(text: np.ndarray) -> np.ndarray:
-    """The order of all cyclic suffixes of one shard, by doubling the length they are sorted by.
+def _shard_order(text: np.ndarray, depth: int = 128) -> np.ndarray:
+    """The order of all suffixes of one shard by their first `depth` symbols or more.
 
-    text holds strings that each end in 0; bytes are raised by one. Ties after the last doubling
-    (256 symbols) stay in text order, which is all that a merge up to a smaller depth needs.
+    Seven symbols of nine bits are sorted as one number; then the length doubles, and only
+    suffixes that still share their rank are sorted again, by the rank of what follows.
     """
     n = len(text)
-    rank = text.astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    width = 1
-    while width < 256:
-        following = np.empty(n, dtype=np.int64)
-        following[: n - width] = rank[width:] + 1 if width < n else 0
-        following[max(n - width, 0) :] = 0
-        key = rank * (n + 257) + following
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, dtype=np.int64)
-        step = np.zeros(n, dtype=np.int64)
-        step[1:] = key[order[1:]] != key[order[:-1]]
-        new[order] = np.cumsum(step)
-        rank = new
-        if n == 0 or rank[order[-1]] == n - 1:
+    padded = np.concatenate([text, np.zeros(8, dtype=text.dtype)]).astype(np.int64)
+    key = np.zeros(n, dtype=np.int64)
+    for k in range(7):
+        key = key << 9 | padded[k : k + n]
+    order = np.argsort(key)
+    rank = np.zeros(n + 1, dtype=np.int64)
+    slots, width = np.arange(n), 7
+    key = key[order]
+    while len(slots):
+        new = np.ones(len(slots) + 1, dtype=bool)
+        new[1:-1] = key[1:] != key[:-1]
+        head = np.maximum.accumulate(np.where(new[:-1], slots, 0))
+        rank[order[slots]] = head + 1
+        tied = ~(new[:-1] & new[1:])
+        slots = slots[tied]
+        if width >= depth or not len(slots):
             break
+        held = order[slots]
+        key = rank[held] * (n + 2) + rank[np.minimum(held + width, n)]
+        sort = np.argsort(key)
+        order[slots] = held[sort]
+        key = key[sort]
         width *= 2
     return order
 
@@ -62,21 +68,21 @@ def repeated_intervals(shards: list[np.ndarray], depth: int) -> tuple[np.ndarray
         at += len(text)
     if not at:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    last, first, suffix = (np.concatenate(x) for x in (last, first, suffix))
-    merged = np.arange(at)
-    interval = np.zeros(at, dtype=np.int64)
+    last = np.concatenate(last)
+    first, suffix = (np.concatenate(x).astype(np.int32) for x in (first, suffix))
+    merged = np.arange(at, dtype=np.int32)
+    interval = np.zeros(at, dtype=np.int32)
     for _ in range(depth):
         symbol = last[merged]
-        inside = symbol > 0
-        merged, interval, symbol = merged[inside], interval[inside], symbol[inside]
-        order = np.argsort(symbol, kind="stable")
-        merged, interval, symbol = first[merged[order]], interval[order], symbol[order]
-        n = len(merged)
+        # Suffixes at a string's end sort first and are cut off.
+        order = np.argsort(symbol, kind="stable")[np.count_nonzero(symbol == 0) :]
+        interval, symbol = interval[order], symbol[order]
+        n = len(order)
         new = np.ones(n + 1, dtype=bool)
         new[1:n] = (interval[1:] != interval[:-1]) | (symbol[1:] != symbol[:-1])
-        keep = ~(new[:-1] & new[1:])
-        interval = np.cumsum(new[:-1])[keep]
-        merged = merged[keep]
+        keep = np.flatnonzero(~(new[:-1] & new[1:]))
+        interval = np.cumsum(new[:-1], dtype=np.int32)[keep]
+        merged = first[merged[order[keep]]]
         if not len(merged):
             break
     return suffix[merged], interval

@@ -22,7 +22,7 @@ LENGTH = 100
 GRAM = 20
 SPAN = LENGTH - GRAM + 1
 #: Fragments are merged in groups of about so many bytes, cut where the hash changes.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 19
 #: A hash with more distinct fragments than this is dealt out by the strings themselves.
 CROWDED = 20_000
 
@@ -127,7 +127,7 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         copy = np.concatenate([[bool(again[:1].any()) and all(prior[k] == c[k][0] for k in place)], equal & np.all([c[k][1:] == c[k][:-1] for k in place], axis=0)])[:n]
         keep = np.flatnonzero((left | right | c["own"][:n].astype(bool)) & ~copy)
         doc = pa.array(c["doc_id"][keep], mask=c["null"][keep], type=pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c["value"][keep]), doc, pa.array(c["tie"][keep]), pa.array(c["start"][keep]), pa.array(c["count"][keep]), pa.array(~again[keep])], names=["value", "doc_id", "tie", "start", "count", "first"])
+        return pa.RecordBatch.from_arrays([pa.array(c["value"][keep]), doc, pa.array(c["tie"][keep]), pa.array(c["start"][keep]), pa.array(c["count"][keep]), pa.array(~again[keep]), pa.array(c["own"][keep].astype(bool))], names=["value", "doc_id", "tie", "start", "count", "first", "own"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -199,9 +199,8 @@ def _covered(rows: list[tuple]) -> list[tuple]:
     shards += [part] if part else []
     coded = []
     for s in shards:
-        flat = np.frombuffer(b"".join(x + b"\xff" for x in s), dtype=np.uint8).astype(np.int16) + 1
-        flat[np.cumsum([len(x) + 1 for x in s]) - 1] = 0
-        coded.append(flat.astype(np.uint16))
+        # Bytes of UTF-8 stay below 0xff, so that one more than each fits and 0 ends a string.
+        coded.append(np.frombuffer(b"".join(x + b"\xff" for x in s), dtype=np.uint8) + np.uint8(1))
     suffix, interval = repeated_intervals(coded, LENGTH)
     if not len(suffix):
         return []
@@ -290,10 +289,11 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: st
     texts = _keyed(documents, id_col, text_col)
     found = texts.select("doc_id", "tie", "text").mapInArrow(_fragment_rows, _FRAGMENT)
     ordered = found.repartition("value").sortWithinPartitions(*[F.expr(x) for x in _ORDER])
-    repeated = materialise(ordered.mapInArrow(_repeated_rows, "value long, doc_id long, tie int, start int, count int, first boolean"), "fragments")
+    repeated = materialise(ordered.mapInArrow(_repeated_rows, "value long, doc_id long, tie int, start int, count int, first boolean, own boolean"), "fragments")
     first = repeated.where("first")
-    hot = first.groupBy("value").count().where(F.col("count") > crowded).select(F.col("value").alias("hot"))
-    marks = first.join(hot, F.col("value") == F.col("hot"), "left").withColumn("crowded", F.col("hot").isNotNull())
+    # A hash that one content alone has gives its copies nothing to be merged with.
+    varied = first.groupBy("value").agg(F.count("*").alias("contents"), F.bool_or("own").alias("own")).where("contents > 1 or own")
+    marks = first.drop("own").join(varied.select("value", (F.col("contents") > crowded).alias("crowded")), "value")
     cut = _by_document(texts, marks, ["value", "start", "count", "crowded"]).mapInArrow(_cut_out, "value long, part int, doc_id long, tie int, start int, raw binary")
     covered = cut.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie int, begin int, end int")
     copies = repeated.where("not first").select("doc_id", "tie", F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + LENGTH).cast("int").alias("end"))
