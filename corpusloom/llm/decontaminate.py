@@ -178,5 +178,6 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "d
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without the leaks; the columns stay."""
-    leaks = contaminated(documents, benchmark, **options).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return documents.join(leaks, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    leaks = contaminated(documents, benchmark, **options).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key_id"), F.xxhash64("text").alias("key_hash"))
+    return rows.join(leaks, F.col("key_id").eqNullSafe(F.col("leak_id")) & (F.col("key_hash") == F.col("leak_hash")), "left_anti").select("row.*")

@@ -153,23 +153,21 @@ def quality_rules(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 def remove_lines(documents: DataFrame, *, host_col: str = "source", **limits) -> DataFrame:
     """The documents that are kept, without the removed lines; the columns stay those of documents."""
-    names = documents.columns
     measured = line_measures(documents, host_col=host_col)
     judged = verdicts(measured, frequent_lines(measured, **limits))
     # Equal rows get equal verdicts, so one verdict for each id, text and host is enough.
-    verdict = judged.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("host").alias("_host")).agg(F.first("kept").alias("_kept"), F.first("removed_lines").alias("_lines"))
-    mark = verdict.where(~F.col("_kept") | F.col("_lines").isNotNull())
-    rows = documents.withColumn("_hash", F.xxhash64("text"))
-    joined = rows.join(mark, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")) & F.col(host_col).cast("string").eqNullSafe(F.col("_host")), "left").where(F.coalesce("_kept", F.lit(True)))
-    shorter = joined.select(*names, "_lines").mapInArrow(_without_lines, documents.schema)
-    return shorter
+    verdict = judged.groupBy(F.col("doc_id").alias("v_id"), F.col("text_hash").alias("v_text"), F.col("host").alias("v_host")).agg(F.first("kept").alias("kept"), F.first("removed_lines").alias("lines"))
+    mark = verdict.where(~F.col("kept") | F.col("lines").isNotNull())
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.col(host_col).cast("string").alias("host"))
+    joined = rows.join(mark, F.col("id").eqNullSafe(F.col("v_id")) & (F.col("hash") == F.col("v_text")) & F.col("host").eqNullSafe(F.col("v_host")), "left").where(F.coalesce("kept", F.lit(True)))
+    return joined.select("row", "lines").mapInArrow(_without_lines, documents.schema)
 
 
 def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        marks = batch.column("_lines").to_pylist()
-        names = [n for n in batch.schema.names if n != "_lines"]
-        cols = {n: batch.column(n) for n in names}
+        rows, marks = batch.column("row"), batch.column("lines").to_pylist()
+        names = [f.name for f in rows.type]
+        cols = dict(zip(names, rows.flatten(), strict=True))
         if any(marks):
             texts = cols["text"].to_pylist()
             sizes = cols["n_chars"].to_pylist() if "n_chars" in cols else None
@@ -186,7 +184,6 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _kept_lines(text: str, gone: set[int]) -> list[str]:
     lines = text.split("\n")
-    hashes = iter(())
-    _, _, block = next(blocks(pa.array(["\n".join(lines)])))
+    _, _, block = next(blocks(pa.array([text])))
     hashes = iter(signed(measure(block)["line_hash"]).tolist())
     return [line for line in lines if not line.encode().split() or next(hashes) not in gone]

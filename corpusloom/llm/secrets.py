@@ -106,21 +106,20 @@ def digests(spans: DataFrame) -> DataFrame:
 
 def redact(documents: DataFrame, *, owner_col: str = "source") -> DataFrame:
     """The documents with every span replaced by a mark; the columns stay those of documents."""
-    names = documents.columns
     spans = secret_spans(documents, owner_col=owner_col)
-    hit = spans.where(F.size("base") + F.size("owned") > 0).select(F.col("doc_id").alias("_id"), F.col("owner").alias("_owner"), F.col("text_hash").alias("_hash"), F.array_sort(F.concat("base", "owned")).alias("_spans")).distinct()
-    rows = documents.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col(owner_col).cast("string").eqNullSafe(F.col("_owner")) & (F.col("_text_hash") == F.col("_hash"))
-    joined = rows.join(hit, same, "left")
+    hit = spans.where(F.size("base") + F.size("owned") > 0).select(F.col("doc_id").alias("s_id"), F.col("owner").alias("s_owner"), F.col("text_hash").alias("s_hash"), F.array_sort(F.concat("base", "owned")).alias("spans")).distinct()
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.col(owner_col).cast("string").alias("owner"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.col("text").alias("body"))
+    joined = rows.join(hit, F.col("id").eqNullSafe(F.col("s_id")) & F.col("owner").eqNullSafe(F.col("s_owner")) & (F.col("hash") == F.col("s_hash")), "left")
 
     def step(state: Column, x: Column) -> Column:
         # A span that begins inside the one before only carries the mark's end on.
-        lead = F.when(x["start"] >= state["at"], F.concat(F.substring(F.col("text"), state["at"] + 1, x["start"] - state["at"]), F.lit(REDACTED))).otherwise(F.lit(""))
+        lead = F.when(x["start"] >= state["at"], F.concat(F.substring(F.col("body"), state["at"] + 1, x["start"] - state["at"]), F.lit(REDACTED))).otherwise(F.lit(""))
         return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.concat(state["out"], lead).alias("out"))
 
     start = F.struct(F.lit(0).cast("int").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("_spans", start, step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    out = joined.withColumn("text", F.when(F.col("_spans").isNotNull(), clean).otherwise(F.col("text")))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*names)
+    clean = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(F.col("body"), s["at"] + 1, F.length("body"))))
+    hidden = joined.select("row", F.col("spans").isNotNull().alias("hit"), F.when(F.col("spans").isNotNull(), clean).otherwise(F.col("body")).alias("body"))
+    put = {"text": F.col("body")}
+    if "n_chars" in documents.columns:
+        put["n_chars"] = F.when(F.col("hit"), F.length("body").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("row")["n_chars"])
+    return hidden.select(*[put.get(c, F.col("row")[c]).alias(c) for c in documents.columns])

@@ -185,6 +185,6 @@ def near_duplicates(documents: DataFrame, **cols) -> DataFrame:
 def one_of_each_group(documents: DataFrame) -> DataFrame:
     """The documents whose id is their component's smallest; equal rows stay once, rows without an id stay."""
     found = near_duplicates(documents)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = documents.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key_id"), F.col("text").alias("key_text"))
+    return rows.join(gone, F.col("key_id") == F.col("gone_id"), "left_anti").dropDuplicates(["key_id", "key_text"]).select("row.*")
