@@ -138,7 +138,7 @@ def temporal_factor(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), factors.temporal(F.year("o_orderdate"), 1995).alias("temporal"))
 
 
-@query("structural_factor", r"SELECT p_partkey AS chunk_id, CASE WHEN regexp_matches(p_type, '(?i)^\s*(?:STANDARD|SMALL)') THEN 0.3 WHEN regexp_matches(p_type, '(?i)^\s*(?:ECONOMY)') THEN 1.0 WHEN regexp_matches(p_brand, '(?i)^\s*(?:STANDARD|SMALL)') THEN 0.3 WHEN regexp_matches(p_brand, '(?i)^\s*(?:ECONOMY)') THEN 1.0 WHEN p_type <> '' OR p_brand <> '' THEN 0.6 END AS structural FROM part")
+@query("structural_factor", r"SELECT p_partkey AS chunk_id, CAST(CASE WHEN regexp_matches(p_type, '(?i)^\s*(?:STANDARD|SMALL)') THEN 0.3 WHEN regexp_matches(p_type, '(?i)^\s*(?:ECONOMY)') THEN 1.0 WHEN regexp_matches(p_brand, '(?i)^\s*(?:STANDARD|SMALL)') THEN 0.3 WHEN regexp_matches(p_brand, '(?i)^\s*(?:ECONOMY)') THEN 1.0 WHEN p_type <> '' OR p_brand <> '' THEN 0.6 END AS DOUBLE) AS structural FROM part")
 def structural_factor(spark: SparkSession, d: str) -> DataFrame:
     score = factors.structural(F.col("p_brand"), F.col("p_type"), ["STANDARD", "SMALL"], ["ECONOMY"])
     return table(spark, d, "part").select(F.col("p_partkey").alias("chunk_id"), score.alias("structural"))

@@ -141,7 +141,7 @@ def completeness_factor(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("topical_factor", rf"""WITH a AS (SELECT doc_id, CASE WHEN strpos(text, chr(10)) > 0 THEN string_split(text, chr(10))[1] END AS about FROM documents)
-SELECT doc_id, CASE WHEN about IS NULL THEN NULL WHEN regexp_replace(about, '^\s+|\s+$', '', 'g') = '' THEN 0.0 WHEN len({WORDS.replace('text', 'about')}) < 2 THEN 0.2 ELSE 1.0 END AS topical FROM a""")
+SELECT doc_id, CAST(CASE WHEN about IS NULL THEN NULL WHEN regexp_replace(about, '^\s+|\s+$', '', 'g') = '' THEN 0.0 WHEN len({WORDS.replace('text', 'about')}) < 2 THEN 0.2 ELSE 1.0 END AS DOUBLE) AS topical FROM a""")
 def topical_factor(spark: SparkSession, d: str) -> DataFrame:
     about = F.when(F.instr("text", "\n") > 0, F.split("text", "\n")[0])
     return table(spark, d, "documents").select("doc_id", factors.topical(about).cast("double").alias("topical"))
