@@ -292,7 +292,8 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: st
     repeated = materialise(ordered.mapInArrow(_repeated_rows, "value long, doc_id long, tie int, start int, count int, first boolean, own boolean"), "fragments")
     first = repeated.where("first")
     # A hash that one content alone has gives its copies nothing to be merged with.
-    varied = first.groupBy("value").agg(F.count("*").alias("contents"), F.bool_or("own").alias("own")).where("contents > 1 or own")
+    # As a table of its own it leaves the join below free to split a hash that many fragments have.
+    varied = materialise(first.groupBy("value").agg(F.count("*").alias("contents"), F.bool_or("own").alias("own")).where("contents > 1 or own"), "varied")
     marks = first.drop("own").join(varied.select("value", (F.col("contents") > crowded).alias("crowded")), "value")
     cut = _by_document(texts, marks, ["value", "start", "count", "crowded"]).mapInArrow(_cut_out, "value long, part int, doc_id long, tie int, start int, raw binary")
     covered = cut.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie int, begin int, end int")
