@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import materialise
+
 #: Fixed patterns. The keywords are matched in either case of their letters.
 ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: A greedy run of enough characters: the same matches as all runs, of which the short ones go.
@@ -88,7 +90,8 @@ def secret_spans(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     they are; equal rows count once as holders. An empty table gives no rows. Other columns are
     ignored. Long texts are searched whole.
     """
-    found = spans_of(documents, id_col=id_col, text_col=text_col, owner_col=owner_col)
+    # The texts are searched once: what is found is far smaller and is read several times.
+    found = materialise(spans_of(documents, id_col=id_col, text_col=text_col, owner_col=owner_col), "secrets")
     rare = ownership(found).where((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).select("secret")
     token = found.where(F.size("tokens") > 0).select("doc_id", "owner", "text_hash", F.explode("tokens").alias("x")).distinct()
     own = token.withColumn("secret", F.sha2("x.value", 256)).join(rare, "secret", "left_semi")
