@@ -24,7 +24,7 @@ SPAN = LENGTH - GRAM + 1
 #: Fragments are merged in groups of about so many bytes, cut where the hash changes.
 GROUP_BYTES = 1 << 19
 #: A hash with more distinct fragments than this is dealt out by the strings themselves.
-CROWDED = 1000
+CROWDED = 20_000
 
 
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
