@@ -153,8 +153,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "d
     """
     items = benchmark.select(F.col(item_col).alias("id"), F.col("text"))
     asked = template_windows(items, None, None).withColumnRenamed("id", "item_id")
-    keys = asked.select("hash", "width").distinct().limit(broadcast_windows + 1).collect()
-    bounded = len(keys) <= broadcast_windows
+    # All windows count, not only distinct ones: items with equal texts are sent to the tasks as well.
+    bounded = asked.limit(broadcast_windows + 1).count() <= broadcast_windows
+    keys = asked.select("hash", "width").distinct().collect() if bounded else []
     known = np.unique(np.array([k.hash for k in keys], dtype=np.int64).view(np.uint64)) if bounded else None
     widths = sorted({k.width for k in keys}) if bounded else list(range(LEAST_WORDS, WINDOW + 1))
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
