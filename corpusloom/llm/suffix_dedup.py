@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -174,17 +175,15 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if crowded:
                         for s in range(start, start + count):
                             part = raw[s : s + LENGTH]
-                            out.append((value, int.from_bytes(hashlib.blake2b(part, digest_size=3).digest(), "big"), doc, tie, s, part))
+                            out.append((value, int.from_bytes(hashlib.blake2b(part, digest_size=3).digest(), "big"), doc, tie, s, None, part))
                     else:
-                        out.append((value, -1, doc, tie, start, raw[start : start + count - 1 + LENGTH]))
+                        out.append((value, -1, doc, tie, start, None, raw[start : start + count - 1 + LENGTH]))
                 marks = []
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        columns = zip(*out, strict=True) if out else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, kinds, strict=True)], names=["value", "part", "doc_id", "tie", "start", "raw"])
+        yield _record(out, _CUT_NAMES, _CUT_TYPES)
 
 
-def _covered(rows: list[tuple]) -> list[tuple]:
-    """(doc_id, tie, begin, end) of the starts whose string also starts earlier.
+def _repeats(rows: list[tuple]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """The documents in order; the places of strings that also start earlier; each row's first place.
 
     rows: doc_id, tie, start and bytes of distinct fragments. Their shards are transformed and
     merged; in each repeated interval the earliest suffix stays.
@@ -202,48 +201,123 @@ def _covered(rows: list[tuple]) -> list[tuple]:
         # Bytes of UTF-8 stay below 0xff, so that one more than each fits and 0 ends a string.
         coded.append(np.frombuffer(b"".join(x + b"\xff" for x in s), dtype=np.uint8) + np.uint8(1))
     suffix, interval = repeated_intervals(coded, LENGTH)
-    if not len(suffix):
-        return []
-    begins = np.cumsum([0, *[len(r[3]) + 1 for r in rows[:-1]]])
-    owner = np.searchsorted(begins, suffix, side="right") - 1
     docs = sorted({(r[0] is None, r[0] or 0, r[1]) for r in rows})
     rank_of = {d: i for i, d in enumerate(docs)}
-    rank = np.array([rank_of[(r[0] is None, r[0] or 0, r[1])] for r in rows])[owner]
-    place = np.array([r[2] for r in rows])[owner] + suffix - begins[owner]
-    key = rank.astype(np.int64) << 32 | place
+    rank = np.array([rank_of[(r[0] is None, r[0] or 0, r[1])] for r in rows], dtype=np.int64)
+    starts = np.array([r[2] for r in rows], dtype=np.int64)
+    begins = np.cumsum([0, *[len(r[3]) + 1 for r in rows[:-1]]])
+    owner = np.searchsorted(begins, suffix, side="right") - 1
+    key = rank[owner] << 32 | starts[owner] + suffix - begins[owner]
     order = np.lexsort((key, interval))
     later = np.zeros(len(order), dtype=bool)
     later[1:] = (interval[order[1:]] == interval[order[:-1]])
-    cover = np.unique(key[order[later]])
+    return docs, np.unique(key[order[later]]), rank << 32 | starts
+
+
+def _covered(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """(doc_id, tie, begin, end) of the starts whose string also starts earlier; the rows that begin with no such start."""
+    docs, cover, places = _repeats(rows)
+    if not len(cover):
+        return [], rows
     cut = np.flatnonzero(np.diff(cover) != 1) + 1
     out = []
     for a, b in zip(np.append(0, cut), np.append(cut, len(cover)), strict=True):
         null, doc, tie = docs[int(cover[a] >> 32)]
         out.append((None if null else doc, tie, int(cover[a] & 0xFFFFFFFF), int(cover[b - 1] & 0xFFFFFFFF) + LENGTH))
-    return out
+    return out, [rows[i] for i in np.flatnonzero(~np.isin(places, cover))]
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of whole hashes, each merged apart; batches come sorted by hash."""
+_CUT = "value long, part int, doc_id long, tie int, start int, end int, raw binary"
+_CUT_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+_CUT_NAMES = ["value", "part", "doc_id", "tie", "start", "end", "raw"]
+_SPAN_NAMES = ["doc_id", "tie", "begin", "end"]
+
+
+def _record(rows: list[tuple], names: list[str], types: tuple) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, types, strict=True)], names=names)
 
-    def result(rows: list[tuple]) -> pa.RecordBatch:
-        cover = _covered(rows)
-        columns = zip(*cover, strict=True) if cover else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True)], names=["doc_id", "tie", "begin", "end"])
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[tuple]]]:
+    """Covered spans, and rows (value, part, doc_id, tie, start, raw) that stay, of groups of whole keys.
+
+    A group ends where (value, part) changes. Within a crowded hash, whose rows are one string
+    each, a full group is merged at once and the earliest row of each string alone goes on.
+    """
     group: list[tuple] = []
-    size, key = 0, None
+    keys: list[tuple] = []
+    size, limit, key = 0, GROUP_BYTES, None
+
+    def kept(rows: list[tuple]) -> list[tuple]:
+        # Rows of one place may lie in a group under one key only, so a place tells its key.
+        held = {(r[0], r[1], r[2]) for r in rows}
+        return [(*k, *r) for k, r in zip(keys, group, strict=True) if (r[0], r[1], r[2]) in held]
+
     for batch in batches:
         cols = [batch.column(c).to_pylist() for c in ("value", "part", "doc_id", "tie", "start", "raw")]
         for value, part, doc, tie, start, raw in zip(*cols, strict=True):
-            if size >= GROUP_BYTES and (value, part) != key:
-                yield result(group)
-                group, size = [], 0
+            if size >= limit and ((value, part) != key or part >= 0):
+                cover, rows = _covered(group)
+                if (value, part) != key:
+                    yield cover, kept(rows)
+                    group, keys, size, limit = [], [], 0, GROUP_BYTES
+                else:
+                    stay = kept(rows)
+                    yield cover, [r for r in stay if r[:2] != key]
+                    stay = [r for r in stay if r[:2] == key]
+                    keys, group = [r[:2] for r in stay], [r[2:] for r in stay]
+                    size = sum(len(r[3]) for r in group)
+                    # If most strings differ, the next merge waits until the group has doubled.
+                    limit = max(GROUP_BYTES, 2 * size)
             key = (value, part)
+            keys.append(key)
             group.append((doc, tie, start, raw))
             size += len(raw)
+        yield [], []  # lets the caller pass on what it has set aside of the batch
     if group:
-        yield result(group)
+        cover, rows = _covered(group)
+        yield cover, kept(rows)
+
+
+def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's documents: the fragments, and one row of each string of a crowded hash.
+
+    However many documents hold a string, one row a task is dealt out. The spans that its other
+    rows cover go along under their document's hash, without bytes.
+    """
+
+    def crowded() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alone = pc.less(batch.column("part"), 0)
+            through.append(batch.filter(alone))
+            yield batch.filter(pc.invert(alone))
+
+    through: list[pa.RecordBatch] = []
+    for cover, rows in _groups(crowded()):
+        yield from through
+        through.clear()
+        spans = [(hash((doc, tie)), -1, doc, tie, begin, end, None) for doc, tie, begin, end in cover]
+        if spans or rows:
+            yield _record(spans + [(*r[:5], None, r[5]) for r in rows], _CUT_NAMES, _CUT_TYPES)
+    yield from through
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups of whole hashes, each merged apart; batches come sorted by hash. Rows without bytes are covered spans already."""
+
+    def open_ones() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = batch.column("raw").is_null()
+            through.append(batch.filter(done).select(["doc_id", "tie", "start", "end"]).rename_columns(_SPAN_NAMES))
+            yield batch.filter(pc.invert(done))
+
+    through: list[pa.RecordBatch] = []
+    for cover, _ in _groups(open_ones()):
+        yield from through
+        through.clear()
+        if cover:
+            yield _record(cover, _SPAN_NAMES, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))
+    yield from through
 
 
 def _kept_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,8 +369,10 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: st
     # As a table of its own it leaves the join below free to split a hash that many fragments have.
     varied = materialise(first.groupBy("value").agg(F.count("*").alias("contents"), F.bool_or("own").alias("own")).where("contents > 1 or own"), "varied")
     marks = first.drop("own").join(varied.select("value", (F.col("contents") > crowded).alias("crowded")), "value")
-    cut = _by_document(texts, marks, ["value", "start", "count", "crowded"]).mapInArrow(_cut_out, "value long, part int, doc_id long, tie int, start int, raw binary")
-    covered = cut.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie int, begin int, end int")
+    cut = _by_document(texts, marks, ["value", "start", "count", "crowded"]).mapInArrow(_cut_out, _CUT)
+    # A crowded hash is merged first where its documents lie, then its earliest rows of all tasks.
+    thinned = cut.sortWithinPartitions("value", "part").mapInArrow(_thinned, _CUT)
+    covered = thinned.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie int, begin int, end int")
     copies = repeated.where("not first").select("doc_id", "tie", F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + LENGTH).cast("int").alias("end"))
     spans = materialise(covered.unionByName(copies), "covered")
     return _by_document(texts, spans, ["begin", "end"]).mapInArrow(_kept_bytes, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -156,6 +157,31 @@ def test_repeats(spark, rows, docs, crowded):
     assert collected(suffix_dedup.digests(suffix_dedup.remove_repeats(docs, crowded=crowded))) == brute_repeats(rows)
 
 
+def test_one_string_of_many_documents_is_merged_in_bounded_groups(monkeypatch):
+    largest, merge = [0], suffix_dedup.repeated_intervals
+    monkeypatch.setattr(suffix_dedup, "repeated_intervals", lambda shards, depth: (largest.append(sum(map(len, shards))), merge(shards, depth))[1])
+    n, raw = 30_000, b"x" * 100
+    names = ["value", "part", "doc_id", "tie", "start", "end", "raw"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    columns = [[5] * n, [7] * n, list(range(n, 0, -1)), [0] * n, [3] * n, [None] * n, [raw] * n]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=names)
+    out = [r for b in suffix_dedup._merged(iter([batch])) for r in b.to_pylist()]
+    assert max(largest) < 2 * suffix_dedup.GROUP_BYTES
+    assert sorted(r["doc_id"] for r in out) == list(range(2, n + 1)) and {(r["begin"], r["end"]) for r in out} == {(3, 103)}
+    thin = [r for b in suffix_dedup._thinned(iter([batch])) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in thin if r["raw"] is not None] == [1] and len(thin) == n
+    apart = [r for r in suffix_dedup._merged(iter([pa.RecordBatch.from_pylist(thin, schema=batch.schema)])) for r in r.to_pylist()]
+    assert sorted(r["doc_id"] for r in apart) == list(range(2, n + 1))
+
+
+def test_passage_of_many_documents(spark):
+    rng = random.Random(11)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(140))
+    rows = [(i, "".join(rng.choice("ijklmnop ") for _ in range(120)) + passage + "".join(rng.choice("qrstuv ") for _ in range(30))) for i in range(300)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), crowded=10)
+    assert collected(suffix_dedup.digests(got)) == brute_repeats(rows)
+
+
 def test_periodic_texts(spark):
     rows = [(1, "a" * 1000), (2, "ab" * 400 + "c"), (3, "a" * 99), (4, "a" * 100), (5, "x" * 150 + "a" * 150), (6, "\0" * 300), (7, "ab" * 60)]
     got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
