@@ -9,18 +9,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import mix, signed
 from corpusloom.llm.lexicon import Lexicon, cuts
 
 WINDOW = 8
-#: Items with fewer words than this are too short to tell from ordinary text.
+#: Items with fewer words than this are matched as whole lines, as anywhere in a line they are ordinary text.
 LEAST_WORDS = 5
 #: Of a window's words so many must be literal, or all but one of a shorter window.
 LITERALS = 4
 COVERAGE = 0.5
+#: So many words of an item in a row are a leak, whatever their share of the item.
+LITERAL_RUN = 13
 #: Up to so many benchmark windows are sent to the tasks to sift with; more are joined by shuffle.
 BROADCAST_WINDOWS = 2_000_000
 
@@ -41,7 +43,7 @@ def _describe(word: bytes) -> tuple:
 
 
 def _template(lexicon: Lexicon, texts: list[str | None]):
-    """Per word: hash of its template token, whether it is a placeholder, its text's index; and the words."""
+    """Per word: hash of its template token, whether it is a placeholder, its own hash, its text's index; and the words."""
     said, row, words = lexicon.words_of(texts)
     n = len(row)
     first = np.ones(n, dtype=bool)
@@ -53,18 +55,18 @@ def _template(lexicon: Lexicon, texts: list[str | None]):
     token = said["hash"].copy()
     for k, mask in enumerate((number, unit, name)):
         token[mask] = k + 1
-    return token, number | unit | name, row, words
+    return token, number | unit | name, said["hash"], row, words
 
 
-def _window_hashes(token: np.ndarray, slot: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word and hash of each window that lies in one text and has enough literal words."""
+def _window_hashes(token: np.ndarray, slot: np.ndarray, row: np.ndarray, width: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of each window that lies in one text and has enough literal words, or of all if exact."""
     n = len(token) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     upto = np.zeros(len(token) + 1, dtype=np.int64)
     np.cumsum(~slot, out=upto[1:])
-    good = (row[:n] == row[width - 1 :]) & (upto[width:] - upto[:n] >= min(LITERALS, width - 1))
-    key = np.full(n, width, dtype=np.uint64)
+    good = (row[:n] == row[width - 1 :]) & (exact | (upto[width:] - upto[:n] >= min(LITERALS, width - 1)))
+    key = np.full(n, width + (WINDOW if exact else 0), dtype=np.uint64)
     for k in range(width):
         key = key * np.uint64(0xD6E8FEB86659FD93) + token[k : k + n]
     at = np.flatnonzero(good)
@@ -80,32 +82,56 @@ def _words(texts: list[str | None]):
     return _template(_lexicon[0], texts)
 
 
+def _is_line(text: str, at: int, width: int) -> bool:
+    """Whether the words from `at` on are the whole of one line."""
+    seen = 0
+    for line in text.encode().split(b"\n"):
+        if seen >= at:
+            size = len(line.split())
+            if size:
+                return seen == at and size == width
+        else:
+            seen += len(line.split())
+    return False
+
+
 def _window_rows(ids: pa.Array, texts: list[str | None], hashes: pa.Array, widths: list[int] | None, sift) -> Iterator[pa.RecordBatch]:
-    token, slot, row, words = _words(texts)
+    """Windows of the widths; of a negative width, windows of exact words. Without widths: those of benchmark items."""
+    token, slot, plain, row, words = _words(texts)
     base = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(w) for w in words], out=base[1:])
     out: dict[str, list] = {k: [] for k in ("row", "at", "width", "hash", "template", "slots")}
     longest = int(max(np.diff(base), default=0))
-    for width in range(LEAST_WORDS, WINDOW + 1) if widths is None else widths:
-        at, key = _window_hashes(token, slot, row, width)
-        if widths is None and width < WINDOW and longest:
+    lone = np.ones(len(texts), dtype=bool)
+    for width in [*range(LEAST_WORDS, WINDOW + 1), *range(-WINDOW, 0)] if widths is None else sorted(widths, reverse=True):
+        exact, size = width < 0, abs(width)
+        at, key = _window_hashes(plain if exact else token, slot, row, size, exact)
+        if widths is None and size < WINDOW and longest:
             # Of a benchmark item shorter than the window, the whole text is the window.
-            whole = np.diff(base)[row[at]] == width
+            whole = np.diff(base)[row[at]] == size
             at, key = at[whole], key[whole]
+        if widths is None:
+            # An item none of whose windows has enough literal words is held by its exact words.
+            if exact:
+                at, key = at[lone[row[at]]], key[lone[row[at]]]
+            else:
+                lone[row[at]] = False
         if sift is not None:
             near = sift(key)
             at, key = at[near], key[near]
         for i, h in zip(at.tolist(), signed(key).tolist(), strict=True):
             r = int(row[i])
-            part = words[r][i - base[r] : i - base[r] + width]
+            if exact and size < LEAST_WORDS and widths is not None and not _is_line(texts[r], i - int(base[r]), size):
+                continue
+            part = words[r][i - base[r] : i - base[r] + size]
             low = [w.strip(_EDGE).decode("utf-8", "replace").lower() for w in part]
-            mark = slot[i : i + width]
-            tag = token[i : i + width]
+            mark = slot[i : i + size] & (not exact)
+            tag = token[i : i + size]
             out["row"].append(r)
             out["at"].append(int(i - base[r]))
             out["width"].append(width)
             out["hash"].append(h)
-            out["template"].append(" ".join(f"<{int(t)}>" if m else w for w, m, t in zip(low, mark, tag, strict=True)))
+            out["template"].append(("= " if exact else "") + " ".join(f"<{int(t)}>" if m else w for w, m, t in zip(low, mark, tag, strict=True)))
             out["slots"].append([w for w, m in zip(low, mark, strict=True) if m])
     at_rows = pa.array(out["row"], type=pa.int64())
     yield pa.RecordBatch.from_arrays([ids.take(at_rows), hashes.take(at_rows), pa.array(out["at"], type=pa.int32()), pa.array(out["width"], type=pa.int32()), pa.array(out["hash"], type=pa.int64()), pa.array(out["template"], type=pa.string()), pa.array(out["slots"], type=pa.list_(pa.string()))], names=["id", "text_hash", "at", "width", "hash", "template", "slots"])
@@ -143,11 +169,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "d
 
     Numbers, units after numbers and capitalised words inside a sentence become placeholders.
     Windows of eight template words of document and item are joined by hash and compared as text.
-    Along one offset every value of an item's slots must always meet the same value in the
-    document, else those matches do not count. A document that has at least `coverage` of an
-    item's windows is a leak; reparameterised tells whether a slot's value differs.
+    Windows with the item's own values always count. Along one offset a value of an item's slots
+    that meets different values in the document takes only the altered windows that hold it out
+    of the count. A document that has at least `coverage` of an item's windows, or LITERAL_RUN of
+    its words in a row, is a leak; reparameterised tells whether a slot's value differs.
 
-    Null or empty texts and items of fewer than five words match nothing. Rows with equal id and
+    An item none of whose windows has enough literal words must be met by all its exact words, and
+    one of fewer than five words as a whole line. Null or empty texts match nothing. Rows with equal id and
     text give one result; null ids are kept. Equal items with different ids are all reported. An
     empty table gives no rows. Other columns are ignored.
     """
@@ -157,24 +185,38 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "d
     bounded = asked.limit(broadcast_windows + 1).count() <= broadcast_windows
     keys = asked.select("hash", "width").distinct().collect() if bounded else []
     known = np.unique(np.array([k.hash for k in keys], dtype=np.int64).view(np.uint64)) if bounded else None
-    widths = sorted({k.width for k in keys}) if bounded else list(range(LEAST_WORDS, WINDOW + 1))
+    widths = sorted({k.width for k in keys}) if bounded else sorted(w.width for w in asked.select("width").distinct().collect())
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     if bounded and not keys:
         rows = rows.limit(0)
         known = np.zeros(1, dtype=np.uint64)
     held = template_windows(rows, widths, known)
-    sizes = asked.groupBy("item_id").agg(F.countDistinct("at").alias("n_windows"))
+    sizes = asked.groupBy("item_id").agg(F.countDistinct("at").alias("n_windows"), (F.max("width") < 0).alias("exact"))
     right = asked.select("item_id", F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots")).distinct()
     if bounded:
         right, sizes = F.broadcast(right), F.broadcast(sizes)
     met = held.join(right, ["hash", "template"])
-    pairs = F.collect_set(F.arrays_zip("item_slots", "slots"))
-    along = met.groupBy("id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).agg(F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(pairs)).alias("pairs"))
-    consistent = along.where(F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))))
-    differs = F.exists("pairs", lambda p: p["item_slots"] != p["slots"])
-    found = consistent.groupBy("id", "text_hash", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"), F.max(differs).alias("reparameterised"))
+    window = F.struct("item_at", F.abs("width").alias("width"), "item_slots", "slots")
+    along = met.groupBy("id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).agg(F.array_sort(F.collect_set(window)).alias("windows"))
+    pairs = F.array_distinct(F.flatten(F.transform("windows", lambda w: F.arrays_zip(w["item_slots"].alias("of"), w["slots"].alias("to")))))
+    along = along.withColumn("values", F.transform(pairs, lambda p: p["of"]))
+    # A value that stands in more than one pair meets different values.
+    torn = F.filter(F.array_distinct("values"), lambda v: F.size(F.filter("values", lambda x: x == v)) > 1)
+    same = lambda w: w["item_slots"] == w["slots"]
+    along = along.withColumn("torn", torn).withColumn("good", F.filter("windows", lambda w: same(w) | ~F.arrays_overlap(w["item_slots"], F.col("torn"))))
+
+    def longer(state: Column, w: Column) -> Column:
+        begin = F.when(w["item_at"] <= state["end"], state["begin"]).otherwise(w["item_at"])
+        end = w["item_at"] + w["width"]
+        return F.struct(begin.alias("begin"), end.alias("end"), F.greatest(state["best"], end - begin).alias("best"))
+
+    none = F.struct(F.lit(-1).alias("begin"), F.lit(-1).alias("end"), F.lit(0).alias("best"))
+    run = F.aggregate(F.filter("windows", same), none, longer, lambda x: x["best"])
+    consistent = along.where(F.size("good") > 0).select("id", "text_hash", "item_id", F.transform("good", lambda w: w["item_at"]).alias("places"), F.exists("good", lambda w: ~same(w)).alias("differs"), run.alias("run"))
+    found = consistent.groupBy("id", "text_hash", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"), F.max("differs").alias("reparameterised"), F.max("run").alias("run"))
     out = found.join(sizes, "item_id").withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-    return out.where(F.col("coverage") >= coverage).select(F.col("id").alias("doc_id"), "text_hash", "item_id", F.col("n_windows").cast("long").alias("n_windows"), "n_matched", "coverage", "reparameterised")
+    least = F.when(F.col("exact"), 1.0).otherwise(F.lit(coverage))
+    return out.where((F.col("coverage") >= least) | (F.col("run") >= LITERAL_RUN)).select(F.col("id").alias("doc_id"), "text_hash", "item_id", F.col("n_windows").cast("long").alias("n_windows"), "n_matched", "coverage", "reparameterised")
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

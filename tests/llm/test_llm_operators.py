@@ -332,6 +332,20 @@ def test_inconsistent_slots_do_not_match(spark):
     assert [r.doc_id for r in got.collect()] == [1]
 
 
+def test_partly_altered_long_and_odd_items_leak(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    prose = [word() for _ in range(40)]
+    twice = " ".join([*prose[:10], "5", *prose[10:30], "5", *prose[30:]])
+    long = " ".join(word() for _ in range(300))
+    numbers = "12 7 19 3 88 41 5 60 73"
+    items = [(1, twice), (2, long), (3, numbers), (4, "Vexing zebra riddle")]
+    pieces = long.split()
+    docs = [(10, twice.replace(" 5 ", " 6 ", 1)), (11, "So it goes " + " ".join(pieces[50:70])), (12, "We saw " + numbers + " there"), (13, "one line\nvexing zebra riddle.\nmore"), (14, "a vexing zebra riddle it is"), (15, "So it goes " + " ".join(pieces[50:62])), (16, numbers.replace("88", "89"))]
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(10, 1), (11, 2), (12, 3), (13, 4)]
+
+
 def test_literal_leaks_of_the_tables(spark):
     d = "/root/testdata/sf0.001"
     docs, bench = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet")
