@@ -18,6 +18,8 @@ WINDOW = 5
 #: A line is removed where more distinct documents of one host hold it than both limits allow.
 LINE_MIN_DOCUMENTS = 20
 LINE_HOST_SHARE = 0.05
+#: So many texts of a host are enough whatever their share, as in a large host no line has the share.
+LINE_ENOUGH_DOCUMENTS = 1000
 #: A document is depleted when fewer words than MIN_WORDS or than this share of its words are left.
 LEFT_SHARE = 0.2
 
@@ -113,12 +115,12 @@ def line_measures(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     return materialise(rows.mapInArrow(_measured, schema).withColumn("row_id", F.monotonically_increasing_id()), "lines")
 
 
-def frequent_lines(measured: DataFrame, *, min_documents: int = LINE_MIN_DOCUMENTS, host_share: float = LINE_HOST_SHARE) -> DataFrame:
+def frequent_lines(measured: DataFrame, *, min_documents: int = LINE_MIN_DOCUMENTS, host_share: float = LINE_HOST_SHARE, enough_documents: int = LINE_ENOUGH_DOCUMENTS) -> DataFrame:
     """Lines (host, line) that more distinct texts of a host hold than allowed; copies of a text count once."""
     lines = measured.select("host", "text_hash", F.explode("line_hash").alias("line"))
     common = lines.groupBy("host", "line").agg(F.countDistinct("text_hash").alias("holders")).where(F.col("holders") > min_documents)
     hosts = measured.groupBy("host").agg(F.countDistinct("text_hash").alias("texts")).withColumnRenamed("host", "of_host")
-    return common.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).where(F.col("holders") > F.col("texts") * host_share).select("host", "line", "holders")
+    return common.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).where((F.col("holders") > F.col("texts") * host_share) | (F.col("holders") > enough_documents)).select("host", "line", "holders")
 
 
 def verdicts(measured: DataFrame, frequent: DataFrame, *, left_share: float = LEFT_SHARE) -> DataFrame:
@@ -134,11 +136,12 @@ def verdicts(measured: DataFrame, frequent: DataFrame, *, left_share: float = LE
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
-def quality_rules(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_documents: int = LINE_MIN_DOCUMENTS, host_share: float = LINE_HOST_SHARE, left_share: float = LEFT_SHARE) -> DataFrame:
+def quality_rules(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_documents: int = LINE_MIN_DOCUMENTS, host_share: float = LINE_HOST_SHARE, enough_documents: int = LINE_ENOUGH_DOCUMENTS, left_share: float = LEFT_SHARE) -> DataFrame:
     """Judge every document by its own counts and by how much of it are lines common to its host.
 
     Lines are hashed in lower case with white space folded; per host the distinct documents that
-    hold a line are counted, lines above both limits are removed, and a document of which fewer
+    hold a line are counted, lines above min_documents and host_share, or above enough_documents
+    whatever their share, are removed, and a document of which fewer
     than MIN_WORDS words or less than left_share is left is rejected.
 
     Null text: like empty text, so it fails for too few words. Null host: a host of its own. Null
@@ -146,7 +149,7 @@ def quality_rules(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     are judged alike and all returned. An empty table gives no rows. Other columns are ignored.
     """
     measured = line_measures(documents, id_col=id_col, text_col=text_col, host_col=host_col)
-    frequent = frequent_lines(measured, min_documents=min_documents, host_share=host_share)
+    frequent = frequent_lines(measured, min_documents=min_documents, host_share=host_share, enough_documents=enough_documents)
     judged = verdicts(measured, frequent, left_share=left_share)
     return judged.select("doc_id", "n_words", *_COUNTS[1:], "base_failed", "kept", "removed_words")
 

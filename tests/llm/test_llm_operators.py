@@ -63,6 +63,14 @@ def test_common_lines_deplete(spark):
     assert out[200].text == line
 
 
+def test_line_of_many_documents_goes_from_a_large_host(spark):
+    words = F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), F.col("id")) for k in range(12)])
+    line = "All rights reserved by the host of this page."
+    docs = spark.range(25_000).select(F.col("id").alias("doc_id"), F.concat(words, F.when(F.col("id") <= 1000, "\n" + line).otherwise("")).alias("text"), F.lit("h").alias("source"))
+    judged = quality_rules.quality_rules(docs)
+    assert judged.where("removed_words = 9").count() == 1001 and judged.where("removed_words = 0").count() == 23_999
+
+
 def test_quality_empty(empty):
     assert quality_rules.quality_rules(empty).count() == 0
     assert quality_rules.remove_lines(empty).columns == empty.columns
