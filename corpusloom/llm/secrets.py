@@ -17,7 +17,7 @@ ASSIGN_LEAST = 6
 #: Candidates of the ownership method: long runs that mix letters and digits.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 CANDIDATE_DIGITS, CANDIDATE_LETTERS = 3, 3
-#: A candidate that more owners or more repositories hold is a copied example.
+#: A candidate that more owners hold, or two owners or more in more repositories, is a copied example.
 MAX_OWNERS, MAX_REPOSITORIES = 1, 3
 REDACTED = "[REDACTED]"
 
@@ -82,9 +82,9 @@ def _render(spans: Column) -> Column:
 def secret_spans(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """doc_id, owner, text_hash, base and owned: arrays of (start, kind, end, value), sorted.
 
-    base holds the fixed patterns' matches. owned holds candidates outside of them that at most
-    max_owners owners and max_repositories repositories of the corpus hold; those that are held
-    more widely are examples that people copy.
+    base holds the fixed patterns' matches. owned holds candidates outside of them that one owner
+    alone holds, in however many repositories, or at most max_owners owners in at most
+    max_repositories repositories; those that are held more widely are examples that people copy.
 
     Null text: no spans. Null owner: an owner of its own. Null and repeated ids are returned as
     they are; equal rows count once as holders. An empty table gives no rows. Other columns are
@@ -92,7 +92,7 @@ def secret_spans(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     # The texts are searched once: what is found is far smaller and is read several times.
     found = materialise(spans_of(documents, id_col=id_col, text_col=text_col, owner_col=owner_col), "secrets")
-    rare = ownership(found).where((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).select("secret")
+    rare = ownership(found).where((F.col("owners") <= max_owners) & ((F.col("owners") == 1) | (F.col("repositories") <= max_repositories))).select("secret")
     token = found.where(F.size("tokens") > 0).select("doc_id", "owner", "text_hash", F.explode("tokens").alias("x")).distinct()
     own = token.withColumn("secret", F.sha2("x.value", 256)).join(rare, "secret", "left_semi")
     owned = own.groupBy(F.col("doc_id").alias("_id"), F.col("owner").alias("_owner"), F.col("text_hash").alias("_hash")).agg(F.array_sort(F.collect_set("x")).alias("owned"))

@@ -252,6 +252,14 @@ def test_ownership_parts_copied_from_own(spark):
     assert red[9] == ("é [REDACTED] .", 14) and copied in red[0][0] and secrets.redact(docs).count() == 8
 
 
+def test_token_of_one_owner_in_many_texts_is_owned(spark):
+    token = "Qw7Qw7Qw7Qw7Qw7Qw7Qw7Qw7e"
+    rows = [(i, f"see {token} {i}", "owner") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.spans for r in secrets.digests(secrets.secret_spans(docs)).collect()} == {"owned:4:29"}
+    assert all("[REDACTED]" in r.text and token not in r.text for r in secrets.redact(docs).collect())
+
+
 def test_secrets_plan_has_no_python(docs):
     plan = secrets.digests(secrets.secret_spans(docs))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
