@@ -13,19 +13,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bwt import SHARD_BYTES, repeated_intervals
-from corpusloom.llm.common import Block, blocks, materialise, signed
+from corpusloom.llm.common import Block, blocks, materialise, mix, signed
 
 LENGTH = 100
-GRAM = 20
+GRAM = 48
 SPAN = LENGTH - GRAM + 1
-#: Fragments are merged in groups of about so many bytes, cut where the hash changes.
+#: Fragments are merged in groups of about so many bytes, cut where the hash changes. A hash with
+#: more bytes than a group is dealt out by the strings themselves.
 GROUP_BYTES = 1 << 19
-#: A hash with more distinct fragments than this is dealt out by the strings themselves.
-CROWDED = 20_000
+#: What a task has sent is kept in so many slots, and of one hash so many fragments stand for it.
+SLOTS = 1 << 19
+WITNESSES = 2
+DEALS = 64
 
 
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -38,6 +41,18 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - rest], x[rest:]) if rest else x
 
 
+#: Strings are hashed as sums over mixed windows of so many bytes.
+WIDTH = 8
+
+
+def _windows(buf: np.ndarray) -> np.ndarray:
+    """A mixed number for the WIDTH bytes from each byte on. Sums of plain bytes would hash some regular strings alike."""
+    w = buf.astype(np.uint64)
+    for k in (1, 2, 4):
+        w = np.concatenate([w[:-k] | w[k:] << np.uint64(8 * k), w[-k:]])
+    return mix(w)
+
+
 def fragments(block: Block) -> dict[str, np.ndarray]:
     """Row, start in the row, starts counted, least hash and content hash of each fragment; and
     whether the least hash occurs in it more than once, so that it can repeat within itself."""
@@ -45,9 +60,9 @@ def fragments(block: Block) -> dict[str, np.ndarray]:
     none = {k: np.zeros(0, dtype=np.int64) for k in ("row", "start", "count", "value", "content", "own")}
     if n < LENGTH:
         return none
-    prefix = block.prefix_hash()
+    prefix = block.prefix_hash(_windows(block.buf))
     at = np.arange(n - GRAM + 1)
-    gram = block.span_hash(prefix, at, at + GRAM)
+    gram = block.span_hash(prefix, at, at + GRAM - WIDTH + 1)
     least = _sliding(gram, SPAN, np.minimum)
     first, last = block.offsets[:-1], block.offsets[1:]
     good = np.zeros(n + 1, dtype=np.int32)
@@ -79,29 +94,85 @@ def fragments(block: Block) -> dict[str, np.ndarray]:
         own[ident[place[fit]]] = True
     own |= count > SPAN
     row = block.row_of(start)
-    return {"row": row, "start": start - first[row], "count": count, "value": least[start], "content": block.span_hash(prefix, start, start + count - 1 + LENGTH), "own": own}
-
-
-_FRAGMENT = "value long, content long, doc_id long, tie int, start int, count int, own boolean"
+    return {"row": row, "start": start - first[row], "count": count, "value": least[start], "content": block.span_hash(prefix, start, start + count + LENGTH - WIDTH), "own": own}
+
+
+class _Sent:
+    """What a task has sent so far, in slots that newer fragments take over: memory does not grow with the task."""
+
+    FIELDS = ("value", "content", "count", "null", "doc_id", "tie", "start")
+
+    def __init__(self):
+        self.last = {k: np.zeros(SLOTS, dtype=bool if k == "null" else np.int64) for k in self.FIELDS}
+        self.last["count"][:] = -1
+        self.of, self.times = np.zeros(SLOTS, dtype=np.int64), np.zeros(SLOTS, dtype=np.int64)
+
+    def sort_out(self, f: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Per fragment, in an order of its own: where it is dealt (-1: an equal one starts earlier, -2: the same place again)."""
+        order = np.lexsort([f[k] for k in reversed(self.FIELDS)])
+        c = {k: f[k][order] for k in self.FIELDS}
+        same = np.zeros(len(order), dtype=bool)
+        same[1:] = np.all([c[k][1:] == c[k][:-1] for k in self.FIELDS[:3]], axis=0)
+        copy = same.copy()
+        copy[1:] &= np.all([c[k][1:] == c[k][:-1] for k in self.FIELDS[3:]], axis=0)
+        deal = np.where(copy, -2, np.where(same, -1, 0))
+        lead = np.flatnonzero(~same)
+        slot = (c["content"][lead] & (SLOTS - 1)).astype(np.int64)
+        met = np.all([self.last[k][slot] == c[k][lead] for k in self.FIELDS[:3]], axis=0)
+        earlier, equal = np.zeros(len(lead), dtype=bool), met
+        for k in self.FIELDS[3:]:
+            earlier |= equal & (self.last[k][slot] < c[k][lead])
+            equal = equal & (self.last[k][slot] == c[k][lead])
+        deal[lead[earlier]], deal[lead[equal]] = -1, -2
+        new = ~(earlier | equal)
+        lead, slot = lead[new], slot[new]
+        for k in self.FIELDS:
+            self.last[k][slot] = c[k][lead]
+        # A few fragments of a hash show that it recurs; the others are dealt out by their content.
+        value = c["value"][lead]
+        if len(lead):
+            begin = np.concatenate([[True], value[1:] != value[:-1]])
+            run = np.cumsum(begin) - 1
+            nth = np.arange(len(lead)) - np.flatnonzero(begin)[run]
+            place = (value & (SLOTS - 1)).astype(np.int64)
+            nth += np.where(self.of[place] == value, self.times[place], 0)
+            self.of[place], self.times[place] = value, nth + 1
+            deal[lead] = np.where(nth < WITNESSES, 0, 1 + (c["content"][lead] >> 20) % (DEALS - 1))
+        return order, deal
+
+
+_FRAGMENT = "value long, deal int, content long, doc_id long, tie long, start int, count int, own boolean"
 
 
 def _fragment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fragments of a task; of equal ones only the earliest is dealt out by its hash."""
+    sent = _Sent()
     for batch in batches:
         for lo, hi, block in blocks(batch.column("text")):
             f = fragments(block)
-            row = pa.array(f["row"])
+            f = f | {"value": signed(f["value"]), "content": signed(f["content"])}
+            doc, tie = batch.column("doc_id").slice(lo, hi - lo), batch.column("tie").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+            null = doc.is_null().to_numpy(zero_copy_only=False)
+            at = f["row"]
+            f |= {"null": null[at], "doc_id": doc.fill_null(0).to_numpy(zero_copy_only=False)[at], "tie": tie[at]}
+            order, deal = sent.sort_out(f)
+            order, deal = order[deal > -2], deal[deal > -2]
+            c = {k: v[order] for k, v in f.items() if k != "row"}
+            # Those that are settled may lie anywhere: their place deals them out.
+            value = np.where(deal < 0, signed(mix(c["doc_id"].view(np.uint64) + c["start"].astype(np.uint64))), c["value"])
+            ids = pa.array(c["doc_id"], mask=c["null"], type=pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(f["value"])), pa.array(signed(f["content"])), batch.column("doc_id").slice(lo, hi - lo).take(row), batch.column("tie").slice(lo, hi - lo).take(row), pa.array(f["start"].astype(np.int32)), pa.array(f["count"].astype(np.int32)), pa.array(f["own"].astype(bool))],
-                names=["value", "content", "doc_id", "tie", "start", "count", "own"],
+                [pa.array(value), pa.array(deal.astype(np.int32)), pa.array(c["content"]), ids, pa.array(c["tie"]), pa.array(c["start"].astype(np.int32)), pa.array(c["count"].astype(np.int32)), pa.array(c["own"].astype(bool))],
+                names=["value", "deal", "content", "doc_id", "tie", "start", "count", "own"],
             )
 
 
-_ORDER = ("value", "content", "count", "isnull(doc_id)", "doc_id", "tie", "start")
+_ORDER = ("value", "deal", "content", "count", "isnull(doc_id)", "doc_id", "tie", "start")
 
 
 def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     out = {}
-    for name in ("value", "content", "tie", "start", "count", "own"):
+    for name in ("value", "deal", "content", "tie", "start", "count", "own"):
         out[name] = batch.column(name).to_numpy(zero_copy_only=False)
     doc = batch.column("doc_id")
     out["null"] = doc.is_null().to_numpy(zero_copy_only=False)
@@ -109,26 +180,34 @@ def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     return out
 
 
+_REPEATED = "value long, doc_id long, tie long, start int, count int, first boolean, own boolean"
+
+
 def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of fragments in _ORDER: those that can repeat, and whether each is the first of its content.
 
     A row is decided by its neighbours alone, so one row is carried from batch to batch.
     """
+    key, equal_by, place_by = ("value", "deal"), ("value", "deal", "content", "count"), ("null", "doc_id", "tie", "start")
     before = held = None
 
+    def alike(c: dict[str, np.ndarray], prior: dict | None, names: tuple[str, ...]) -> np.ndarray:
+        """Whether each row agrees with the row before it."""
+        first = prior is not None and all(prior[k] == c[k][0] for k in names)
+        return np.concatenate([[first], np.all([c[k][1:] == c[k][:-1] for k in names], axis=0)])
+
     def decided(c: dict[str, np.ndarray], prior: dict | None, more: bool) -> pa.RecordBatch:
         n = len(c["value"]) - more
-        same = c["value"][1:] == c["value"][:-1]
-        left = np.concatenate([[prior is not None and prior["value"] == c["value"][0]], same])[:n]
-        right = np.concatenate([same, [False]])[:n]
-        equal = same & (c["content"][1:] == c["content"][:-1]) & (c["count"][1:] == c["count"][:-1])
-        again = np.concatenate([[prior is not None and all(prior[k] == c[k][0] for k in ("value", "content", "count"))], equal])[:n]
+        left = alike(c, prior, key)
+        near = (left | np.append(left[1:], False))[:n]
+        again = alike(c, prior, equal_by)
         # Rows that are the same place of equal table rows count once.
-        place = ("null", "doc_id", "tie", "start")
-        copy = np.concatenate([[bool(again[:1].any()) and all(prior[k] == c[k][0] for k in place)], equal & np.all([c[k][1:] == c[k][:-1] for k in place], axis=0)])[:n]
-        keep = np.flatnonzero((left | right | c["own"][:n].astype(bool)) & ~copy)
+        copy = (again & alike(c, prior, place_by))[:n]
+        settled = c["deal"][:n] < 0
+        keep = np.flatnonzero((near | c["own"][:n].astype(bool) | (c["deal"][:n] != 0)) & ~copy)
         doc = pa.array(c["doc_id"][keep], mask=c["null"][keep], type=pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c["value"][keep]), doc, pa.array(c["tie"][keep]), pa.array(c["start"][keep]), pa.array(c["count"][keep]), pa.array(~again[keep]), pa.array(c["own"][keep].astype(bool))], names=["value", "doc_id", "tie", "start", "count", "first", "own"])
+        first = ~(again[:n] | settled)[keep]
+        return pa.RecordBatch.from_arrays([pa.array(c["value"][keep]), doc, pa.array(c["tie"][keep]), pa.array(c["start"][keep]), pa.array(c["count"][keep]), pa.array(first), pa.array(c["own"][keep].astype(bool))], names=["value", "doc_id", "tie", "start", "count", "first", "own"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -144,9 +223,23 @@ def _repeated_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield decided(held, before, False)
 
 
-def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _tie(text: Column, salt: int) -> Column:
+    """Tells texts of one id apart: nothing at first, then 64 bits of a salted SHA-256."""
+    if not salt:
+        return F.lit(0).cast("long")
+    return F.conv(F.substring(F.sha2(F.concat(F.lit(f"{salt} "), text).cast("binary"), 256), 1, 15), 16, 10).cast("long")
+
+
+def _keyed(documents: DataFrame, id_col: str, text_col: str, tie=_tie) -> DataFrame:
+    """doc_id, text, and a tie such that rows of one (doc_id, tie) have one text: salts are tried until it holds."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return documents.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.hash(text).alias("tie"))
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    for salt in range(8):
+        digest = F.sha2(F.col("text").cast("binary"), 256)
+        held = rows.groupBy("doc_id", tie(F.col("text"), salt).alias("tie")).agg(F.min(digest).alias("a"), F.max(digest).alias("b"))
+        if held.where("a <> b").isEmpty():
+            return rows.withColumn("tie", tie(F.col("text"), salt))
+    raise RuntimeError("texts of one id could not be told apart")
 
 
 def _by_document(texts: DataFrame, marks: DataFrame, fields: list[str]) -> DataFrame:
@@ -176,18 +269,65 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         for s in range(start, start + count):
                             part = raw[s : s + LENGTH]
                             out.append((value, int.from_bytes(hashlib.blake2b(part, digest_size=3).digest(), "big"), doc, tie, s, None, part))
+                            if len(out) >= 20_000:
+                                yield _record(out, _CUT_NAMES, _CUT_TYPES)
+                                out = []
                     else:
                         out.append((value, -1, doc, tie, start, None, raw[start : start + count - 1 + LENGTH]))
                 marks = []
         yield _record(out, _CUT_NAMES, _CUT_TYPES)
 
 
+def _sifted(rows: list[tuple]) -> list[tuple]:
+    """The runs of strings whose hash recurs among these rows: no other string can be equal to one of them."""
+    raw = [r[3] for r in rows]
+    offsets = np.cumsum([0, *map(len, raw)])
+    block = Block(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets)
+    if len(block.buf) < LENGTH:
+        return []
+    at = np.arange(len(block.buf) - LENGTH + 1)
+    row = block.row_of(at)
+    at = at[at + LENGTH <= offsets[row + 1]]
+    hashes = block.span_hash(block.prefix_hash(), at, at + LENGTH)
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    again = np.zeros(len(at), dtype=bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    at = at[again]
+    if not len(at):
+        return []
+    row = block.row_of(at)
+    new = np.ones(len(at) + 1, dtype=bool)
+    new[1:-1] = (np.diff(at) != 1) | (row[1:] != row[:-1])
+    edge = np.flatnonzero(new)
+    out = []
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        doc, tie, start, text = rows[row[a]]
+        lo = int(at[a] - offsets[row[a]])
+        out.append((doc, tie, start + lo, text[lo : lo + int(b - a) - 1 + LENGTH]))
+    return out
+
+
 def _repeats(rows: list[tuple]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
     """The documents in order; the places of strings that also start earlier; each row's first place.
 
-    rows: doc_id, tie, start and bytes of distinct fragments. Their shards are transformed and
-    merged; in each repeated interval the earliest suffix stays.
+    rows: doc_id, tie, start and bytes of distinct fragments. The shards of what can recur in them
+    are transformed and merged; in each repeated interval the earliest suffix stays.
     """
+    docs = sorted({(r[0] is None, r[0] or 0, r[1]) for r in rows})
+    rank_of = {d: i for i, d in enumerate(docs)}
+
+    def places(some: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        rank = np.array([rank_of[(r[0] is None, r[0] or 0, r[1])] for r in some], dtype=np.int64)
+        return rank, np.array([r[2] for r in some], dtype=np.int64)
+
+    rank, starts = places(rows)
+    whole = rank << 32 | starts
+    rows = _sifted(rows)
+    if not rows:
+        return docs, np.zeros(0, dtype=np.int64), whole
+    rank, starts = places(rows)
     shards, part, size = [], [], 0
     for r in rows:
         part.append(r[3])
@@ -201,17 +341,13 @@ def _repeats(rows: list[tuple]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
         # Bytes of UTF-8 stay below 0xff, so that one more than each fits and 0 ends a string.
         coded.append(np.frombuffer(b"".join(x + b"\xff" for x in s), dtype=np.uint8) + np.uint8(1))
     suffix, interval = repeated_intervals(coded, LENGTH)
-    docs = sorted({(r[0] is None, r[0] or 0, r[1]) for r in rows})
-    rank_of = {d: i for i, d in enumerate(docs)}
-    rank = np.array([rank_of[(r[0] is None, r[0] or 0, r[1])] for r in rows], dtype=np.int64)
-    starts = np.array([r[2] for r in rows], dtype=np.int64)
     begins = np.cumsum([0, *[len(r[3]) + 1 for r in rows[:-1]]])
     owner = np.searchsorted(begins, suffix, side="right") - 1
     key = rank[owner] << 32 | starts[owner] + suffix - begins[owner]
     order = np.lexsort((key, interval))
     later = np.zeros(len(order), dtype=bool)
     later[1:] = (interval[order[1:]] == interval[order[:-1]])
-    return docs, np.unique(key[order[later]]), rank << 32 | starts
+    return docs, np.unique(key[order[later]]), whole
 
 
 def _covered(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
@@ -227,8 +363,8 @@ def _covered(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     return out, [rows[i] for i in np.flatnonzero(~np.isin(places, cover))]
 
 
-_CUT = "value long, part int, doc_id long, tie int, start int, end int, raw binary"
-_CUT_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+_CUT = "value long, part int, doc_id long, tie long, start int, end int, raw binary"
+_CUT_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
 _CUT_NAMES = ["value", "part", "doc_id", "tie", "start", "end", "raw"]
 _SPAN_NAMES = ["doc_id", "tie", "begin", "end"]
 
@@ -316,7 +452,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from through
         through.clear()
         if cover:
-            yield _record(cover, _SPAN_NAMES, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))
+            yield _record(cover, _SPAN_NAMES, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))
     yield from through
 
 
@@ -351,28 +487,32 @@ def _kept_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
+def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (bytes) of each document.
 
     A byte is removed if a string of LENGTH bytes that covers it also starts earlier: in a smaller
     id, or before in the same document. Null text: no bytes. Null ids come after all others. Rows
-    of equal id are ordered by a hash of their text; of rows equal in both, all but one are copies
+    of equal id are ordered by a digest of their text; of rows equal in both, all but one are copies
     and go whole if they have LENGTH bytes. Texts shorter than LENGTH stay. An empty table gives
     no rows. Other columns are ignored.
+
+    Whole fragments are taken as equal if two 64-bit hashes and their lengths agree; all other
+    strings are compared by the merged transforms.
     """
     texts = _keyed(documents, id_col, text_col)
     found = texts.select("doc_id", "tie", "text").mapInArrow(_fragment_rows, _FRAGMENT)
-    ordered = found.repartition("value").sortWithinPartitions(*[F.expr(x) for x in _ORDER])
-    repeated = materialise(ordered.mapInArrow(_repeated_rows, "value long, doc_id long, tie int, start int, count int, first boolean, own boolean"), "fragments")
+    ordered = found.repartition("value", "deal").sortWithinPartitions(*[F.expr(x) for x in _ORDER])
+    repeated = materialise(ordered.mapInArrow(_repeated_rows, _REPEATED), "fragments")
     first = repeated.where("first")
     # A hash that one content alone has gives its copies nothing to be merged with.
     # As a table of its own it leaves the join below free to split a hash that many fragments have.
-    varied = materialise(first.groupBy("value").agg(F.count("*").alias("contents"), F.bool_or("own").alias("own")).where("contents > 1 or own"), "varied")
-    marks = first.drop("own").join(varied.select("value", (F.col("contents") > crowded).alias("crowded")), "value")
+    size = F.sum(F.col("count") + LENGTH - 1).alias("size")
+    varied = materialise(first.groupBy("value").agg(F.count("*").alias("contents"), F.bool_or("own").alias("own"), size).where("contents > 1 or own"), "varied")
+    marks = first.drop("own").join(varied.select("value", (F.col("size") > group_bytes).alias("crowded")), "value")
     cut = _by_document(texts, marks, ["value", "start", "count", "crowded"]).mapInArrow(_cut_out, _CUT)
     # A crowded hash is merged first where its documents lie, then its earliest rows of all tasks.
     thinned = cut.sortWithinPartitions("value", "part").mapInArrow(_thinned, _CUT)
-    covered = thinned.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie int, begin int, end int")
+    covered = thinned.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie long, begin int, end int")
     copies = repeated.where("not first").select("doc_id", "tie", F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + LENGTH).cast("int").alias("end"))
     spans = materialise(covered.unionByName(copies), "covered")
     return _by_document(texts, spans, ["begin", "end"]).mapInArrow(_kept_bytes, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

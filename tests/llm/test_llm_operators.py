@@ -160,9 +160,30 @@ def brute_repeats(rows):
     return sorted(out, key=key)
 
 
-@pytest.mark.parametrize("crowded", [20_000, 1])
-def test_repeats(spark, rows, docs, crowded):
-    assert collected(suffix_dedup.digests(suffix_dedup.remove_repeats(docs, crowded=crowded))) == brute_repeats(rows)
+@pytest.mark.parametrize("group_bytes", [1 << 19, 1])
+def test_repeats(spark, rows, docs, group_bytes):
+    assert collected(suffix_dedup.digests(suffix_dedup.remove_repeats(docs, group_bytes=group_bytes))) == brute_repeats(rows)
+
+
+def test_repeats_where_ids_repeat_with_other_texts(spark, monkeypatch):
+    rng = random.Random(21)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    rows = [(None, text(132)) for _ in range(40)] + [(7, text(150)) for _ in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = suffix_dedup.remove_repeats(df)
+    assert got.where("n_removed > 0").isEmpty() and got.count() == 80
+    # Ties that clash for the first salts are given up, as are those of a hash of a few bits.
+    few = lambda c, salt: suffix_dedup._tie(c, salt) if salt == 3 else F.pmod(suffix_dedup._tie(c, salt), F.lit(16))
+    keyed = suffix_dedup._keyed(df, "doc_id", "text", few)
+    assert keyed.groupBy("doc_id", "tie").agg(F.countDistinct("text").alias("n")).where("n > 1").isEmpty()
+
+
+def test_fragments_sent_once_keep_the_earliest(spark):
+    rng = random.Random(22)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(260))
+    rows = [(i, line) for i in range(60, 0, -1)] + [(100 + i, "".join(rng.choice("klmnop ") for _ in range(90)) + line) for i in range(40)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert collected(suffix_dedup.digests(got)) == brute_repeats(rows)
 
 
 def test_one_string_of_many_documents_is_merged_in_bounded_groups(monkeypatch):
@@ -170,7 +191,7 @@ def test_one_string_of_many_documents_is_merged_in_bounded_groups(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "repeated_intervals", lambda shards, depth: (largest.append(sum(map(len, shards))), merge(shards, depth))[1])
     n, raw = 30_000, b"x" * 100
     names = ["value", "part", "doc_id", "tie", "start", "end", "raw"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     columns = [[5] * n, [7] * n, list(range(n, 0, -1)), [0] * n, [3] * n, [None] * n, [raw] * n]
     batch = pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=names)
     out = [r for b in suffix_dedup._merged(iter([batch])) for r in b.to_pylist()]
@@ -186,7 +207,7 @@ def test_passage_of_many_documents(spark):
     rng = random.Random(11)
     passage = "".join(rng.choice("abcdefgh ") for _ in range(140))
     rows = [(i, "".join(rng.choice("ijklmnop ") for _ in range(120)) + passage + "".join(rng.choice("qrstuv ") for _ in range(30))) for i in range(300)]
-    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), crowded=10)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), group_bytes=1000)
     assert collected(suffix_dedup.digests(got)) == brute_repeats(rows)
 
 
