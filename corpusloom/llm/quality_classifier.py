@@ -191,7 +191,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality"
             text = batch.column("text")
             for lo, hi in cuts(pc.binary_length(text).to_pylist(), 8 << 20):
                 rows, total = _context(text.slice(lo, hi - lo).to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(rows, type=pa.int32()), pa.FixedSizeListArray.from_arrays(pa.array(total.ravel()), DIMENSION).cast(pa.list_(pa.float64()))], names=["at", "vector"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows, type=pa.int32()), pa.FixedSizeListArray.from_arrays(pa.array(total.reshape(-1)), DIMENSION).cast(pa.list_(pa.float64()))], names=["at", "vector"])
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((WORD_ROWS + SHAPE_ROWS, DIMENSION))
@@ -201,7 +201,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality"
             np.add.at(total, at, batch.column("vector").flatten().to_numpy().reshape(-1, DIMENSION))
             met[at] = True
         rows = np.flatnonzero(met)
-        yield pa.RecordBatch.from_arrays([pa.array(rows, type=pa.int32()), pa.FixedSizeListArray.from_arrays(pa.array(total[rows].ravel()), DIMENSION).cast(pa.list_(pa.float64()))], names=["at", "vector"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows, type=pa.int32()), pa.FixedSizeListArray.from_arrays(pa.array(total[rows].reshape(-1)), DIMENSION).cast(pa.list_(pa.float64()))], names=["at", "vector"])
 
     kind = "at int, vector array<double>"
     table = chosen.select("text").mapInArrow(contexts, kind).repartition(8, "at").mapInArrow(summed, kind).toArrow()
@@ -217,7 +217,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality"
             text = batch.column("text")
             for lo, hi in cuts(pc.binary_length(text).to_pylist()):
                 x = pooled(text.slice(lo, hi - lo).to_pylist(), sent.value)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("label").slice(lo, hi - lo), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))], names=["doc_id", "label", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("label").slice(lo, hi - lo), pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float32()))], names=["doc_id", "label", "x"])
 
     rows = chosen.mapInArrow(features, "doc_id long, label int, x array<float>").toArrow().sort_by("doc_id")
     y = rows.column("label").to_numpy()

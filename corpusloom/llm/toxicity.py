@@ -42,7 +42,7 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         _lexicon.append(Lexicon(_describe, _KIND))
     said, row, _ = _lexicon[0].words_of(texts)
     h = said["hash"]
-    parts, rows = [mix(h), said["stems"].ravel()], [row, np.repeat(row, len(STEMS))]
+    parts, rows = [mix(h), said["stems"].reshape(-1)], [row, np.repeat(row, len(STEMS))]
     for gap, salt in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F)):
         near = np.flatnonzero(row[gap:] == row[:-gap])
         parts.append(mix(h[near] * np.uint64(salt) + mix(h[near + gap] + np.uint64(gap))))
