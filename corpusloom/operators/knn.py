@@ -39,9 +39,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, *, id_col: str, vec_col:
                     score[qid[:, None] == ids[None, :]] = -np.inf
                 order = np.lexsort((np.broadcast_to(ids, score.shape), -score), axis=1)[:, :k]
                 at = np.repeat(np.arange(len(qid)), order.shape[1])
-                value = score[at, order.ravel()]
+                value = score[at, order.reshape(-1)]
                 keep = value > -np.inf
-                yield pa.RecordBatch.from_arrays([pa.array(qid[at][keep]), pa.array(ids[order.ravel()][keep]), pa.array(value[keep])], names=["qid", "id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(qid[at][keep]), pa.array(ids[order.reshape(-1)][keep]), pa.array(value[keep])], names=["qid", "id", "score"])
 
     pairs = right.crossJoin(F.broadcast(left)) if queries.count() <= QUERY_BLOCK else right.crossJoin(left)
     found = pairs.select("q_rows", "r_rows").mapInArrow(best, "qid long, id long, score double")
