@@ -26,9 +26,13 @@ SPAN = LENGTH - GRAM + 1
 #: more bytes than a group is dealt out by the strings themselves.
 GROUP_BYTES = 1 << 19
 #: What a task has sent is kept in so many slots, and of one hash so many fragments stand for it.
-SLOTS = 1 << 19
+SLOTS = 1 << 18
 WITNESSES = 2
 DEALS = 64
+#: Of crowded hashes a task holds fragments of so many bytes before it merges them.
+HELD_BYTES = 1 << 21
+#: Texts are cut into fragments in slices of about so many bytes.
+SLICE_BYTES = 1 << 19
 
 
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -148,7 +152,7 @@ def _fragment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """The fragments of a task; of equal ones only the earliest is dealt out by its hash."""
     sent = _Sent()
     for batch in batches:
-        for lo, hi, block in blocks(batch.column("text")):
+        for lo, hi, block in blocks(batch.column("text"), SLICE_BYTES):
             f = fragments(block)
             f = f | {"value": signed(f["value"]), "content": signed(f["content"])}
             doc, tie = batch.column("doc_id").slice(lo, hi - lo), batch.column("tie").slice(lo, hi - lo).to_numpy(zero_copy_only=False)
@@ -251,8 +255,8 @@ def _by_document(texts: DataFrame, marks: DataFrame, fields: list[str]) -> DataF
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each marked fragment; of a crowded hash, of each string in it."""
-    key, marks = None, []
+    """The bytes of each marked fragment; of crowded hashes, what is left of them after a merge in this task."""
+    key, marks, held, size = None, [], [], 0
     for batch in batches:
         out: list[tuple] = []
         cols = [batch.column(c).to_pylist() for c in ("doc_id", "tie", "kind", "value", "start", "count", "crowded")]
@@ -265,17 +269,44 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif marks:
                 raw = texts[i].as_py().encode()
                 for value, start, count, crowded in marks:
-                    if crowded:
-                        for s in range(start, start + count):
-                            part = raw[s : s + LENGTH]
-                            out.append((value, int.from_bytes(hashlib.blake2b(part, digest_size=3).digest(), "big"), doc, tie, s, None, part))
-                            if len(out) >= 20_000:
-                                yield _record(out, _CUT_NAMES, _CUT_TYPES)
-                                out = []
-                    else:
-                        out.append((value, -1, doc, tie, start, None, raw[start : start + count - 1 + LENGTH]))
+                    part = raw[start : start + count - 1 + LENGTH]
+                    if not crowded:
+                        out.append((value, -1, doc, tie, start, None, part))
+                        continue
+                    # A long fragment is held in pieces, so that what is held stays bounded.
+                    for lo in range(0, count, HELD_BYTES):
+                        held.append((value, doc, tie, start + lo, part[lo : lo + HELD_BYTES + LENGTH - 1]))
+                        size += len(held[-1][4])
+                        if size >= HELD_BYTES:
+                            yield from _settled(held)
+                            held, size = [], 0
                 marks = []
         yield _record(out, _CUT_NAMES, _CUT_TYPES)
+    if held:
+        yield from _settled(held)
+
+
+def _settled(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Of fragments (value, doc_id, tie, start, raw): the spans that start earlier among them, and one row for each other string.
+
+    Spans have no bytes and may be dealt to any task. However many fragments hold a string, one row of it goes on.
+    """
+    rows = [h[1:] for h in held]
+    docs, cover, first = _repeats(rows)
+    out = [(hash((doc, tie)), -1, doc, tie, begin, end, None) for doc, tie, begin, end in _runs(docs, cover)]
+    seen: set[int] = set()
+    for (value, doc, tie, start, raw), key in zip(held, first.tolist(), strict=True):
+        starts = key + np.arange(len(raw) - LENGTH + 1)
+        for k in np.flatnonzero(~np.isin(starts, cover)).tolist():
+            if key + k in seen:
+                continue
+            seen.add(key + k)
+            part = raw[k : k + LENGTH]
+            out.append((value, int.from_bytes(hashlib.blake2b(part, digest_size=3).digest(), "big"), doc, tie, start + k, None, part))
+            if len(out) >= 20_000:
+                yield _record(out, _CUT_NAMES, _CUT_TYPES)
+                out = []
+    yield _record(out, _CUT_NAMES, _CUT_TYPES)
 
 
 def _sifted(rows: list[tuple]) -> list[tuple]:
@@ -345,22 +376,30 @@ def _repeats(rows: list[tuple]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
     owner = np.searchsorted(begins, suffix, side="right") - 1
     key = rank[owner] << 32 | starts[owner] + suffix - begins[owner]
     order = np.lexsort((key, interval))
-    later = np.zeros(len(order), dtype=bool)
-    later[1:] = (interval[order[1:]] == interval[order[:-1]])
-    return docs, np.unique(key[order[later]]), whole
+    key, interval = key[order], interval[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = interval[1:] != interval[:-1]
+    # One place may come twice, from equal rows of the table: it is not later than itself.
+    least = key[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return docs, np.unique(key[key != least]), whole
 
 
-def _covered(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
-    """(doc_id, tie, begin, end) of the starts whose string also starts earlier; the rows that begin with no such start."""
-    docs, cover, places = _repeats(rows)
+def _runs(docs: list[tuple], cover: np.ndarray) -> list[tuple]:
+    """(doc_id, tie, begin, end) of the bytes that covered starts take up, neighbours as one."""
     if not len(cover):
-        return [], rows
+        return []
     cut = np.flatnonzero(np.diff(cover) != 1) + 1
     out = []
     for a, b in zip(np.append(0, cut), np.append(cut, len(cover)), strict=True):
         null, doc, tie = docs[int(cover[a] >> 32)]
         out.append((None if null else doc, tie, int(cover[a] & 0xFFFFFFFF), int(cover[b - 1] & 0xFFFFFFFF) + LENGTH))
-    return out, [rows[i] for i in np.flatnonzero(~np.isin(places, cover))]
+    return out
+
+
+def _covered(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """The covered spans of these rows, and the rows that begin with no covered start."""
+    docs, cover, places = _repeats(rows)
+    return _runs(docs, cover), [rows[i] for i in np.flatnonzero(~np.isin(places, cover))]
 
 
 _CUT = "value long, part int, doc_id long, tie long, start int, end int, raw binary"
@@ -415,29 +454,6 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], li
         yield cover, kept(rows)
 
 
-def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a task's documents: the fragments, and one row of each string of a crowded hash.
-
-    However many documents hold a string, one row a task is dealt out. The spans that its other
-    rows cover go along under their document's hash, without bytes.
-    """
-
-    def crowded() -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alone = pc.less(batch.column("part"), 0)
-            through.append(batch.filter(alone))
-            yield batch.filter(pc.invert(alone))
-
-    through: list[pa.RecordBatch] = []
-    for cover, rows in _groups(crowded()):
-        yield from through
-        through.clear()
-        spans = [(hash((doc, tie)), -1, doc, tie, begin, end, None) for doc, tie, begin, end in cover]
-        if spans or rows:
-            yield _record(spans + [(*r[:5], None, r[5]) for r in rows], _CUT_NAMES, _CUT_TYPES)
-    yield from through
-
-
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of whole hashes, each merged apart; batches come sorted by hash. Rows without bytes are covered spans already."""
 
@@ -510,9 +526,8 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: st
     varied = materialise(first.groupBy("value").agg(F.count("*").alias("contents"), F.bool_or("own").alias("own"), size).where("contents > 1 or own"), "varied")
     marks = first.drop("own").join(varied.select("value", (F.col("size") > group_bytes).alias("crowded")), "value")
     cut = _by_document(texts, marks, ["value", "start", "count", "crowded"]).mapInArrow(_cut_out, _CUT)
-    # A crowded hash is merged first where its documents lie, then its earliest rows of all tasks.
-    thinned = cut.sortWithinPartitions("value", "part").mapInArrow(_thinned, _CUT)
-    covered = thinned.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie long, begin int, end int")
+    # A crowded hash is merged first where its documents lie, then its earliest strings of all tasks.
+    covered = cut.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie long, begin int, end int")
     copies = repeated.where("not first").select("doc_id", "tie", F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + LENGTH).cast("int").alias("end"))
     spans = materialise(covered.unionByName(copies), "covered")
     return _by_document(texts, spans, ["begin", "end"]).mapInArrow(_kept_bytes, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

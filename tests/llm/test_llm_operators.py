@@ -197,12 +197,18 @@ def test_one_string_of_many_documents_is_merged_in_bounded_groups(monkeypatch):
     out = [r for b in suffix_dedup._merged(iter([batch])) for r in b.to_pylist()]
     assert max(largest) < 2 * suffix_dedup.GROUP_BYTES
     assert sorted(r["doc_id"] for r in out) == list(range(2, n + 1)) and {(r["begin"], r["end"]) for r in out} == {(3, 103)}
-    thin = [r for b in suffix_dedup._thinned(iter([batch])) for r in b.to_pylist()]
+    thin = [r for b in suffix_dedup._settled([(5, k, 0, 3, raw) for k in range(n, 0, -1)]) for r in b.to_pylist()]
     assert [r["doc_id"] for r in thin if r["raw"] is not None] == [1] and len(thin) == n
     apart = [r for r in suffix_dedup._merged(iter([pa.RecordBatch.from_pylist(thin, schema=batch.schema)])) for r in r.to_pylist()]
     assert sorted(r["doc_id"] for r in apart) == list(range(2, n + 1))
 
 
+def test_one_place_of_equal_rows_is_not_later_than_itself():
+    raw = bytes(range(40, 120)) * 2
+    docs, cover, _ = suffix_dedup._repeats([(1, 0, 0, raw[:130]), (1, 0, 0, raw[:130]), (2, 0, 5, raw[:110])])
+    assert suffix_dedup._runs(docs, cover) == [(2, 0, 5, 115)]
+
+
 def test_passage_of_many_documents(spark):
     rng = random.Random(11)
     passage = "".join(rng.choice("abcdefgh ") for _ in range(140))
