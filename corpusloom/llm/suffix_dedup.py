@@ -295,9 +295,13 @@ def _settled(held: list[tuple]) -> Iterator[pa.RecordBatch]:
     docs, cover, first = _repeats(rows)
     out = [(hash((doc, tie)), -1, doc, tie, begin, end, None) for doc, tie, begin, end in _runs(docs, cover)]
     seen: set[int] = set()
-    for (value, doc, tie, start, raw), key in zip(held, first.tolist(), strict=True):
-        starts = key + np.arange(len(raw) - LENGTH + 1)
-        for k in np.flatnonzero(~np.isin(starts, cover)).tolist():
+    sizes = np.array([len(r[3]) - LENGTH + 1 for r in rows], dtype=np.int64)
+    begin, end = np.searchsorted(cover, first), np.searchsorted(cover, first + sizes)
+    for i, (value, doc, tie, start, raw) in enumerate(held):
+        key = int(first[i])
+        free = np.ones(sizes[i], dtype=bool)
+        free[cover[begin[i] : end[i]] - key] = False
+        for k in np.flatnonzero(free).tolist():
             if key + k in seen:
                 continue
             seen.add(key + k)
