@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import materialise
+from corpusloom.llm.common import few, materialise
 
 #: Fixed patterns. The keywords are matched in either case of their letters.
 ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -22,25 +22,55 @@ MAX_OWNERS, MAX_REPOSITORIES = 1, 3
 REDACTED = "[REDACTED]"
 
 
+def running(values: Column, fold, zero: int) -> Column:
+    """fold of the values up to each place, in time that grows as n times the root of n.
+
+    The values are folded in pieces of about the root of their number, and what the pieces before
+    come to is then folded into each: one long list grown value by value would be copied each time.
+    """
+    start = F.lit(zero).cast("int")
+    width = F.greatest(F.ceil(F.sqrt(F.size(values))).cast("int"), F.lit(1))
+
+    def grow(parts: Column, of) -> Column:
+        empty = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def step(state: Column, x: Column) -> Column:
+            at = fold(state["at"], of(x)).cast("int")
+            return F.struct(at.alias("at"), F.concat(state["out"], F.array(at)).alias("out"))
+
+        return F.aggregate(parts, empty, step, lambda s: s["out"])
+
+    cut = F.when(F.size(values) > 0, F.transform(F.sequence(F.lit(0), F.size(values) - 1, width), lambda k: F.slice(values, k + 1, width))).otherwise(F.array().cast("array<array<int>>"))
+    before = F.concat(F.array(start), grow(cut, lambda p: F.aggregate(p, start, lambda a, x: fold(a, x).cast("int"))))
+    inside = F.transform(cut, lambda p: grow(p, lambda x: x))
+    return F.flatten(F.zip_with(inside, F.slice(before, F.lit(1), F.size(cut)), lambda p, b: F.transform(p, lambda x: fold(b, x).cast("int"))))
+
+
+_SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
+
+
 def _matches(text: Column, pattern: str, kind: int) -> Column:
     """All matches as an array of (start, kind, end, value), in code points.
 
-    The text between matches is what split() gives, so each match begins after the pieces and
-    matches before it.
+    The text between matches is what split() gives, so each match ends after the pieces and
+    matches up to it.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    empty = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    pieces = F.split(text, pattern)
-    pair = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("piece"), found.alias("value"))
+    sizes = F.zip_with(F.slice(F.split(text, pattern), F.lit(1), F.size(found)), found, lambda piece, value: F.length(piece) + F.length(value))
+    ends = running(sizes, lambda a, b: a + b, 0)
+    spans = F.zip_with(ends, found, lambda end, value: F.struct((end - F.length(value)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value.alias("value")))
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["piece"])
-        end = start + F.length(x["value"])
-        item = F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end"), x["value"].alias("value"))
-        return F.struct(end.cast("int").alias("at"), F.concat(state["out"], F.array(item)).alias("out"))
 
-    start = F.struct(F.lit(0).cast("int").alias("at"), empty.alias("out"))
-    return F.when(text.rlike(pattern), F.aggregate(pair, start, step, lambda s: s["out"])).otherwise(empty)
+def _outside(base: Column, tokens: Column) -> Column:
+    """The tokens that no base span overlaps, by one pass over both in order of their start."""
+    both = F.array_sort(F.concat(base, tokens))
+    far = 2**31 - 1
+    reach = running(F.transform(both, lambda x: F.when(x["kind"] < 3, x["end"]).otherwise(0)), lambda a, b: F.greatest(a, b), 0)
+    ahead = F.reverse(running(F.reverse(F.transform(both, lambda x: F.when(x["kind"] < 3, x["start"]).otherwise(far))), lambda a, b: F.least(a, b), far))
+    seen = F.arrays_zip(both.alias("x"), reach.alias("reach"), ahead.alias("ahead"))
+    free = F.filter(seen, lambda y: (y["x"]["kind"] == 3) & (y["reach"] <= y["x"]["start"]) & (y["ahead"] >= y["x"]["end"]))
+    return F.when((F.size(base) > 0) & (F.size(tokens) > 0), F.transform(free, lambda y: y["x"])).otherwise(tokens)
 
 
 def _digits(value: Column) -> Column:
@@ -52,7 +82,7 @@ def _letters(value: Column) -> Column:
 
 
 def spans_of(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
-    """doc_id, owner, text_hash, base (spans by start and kind) and tokens (candidates outside base spans)."""
+    """row_id, doc_id, owner, text_hash, base (spans by start and kind) and tokens (candidates outside base spans)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(owner_col).cast("string").alias("owner"), text.alias("_text"))
     long_enough = lambda x: F.length(F.regexp_extract(x["value"], ASSIGN, 2)) >= ASSIGN_LEAST
@@ -60,16 +90,23 @@ def spans_of(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     found = rows.select("doc_id", "owner", F.xxhash64("_text").alias("text_hash"), F.filter(_matches(t, ASSIGN, 0), long_enough).alias("assign"), _matches(t, ACCESS, 1).alias("access"), _matches(t, HEX, 2).alias("hex"), _matches(t, CANDIDATE, 3).alias("_tokens"))
     found = found.withColumn("base", F.array_sort(F.concat("assign", "access", "hex"))).drop("assign", "access", "hex")
     live = lambda x: (_digits(x["value"]) >= CANDIDATE_DIGITS) & (_letters(x["value"]) >= CANDIDATE_LETTERS)
-    clear = lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
-    return found.withColumn("tokens", F.filter("_tokens", lambda x: live(x) & clear(x))).drop("_tokens")
+    found = found.withColumn("_live", F.filter("_tokens", live)).withColumn("row_id", F.monotonically_increasing_id())
+    return found.select("row_id", "doc_id", "owner", "text_hash", "base", _outside(F.col("base"), F.col("_live")).alias("tokens"))
+
+
+def _secret(x: Column) -> Column:
+    """SHA-256 of what is secret in a span: of an assignment the value, of others all of it."""
+    value = F.when(x["kind"] == 0, F.regexp_extract(x["value"], ASSIGN, 2)).otherwise(x["value"])
+    return F.sha2(value, 256)
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """For each candidate (SHA-256): how many distinct owners and repositories hold it.
+    """For each candidate and base span (SHA-256 of the secret): how many distinct owners and repositories hold it.
 
     An owner is a source; a repository is a distinct text of a source, so that copies count once.
     """
-    held = found.select("owner", "text_hash", F.explode("tokens").alias("x")).select(F.sha2("x.value", 256).alias("secret"), "owner", "text_hash").distinct()
+    spans = F.explode(F.concat("base", "tokens")).alias("x")
+    held = found.select("owner", "text_hash", spans).select(_secret(F.col("x")).alias("secret"), "owner", "text_hash").distinct()
     per_owner = held.groupBy("secret", "owner").agg(F.count("*").alias("texts"))
     return per_owner.groupBy("secret").agg(F.count("*").alias("owners"), F.sum("texts").alias("repositories"))
 
@@ -80,9 +117,9 @@ def _render(spans: Column) -> Column:
 
 
 def secret_spans(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
-    """doc_id, owner, text_hash, base and owned: arrays of (start, kind, end, value), sorted.
+    """doc_id, owner, text_hash, base and owned: arrays of (start, kind, end, value), sorted; and n_base_owned.
 
-    base holds the fixed patterns' matches. owned holds candidates outside of them that one owner
+    n_base_owned counts the base spans whose secret is as rare as an owned one. base holds the fixed patterns' matches. owned holds candidates outside of them that one owner
     alone holds, in however many repositories, or at most max_owners owners in at most
     max_repositories repositories; those that are held more widely are examples that people copy.
 
@@ -93,36 +130,73 @@ def secret_spans(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     # The texts are searched once: what is found is far smaller and is read several times.
     found = materialise(spans_of(documents, id_col=id_col, text_col=text_col, owner_col=owner_col), "secrets")
     rare = ownership(found).where((F.col("owners") <= max_owners) & ((F.col("owners") == 1) | (F.col("repositories") <= max_repositories))).select("secret")
-    token = found.where(F.size("tokens") > 0).select("doc_id", "owner", "text_hash", F.explode("tokens").alias("x")).distinct()
-    own = token.withColumn("secret", F.sha2("x.value", 256)).join(rare, "secret", "left_semi")
-    owned = own.groupBy(F.col("doc_id").alias("_id"), F.col("owner").alias("_owner"), F.col("text_hash").alias("_hash")).agg(F.array_sort(F.collect_set("x")).alias("owned"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("owner").eqNullSafe(F.col("_owner")) & (F.col("text_hash") == F.col("_hash"))
-    kind = "array<struct<start:int,kind:int,end:int,value:string>>"
-    return found.drop("tokens").join(owned, same, "left").select("doc_id", "owner", "text_hash", "base", F.coalesce("owned", F.array().cast(kind)).alias("owned"))
+    spans = F.explode(F.concat("base", "tokens")).alias("x")
+    own = found.where(F.size("base") + F.size("tokens") > 0).select("row_id", spans).withColumn("secret", _secret(F.col("x"))).join(rare, "secret", "left_semi")
+    # Spans are collected within one document: no more than its text holds.
+    mine = own.groupBy("row_id").agg(F.array_sort(F.collect_set("x")).alias("mine"))
+    joined = found.drop("tokens").join(mine, "row_id", "left").withColumn("mine", F.coalesce("mine", F.array().cast(_SPAN)))
+    is_base = lambda x: x["kind"] < 3
+    return joined.select("doc_id", "owner", "text_hash", "base", F.filter("mine", lambda x: ~is_base(x)).alias("owned"), F.size(F.filter("mine", is_base)).cast("long").alias("n_base_owned"))
 
 
 def digests(spans: DataFrame) -> DataFrame:
     """The counts per kind, the digest of the base spans, and all spans as text."""
     of = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
-    return spans.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(_render(F.col("base")).cast("binary"), 256).alias("base_sha256"), _render(F.array_sort(F.concat("base", "owned"))).alias("spans"), F.size("owned").cast("long").alias("n_owned"))
+    return spans.select("doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"), F.sha2(_render(F.col("base")).cast("binary"), 256).alias("base_sha256"), _render(F.array_sort(F.concat("base", "owned"))).alias("spans"), F.size("owned").cast("long").alias("n_owned"), "n_base_owned")
+
+
+#: A text is cut into pieces of so many characters, so that no span is counted off from its beginning.
+PIECE = 4096
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The characters from start to end of a text given in pieces of PIECE."""
+    a, b = (start / PIECE).cast("int"), ((end - 1) / PIECE).cast("int")
+    head = F.substring(F.get(pieces, a), start % PIECE + 1, F.least(end - start, F.lit(PIECE)))
+    middle = F.array_join(F.slice(pieces, a + 2, F.greatest(b - a - 1, F.lit(0))), "")
+    tail = F.substring(F.get(pieces, b), F.lit(1), (end - 1) % PIECE + 1)
+    return F.when(end <= start, "").when(a == b, head).otherwise(F.concat(head, middle, tail))
+
+
+def _redacted(body: Column, spans: Column) -> Column:
+    """body with every span, or run of spans that overlap, as one mark."""
+    ends = running(F.transform(spans, lambda x: x["end"]), lambda a, b: F.greatest(a, b), 0)
+    before = F.concat(F.array(F.lit(0)), ends)
+    cuts = F.zip_with(F.concat(F.transform(spans, lambda x: x["start"]), F.array(F.length(body))), before, lambda start, end: F.struct(start.alias("start"), end.alias("end")))
+    # A span that begins inside what is marked already only carries the mark on; the last cut is the text's end.
+    kept = F.filter(cuts, lambda c: c["start"] >= c["end"])
+    pieces = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    # Both are bound as variables once, not computed again for each cut.
+    both = F.array(F.struct(pieces.alias("pieces"), kept.alias("cuts")))
+    texts = F.transform(both, lambda b: F.transform(b["cuts"], lambda c: _between(b["pieces"], c["end"], c["start"])))
+    return F.array_join(texts[0], REDACTED)
 
 
 def redact(documents: DataFrame, *, owner_col: str = "source") -> DataFrame:
-    """The documents with every span replaced by a mark; the columns stay those of documents."""
-    spans = secret_spans(documents, owner_col=owner_col)
-    hit = spans.where(F.size("base") + F.size("owned") > 0).select(F.col("doc_id").alias("s_id"), F.col("owner").alias("s_owner"), F.col("text_hash").alias("s_hash"), F.array_sort(F.concat("base", "owned")).alias("spans")).distinct()
-    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.col(owner_col).cast("string").alias("owner"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.col("text").alias("body"))
-    joined = rows.join(hit, F.col("id").eqNullSafe(F.col("s_id")) & F.col("owner").eqNullSafe(F.col("s_owner")) & (F.col("hash") == F.col("s_hash")), "left")
-
-    def step(state: Column, x: Column) -> Column:
-        # A span that begins inside the one before only carries the mark's end on.
-        lead = F.when(x["start"] >= state["at"], F.concat(F.substring(F.col("body"), state["at"] + 1, x["start"] - state["at"]), F.lit(REDACTED))).otherwise(F.lit(""))
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.concat(state["out"], lead).alias("out"))
-
-    start = F.struct(F.lit(0).cast("int").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(F.col("body"), s["at"] + 1, F.length("body"))))
-    hidden = joined.select("row", F.col("spans").isNotNull().alias("hit"), F.when(F.col("spans").isNotNull(), clean).otherwise(F.col("body")).alias("body"))
+    """The documents with every span replaced by a mark; the columns stay those of documents.
+
+    A document is its id, text and owner: rows equal in these are redacted alike, and every row
+    stays. Null text stays null. Null ids and owners are values like any other. n_chars follows the
+    text if there is such a column. Other columns stay, whatever their names. An empty table gives
+    no rows.
+    """
+    spans = secret_spans(documents, owner_col=owner_col).where(F.size("base") + F.size("owned") > 0)
+    names = ["m_id", "m_null", "m_owner", "m_free", "m_hash"]
+
+    def place(doc: Column, owner: Column, text_hash: Column) -> list[Column]:
+        cols = (F.coalesce(doc, F.lit(0)), doc.isNull(), F.coalesce(owner, F.lit("")), owner.isNull(), text_hash)
+        return [c.alias(n) for c, n in zip(cols, names, strict=True)]
+
+    found = spans.select(*place(F.col("doc_id"), F.col("owner"), F.col("text_hash")), F.array_sort(F.concat("base", "owned")).alias("spans"))
+    marks = materialise(found.groupBy(*names).agg(F.first("spans").alias("spans")), "marks")
+    sent = few(marks.select(*names), extra="length(m_owner)")
+    where = place(F.col("doc_id").cast("long"), F.col(owner_col).cast("string"), F.xxhash64(F.coalesce("text", F.lit(""))))
+    carried = documents.select(F.struct("*").alias("row"), *where)
+    whole = carried.join(sent, names, "left_anti").select("row.*")
+    # Only texts with spans are written anew.
+    size = "length(m_owner) + 32 * size(spans) + aggregate(spans, 0L, (a, x) -> a + length(x.value))"
+    hit = carried.join(few(marks, extra=size), names).select("row", _redacted(F.col("row")["text"], F.col("spans")).alias("body"))
     put = {"text": F.col("body")}
     if "n_chars" in documents.columns:
-        put["n_chars"] = F.when(F.col("hit"), F.length("body").cast(documents.schema["n_chars"].dataType)).otherwise(F.col("row")["n_chars"])
-    return hidden.select(*[put.get(c, F.col("row")[c]).alias(c) for c in documents.columns])
+        put["n_chars"] = F.length("body").cast(documents.schema["n_chars"].dataType)
+    return whole.unionByName(hit.select(*[put.get(c, F.col("row")[c]).alias(c) for c in documents.columns]))
