@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import mix, signed
+from corpusloom.llm.common import few, materialise, mix, signed
 from corpusloom.llm.lexicon import Lexicon, cuts
 
 WINDOW = 8
@@ -23,8 +23,8 @@ LITERALS = 4
 COVERAGE = 0.5
 #: So many words of an item in a row are a leak, whatever their share of the item.
 LITERAL_RUN = 13
-#: Up to so many benchmark windows are sent to the tasks to sift with; more are joined by shuffle.
-BROADCAST_WINDOWS = 2_000_000
+#: Up to so many bytes of window hashes are sent to the tasks to sift with; without them all windows are joined by shuffle.
+BROADCAST_BYTES = 16 << 20
 
 _NUMBER = re.compile(rb"[+-]?[$]?\d[\d.,:/]*(?:%|[a-z]{1,3})?")
 #: Units that follow a number.
@@ -164,14 +164,21 @@ def template_windows(rows: DataFrame, widths: list[int] | None, known: np.ndarra
     return rows.select(F.col("id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash")).mapInArrow(windows, _SCHEMA)
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", coverage: float = COVERAGE, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+def _repeated(values: Column) -> Column:
+    """Of sorted values those that equal their neighbour."""
+    n = F.size(values)
+    pairs = F.zip_with(F.slice(values, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(values, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.when(a == b, a))
+    return F.filter(pairs, lambda x: x.isNotNull())
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", coverage: float = COVERAGE, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, text_hash, item_id, n_windows, n_matched, coverage, reparameterised of each leak.
 
     Numbers, units after numbers and capitalised words inside a sentence become placeholders.
     Windows of eight template words of document and item are joined by hash and compared as text.
     Windows with the item's own values always count. Along one offset a value of an item's slots
-    that meets different values in the document takes only the altered windows that hold it out
-    of the count. A document that has at least `coverage` of an item's windows, or LITERAL_RUN of
+    that meets different values in the document, or one of the document's that stands for different
+    values of the item, takes the altered windows that hold it out of the count. A document that has at least `coverage` of an item's windows, or LITERAL_RUN of
     its words in a row, is a leak; reparameterised tells whether a slot's value differs.
 
     An item none of whose windows has enough literal words must be met by all its exact words, and
@@ -180,30 +187,28 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "d
     empty table gives no rows. Other columns are ignored.
     """
     items = benchmark.select(F.col(item_col).alias("id"), F.col("text"))
-    asked = template_windows(items, None, None).withColumnRenamed("id", "item_id")
-    # All windows count, not only distinct ones: items with equal texts are sent to the tasks as well.
-    bounded = asked.limit(broadcast_windows + 1).count() <= broadcast_windows
-    keys = asked.select("hash", "width").distinct().collect() if bounded else []
-    known = np.unique(np.array([k.hash for k in keys], dtype=np.int64).view(np.uint64)) if bounded else None
-    widths = sorted({k.width for k in keys}) if bounded else sorted(w.width for w in asked.select("width").distinct().collect())
+    asked = materialise(template_windows(items, None, None).withColumnRenamed("id", "item_id"), "asked")
+    keys = asked.select("hash").distinct()
+    bounded = 8 * keys.count() <= broadcast_bytes
+    known = np.sort(keys.toArrow().column("hash").to_numpy().view(np.uint64)) if bounded else None
+    widths = sorted(w.width for w in asked.select("width").distinct().collect())
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    if bounded and not keys:
-        rows = rows.limit(0)
-        known = np.zeros(1, dtype=np.uint64)
+    if not widths:
+        rows, known = rows.limit(0), None
     held = template_windows(rows, widths, known)
-    sizes = asked.groupBy("item_id").agg(F.countDistinct("at").alias("n_windows"), (F.max("width") < 0).alias("exact"))
-    right = asked.select("item_id", F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots")).distinct()
-    if bounded:
-        right, sizes = F.broadcast(right), F.broadcast(sizes)
+    sizes = materialise(asked.groupBy("item_id").agg(F.countDistinct("at").alias("n_windows"), (F.max("width") < 0).alias("exact")), "sizes")
+    right = materialise(asked.select("item_id", F.col("at").alias("item_at"), "hash", "template", F.col("slots").alias("item_slots")).distinct(), "templates")
+    right, sizes = few(right, extra="length(template) + aggregate(item_slots, 0L, (a, x) -> a + 16 + length(x))"), few(sizes)
     met = held.join(right, ["hash", "template"])
     window = F.struct("item_at", F.abs("width").alias("width"), "item_slots", "slots")
     along = met.groupBy("id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).agg(F.array_sort(F.collect_set(window)).alias("windows"))
     pairs = F.array_distinct(F.flatten(F.transform("windows", lambda w: F.arrays_zip(w["item_slots"].alias("of"), w["slots"].alias("to")))))
-    along = along.withColumn("values", F.transform(pairs, lambda p: p["of"]))
-    # A value that stands in more than one pair meets different values.
-    torn = F.filter(F.array_distinct("values"), lambda v: F.size(F.filter("values", lambda x: x == v)) > 1)
+    # A value that stands in more than one pair meets different values on the other side.
+    torn = lambda side: F.array_distinct(_repeated(F.array_sort(F.transform(pairs, lambda p: p[side]))))
+    along = along.withColumn("torn_of", torn("of")).withColumn("torn_to", torn("to"))
     same = lambda w: w["item_slots"] == w["slots"]
-    along = along.withColumn("torn", torn).withColumn("good", F.filter("windows", lambda w: same(w) | ~F.arrays_overlap(w["item_slots"], F.col("torn"))))
+    whole = lambda w: ~F.arrays_overlap(w["item_slots"], F.col("torn_of")) & ~F.arrays_overlap(w["slots"], F.col("torn_to"))
+    along = along.withColumn("good", F.filter("windows", lambda w: same(w) | whole(w)))
 
     def longer(state: Column, w: Column) -> Column:
         begin = F.when(w["item_at"] <= state["end"], state["begin"]).otherwise(w["item_at"])
@@ -220,7 +225,14 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "d
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without the leaks; the columns stay."""
-    leaks = contaminated(documents, benchmark, **options).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
-    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key_id"), F.xxhash64("text").alias("key_hash"))
-    return rows.join(leaks, F.col("key_id").eqNullSafe(F.col("leak_id")) & (F.col("key_hash") == F.col("leak_hash")), "left_anti").select("row.*")
+    """The documents without the leaks; the columns stay, whatever their names.
+
+    A document is its id and text: rows equal in both are judged alike, and all clean ones stay.
+    Null ids are values like any other; null and empty texts are clean. An empty table of either
+    kind takes nothing out.
+    """
+    found = contaminated(documents, benchmark, **options)
+    names = ["m_id", "m_null", "m_hash"]
+    leaks = materialise(found.select(F.coalesce("doc_id", F.lit(0)).alias("m_id"), F.col("doc_id").isNull().alias("m_null"), F.col("text_hash").alias("m_hash")).distinct(), "leaks")
+    carried = documents.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("m_id"), F.col("doc_id").isNull().alias("m_null"), F.xxhash64("text").alias("m_hash"))
+    return carried.join(few(leaks), names, "left_anti").select("row.*")
