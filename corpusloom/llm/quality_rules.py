@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import Block, blocks, materialise, mix, signed
+from corpusloom.llm.common import Block, blocks, few, materialise, mix, signed
 
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -18,7 +18,7 @@ WINDOW = 5
 #: A line is removed where more distinct documents of one host hold it than both limits allow.
 LINE_MIN_DOCUMENTS = 20
 LINE_HOST_SHARE = 0.05
-#: So many texts of a host are enough whatever their share, as in a large host no line has the share.
+#: So many documents of a host are enough whatever their share, as in a large host no line has the share.
 LINE_ENOUGH_DOCUMENTS = 1000
 #: A document is depleted when fewer words than MIN_WORDS or than this share of its words are left.
 LEFT_SHARE = 0.2
@@ -116,11 +116,13 @@ def line_measures(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def frequent_lines(measured: DataFrame, *, min_documents: int = LINE_MIN_DOCUMENTS, host_share: float = LINE_HOST_SHARE, enough_documents: int = LINE_ENOUGH_DOCUMENTS) -> DataFrame:
-    """Lines (host, line) that more distinct texts of a host hold than allowed; copies of a text count once."""
-    lines = measured.select("host", "text_hash", F.explode("line_hash").alias("line"))
-    common = lines.groupBy("host", "line").agg(F.countDistinct("text_hash").alias("holders")).where(F.col("holders") > min_documents)
-    hosts = measured.groupBy("host").agg(F.countDistinct("text_hash").alias("texts")).withColumnRenamed("host", "of_host")
-    return common.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).where((F.col("holders") > F.col("texts") * host_share) | (F.col("holders") > enough_documents)).select("host", "line", "holders")
+    """Lines (host, line) that more distinct documents of a host hold than allowed; equal rows are one document."""
+    # The rows of one document (id and text) fall together first, then its lines are counted once.
+    document = measured.groupBy("host", "doc_id", "text_hash").agg(F.first("line_hash").alias("line_hash"))
+    lines = document.select("host", F.explode(F.array_distinct("line_hash")).alias("line"))
+    common = lines.groupBy("host", "line").agg(F.count("*").alias("holders")).where(F.col("holders") > min_documents)
+    hosts = document.groupBy("host").agg(F.count("*").alias("documents")).withColumnRenamed("host", "of_host")
+    return common.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).where((F.col("holders") > F.col("documents") * host_share) | (F.col("holders") > enough_documents)).select("host", "line", "holders")
 
 
 def verdicts(measured: DataFrame, frequent: DataFrame, *, left_share: float = LEFT_SHARE) -> DataFrame:
@@ -145,8 +147,8 @@ def quality_rules(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     than MIN_WORDS words or less than left_share is left is rejected.
 
     Null text: like empty text, so it fails for too few words. Null host: a host of its own. Null
-    ids are returned as they are. Copies of one text count once as holders of a line. Repeated rows
-    are judged alike and all returned. An empty table gives no rows. Other columns are ignored.
+    ids are returned as they are. A document is an id with its text: copies under other ids are
+    holders of a line as well, equal rows count once, are judged alike and all returned. An empty table gives no rows. Other columns are ignored.
     """
     measured = line_measures(documents, id_col=id_col, text_col=text_col, host_col=host_col)
     frequent = frequent_lines(measured, min_documents=min_documents, host_share=host_share, enough_documents=enough_documents)
@@ -155,15 +157,23 @@ def quality_rules(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def remove_lines(documents: DataFrame, *, host_col: str = "source", **limits) -> DataFrame:
-    """The documents that are kept, without the removed lines; the columns stay those of documents."""
+    """The documents that are kept, without the removed lines; the columns stay those of documents.
+
+    Null and empty texts fail. A document is its id, text and host: rows equal in these share a
+    verdict, and all that are kept stay. n_chars follows the text if there is such a column. Other
+    columns stay as they are, whatever their names. An empty table gives no rows.
+    """
     measured = line_measures(documents, host_col=host_col)
-    judged = verdicts(measured, frequent_lines(measured, **limits))
-    # Equal rows get equal verdicts, so one verdict for each id, text and host is enough.
-    verdict = judged.groupBy(F.col("doc_id").alias("v_id"), F.col("text_hash").alias("v_text"), F.col("host").alias("v_host")).agg(F.first("kept").alias("kept"), F.first("removed_lines").alias("lines"))
-    mark = verdict.where(~F.col("kept") | F.col("lines").isNotNull())
-    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.col(host_col).cast("string").alias("host"))
-    joined = rows.join(mark, F.col("id").eqNullSafe(F.col("v_id")) & (F.col("hash") == F.col("v_text")) & F.col("host").eqNullSafe(F.col("v_host")), "left").where(F.coalesce("kept", F.lit(True)))
-    return joined.select("row", "lines").mapInArrow(_without_lines, documents.schema)
+    judged = verdicts(measured, frequent_lines(measured, **limits)).where(~F.col("kept") | F.col("removed_lines").isNotNull())
+    place = [F.coalesce("doc_id", F.lit(0)).alias("m_id"), F.col("doc_id").isNull().alias("m_null"), F.coalesce("text_hash", F.lit(0)).alias("m_hash"), F.coalesce("host", F.lit("")).alias("m_host"), F.col("host").isNull().alias("m_free")]
+    names = ["m_id", "m_null", "m_hash", "m_host", "m_free"]
+    marks = materialise(judged.select(*place, "kept", "removed_lines").groupBy(*names).agg(F.first("kept").alias("kept"), F.first("removed_lines").alias("lines")), "marks")
+    sent = few(marks.select(*names), extra="length(m_host)")
+    carried = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col(host_col).cast("string").alias("host")).select("row", *place)
+    # Most rows are left as they are and need not be looked into.
+    whole = carried.join(sent, names, "left_anti").select("row.*")
+    lines = few(marks.where("kept").select(*names, "lines"), extra="length(m_host) + 8 * size(lines)")
+    return whole.unionByName(carried.join(lines, names).select("row", "lines").mapInArrow(_without_lines, documents.schema))
 
 
 def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
