@@ -17,9 +17,11 @@ SLICE_BYTES = 1 << 20
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names; a temporary one only where none is set and all runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="corpusloom-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -36,6 +38,16 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Marks of so many bytes at most are sent to every task; more are joined by shuffle.
+MARK_BYTES = 32 << 20
+
+
+def few(marks: DataFrame, *, each: int = 64, extra: str = "0") -> DataFrame:
+    """Marks (a table already written) with a broadcast hint if they are small: `each` bytes a row and those that `extra` counts."""
+    n, more = marks.agg(F.count("*"), F.coalesce(F.sum(F.expr(extra)), F.lit(0))).first()
+    return F.broadcast(marks) if n * each + more <= MARK_BYTES else marks
+
+
 def rows_of(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and text under their fixed names, whatever other columns the table has."""
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -53,10 +65,29 @@ def bounded_sample(df: DataFrame, key: Column, bound: int) -> DataFrame:
     The choice depends on the key alone, so that it is the same after a task is run again.
     """
     total = df.count()
-    if total <= bound:
-        return df
-    share = int(bound / total * (1 << 24))
-    return df.where(F.pmod(F.xxhash64(F.lit(7), key), F.lit(1 << 24)) < share)
+    return df if total <= bound else df.where(drawn(key) < int(bound / total * DRAWS))
+
+
+DRAWS = 1 << 24
+
+
+def drawn(key: Column) -> Column:
+    """A number below DRAWS for each key, evenly spread."""
+    return F.pmod(F.xxhash64(F.lit(7), key), F.lit(DRAWS))
+
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, *, label_col: str, id_col: str, text_col: str, learnable: Column, bound: int) -> DataFrame:
+    """doc_id, text and label of about `bound` labelled ids that `learnable` (over _id) admits.
+
+    Of an id's unlike labels the smallest holds, and of its unlike texts the one of the smallest
+    hash, so that no more rows than ids are learned from and every run learns from the same.
+    """
+    marked = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("_id").isNotNull() & learnable)
+    marked = materialise(bounded_sample(marked.groupBy("_id").agg(F.min("label").alias("label")), F.col("_id"), bound), "labels")
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    # About `bound` ids at most are sent to the tasks.
+    met = rows.join(F.broadcast(marked), F.col("doc_id") == F.col("_id"))
+    return met.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")
 
 
 # ---- vectorised words ---------------------------------------------------------------------

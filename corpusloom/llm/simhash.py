@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import materialise, rows_of
+from corpusloom.llm.common import few, materialise, rows_of
 from corpusloom.llm.components import connected_components
 
 SEED = 42
@@ -46,12 +46,12 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.array([fingerprint(x.as_py()) for x in batch.column("text")], dtype=np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints)], names=["doc_id", "print"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(prints)], names=["doc_id", "text_hash", "print"])
 
 
 def fingerprints(documents: DataFrame, **cols) -> DataFrame:
-    """doc_id and print (the 64 bits as a signed long) of each row."""
-    return rows_of(documents, **cols).mapInArrow(_fingerprints, "doc_id long, print long")
+    """doc_id, text_hash and print (the 64 bits as a signed long) of each row."""
+    return rows_of(documents, **cols).withColumn("text_hash", F.xxhash64("text")).mapInArrow(_fingerprints, "doc_id long, text_hash long, print long")
 
 
 def _signed(x: int) -> int:
@@ -172,19 +172,38 @@ def near_duplicates(documents: DataFrame, **cols) -> DataFrame:
     otherwise ignored in the minimum. An empty table gives no rows. Other columns are ignored.
     """
     marked = materialise(fingerprints(documents, **cols), "prints")
-    distinct = marked.groupBy("print").agg(F.min("doc_id").alias("first_id"))
-    distinct = materialise(distinct, "distinct")
-    links = print_links(distinct.select("print"))
-    component = connected_components(links).withColumnRenamed("node", "print")
-    grouped = distinct.join(component, "print", "left").withColumn("component", F.coalesce("component", "print"))
+    grouped = _components(marked)
     smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_print = grouped.select("print", "component").join(smallest, "component").select("print", "component_id")
     return marked.join(of_print, "print").select("doc_id", hex_of("print").alias("fingerprint"), "component_id")
 
 
+def _components(marked: DataFrame) -> DataFrame:
+    """print, first_id (its smallest id) and component of each distinct fingerprint."""
+    distinct = materialise(marked.groupBy("print").agg(F.min("doc_id").alias("first_id")), "distinct")
+    component = connected_components(print_links(distinct.select("print"))).withColumnRenamed("node", "print")
+    return distinct.join(component, "print", "left").withColumn("component", F.coalesce("component", "print"))
+
+
 def one_of_each_group(documents: DataFrame) -> DataFrame:
-    """The documents whose id is their component's smallest; equal rows stay once, rows without an id stay."""
-    found = near_duplicates(documents)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("key_id"), F.col("text").alias("key_text"))
-    return rows.join(gone, F.col("key_id") == F.col("gone_id"), "left_anti").dropDuplicates(["key_id", "key_text"]).select("row.*")
+    """One row of each component: the smallest id (null last), then the smallest hash of the text.
+
+    Texts are told apart within an id, so rows of one id with unlike texts are judged apart. Equal
+    rows count as one, of which one stays. Null and empty texts are one group. Other columns stay
+    as they are, whatever their names. An empty table gives no rows.
+    """
+    marked = materialise(fingerprints(documents), "prints")
+    place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", F.coalesce("text_hash", F.lit(0)).alias("hash"))
+    rows = marked.join(_components(marked).select("print", "component"), "print").select("component", place.alias("place"))
+    first = rows.groupBy("component").agg(F.min("place").alias("place"))
+    key = [F.coalesce("place.doc_id", F.lit(0)).alias("m_id"), F.col("place.null").alias("m_null"), F.col("place.hash").alias("m_hash")]
+    gone = materialise(rows.select("place").distinct().join(first.select("place"), "place", "left_anti").select(*key), "gone")
+    again = materialise(rows.groupBy("place").count().where("count > 1").select(*key), "again")
+    carried = documents.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("m_id"), F.col("doc_id").isNull().alias("m_null"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("m_hash"))
+    names = ["m_id", "m_null", "m_hash"]
+    kept = carried.join(few(gone), names, "left_anti")
+    repeated = few(again)
+    # Only rows that repeat are brought together to keep one of them.
+    single = kept.join(repeated, names, "left_anti").select("row")
+    one = kept.join(repeated, names, "left_semi").groupBy(*names).agg(F.first("row").alias("row")).select("row")
+    return single.unionByName(one).select("row.*")
