@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample, crc_of_id, mix
+from corpusloom.llm.common import crc_of_id, labelled_sample, materialise, mix
 from corpusloom.llm.lexicon import Lexicon, cuts
 
 BITS = 20
@@ -21,6 +21,8 @@ EPOCHS = 5
 #: Toxic rows are rarer; they weigh so much more.
 POSITIVE_WEIGHT = 6.0
 SAMPLE = 8000
+#: The cut is placed by scores of folds that were left out.
+PARTS = 4
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 
@@ -105,48 +107,67 @@ def _best_cut(score: np.ndarray, label: np.ndarray) -> float:
     return float((score[order[k]] + low) / 2)
 
 
-def _fit(texts: list[str | None], labels: np.ndarray) -> Weights:
-    rng = np.random.default_rng(5)
-    examples = [np.append(np.unique(features([t])[0]), 1 << BITS) for t in texts]
-    folds = rng.integers(0, 4, len(texts))
-    score = np.zeros(len(texts))
-    for k in range(4):
-        w, b = ftrl(examples, labels, rng.permutation(np.flatnonzero(folds != k)))
-        full = np.append(w, b)
-        for i in np.flatnonzero(folds == k):
-            score[i] = full[examples[i]].sum()
-    w, b = ftrl(examples, labels, rng.permutation(len(texts)))
-    move = float(np.log(THRESHOLD / (1 - THRESHOLD))) - _best_cut(score, labels) if 0 < labels.sum() < len(labels) else 0.0
-    at = np.flatnonzero(w)
-    return Weights(at, w[at], b + move)
+def _ordered(got: list[tuple]) -> list[tuple]:
+    """Rows (doc_id, text_hash, label, features) by id; copies of a text once, with the label of the smallest id."""
+    return sorted({r[1]: r for r in sorted(got, key=lambda r: -r[0])}.values(), key=lambda r: r[0])
+
+
+def _fit(rows: list[tuple], part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Weights learned from all folds but `part`, and scores and labels of that fold; PARTS: from all rows."""
+    labels = np.array([r[2] for r in rows], dtype=np.float64)
+    examples = [np.append(np.asarray(r[3], dtype=np.int64), 1 << BITS) for r in rows]
+    folds = np.array([xxhash.xxh64_intdigest(r[0].to_bytes(8, "little", signed=True)) % PARTS for r in rows])
+    order = np.random.default_rng(5 + part).permutation(np.flatnonzero(folds != part))
+    w, b = ftrl(examples, labels, order)
+    full = np.append(w, b)
+    held = np.flatnonzero(folds == part)
+    at = np.append(np.flatnonzero(w), -1)
+    return at, np.append(w[at[:-1]], b), np.array([full[examples[i]].sum() for i in held]), labels[held]
 
 
 def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Weights | None:
-    """Weights from about `sample` labelled rows at most, outside the held-out fold; None without any.
+    """Weights from about `sample` labelled ids at most, outside the held-out fold; None without any.
 
-    The rows are learned from in one task, one after the other, as the method asks; their number
-    is bounded by `sample` whatever the size of the corpus.
+    Texts become features where they lie; the fits, four on three of four folds each and one on
+    all, are tasks side by side. A fit takes its rows one after the other, as the method asks; their
+    number is bounded by `sample` whatever the size of the corpus. Of an id's unlike labels the
+    smallest holds.
     """
-    marked = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("_id").isNotNull()).dropDuplicates(["_id"])
-    marked = bounded_sample(marked.where(F.pmod(crc_of_id("_id"), F.lit(FOLDS)) != HELD_OUT), F.col("_id"), sample)
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    chosen = rows.join(F.broadcast(marked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
+    learnable = F.pmod(crc_of_id("_id"), F.lit(FOLDS)) != HELD_OUT
+    chosen = labelled_sample(documents, labels, label_col=label_col, id_col=id_col, text_col=text_col, learnable=learnable, bound=sample)
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column("text")
+            for lo, hi in cuts(pc.binary_length(text).to_pylist()):
+                at, row = features(text.slice(lo, hi - lo).to_pylist())
+                pair = np.unique(row << BITS | at)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(pair >> BITS, minlength=hi - lo))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((pair & ((1 << BITS) - 1)).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_hash", "label")), lists], names=["doc_id", "text_hash", "label", "x"])
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[tuple] = []
+        got: dict[int, list[tuple]] = {}
         for batch in batches:
-            got += zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True)
-        if got:
-            # Copies of a text are learned from once, with the label of the smallest id.
-            got = sorted({r[1]: r for r in sorted(got, key=lambda r: -r[0])}.values(), key=lambda r: r[0])
-            w = _fit([r[1] for r in got], np.array([r[2] for r in got], dtype=np.float64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(w.at, -1), type=pa.int32()), pa.array(np.append(w.value, w.bias))], names=["at", "value"])
-
-    table = chosen.repartition(1).mapInArrow(fitted, "at int, value double").toArrow()
-    if not table.num_rows:
+            x = batch.column("x")
+            for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "label", "fit")), strict=True)):
+                got.setdefault(row[3], []).append((*row[:3], x[i].values.to_numpy()))
+        for part in sorted(got):
+            at, value, score, label = _fit(_ordered(got[part]), part)
+            kinds = [(0, at, value)] if part == PARTS else [(1, label, score)]
+            for kind, a, v in kinds:
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind), type=pa.int32()), pa.array(a, type=pa.int32()), pa.array(v, type=pa.float64())], names=["kind", "at", "value"])
+
+    described_rows = materialise(chosen.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "label", "text").mapInArrow(described, "doc_id long, text_hash long, label int, x array<int>"), "features")
+    fits = described_rows.withColumn("fit", F.explode(F.array(*[F.lit(k) for k in range(PARTS + 1)])))
+    table = fits.repartitionByRange(PARTS + 1, "fit").mapInArrow(fitted, "kind int, at int, value double").toArrow()
+    kind, at, value = (table.column(c).to_numpy() for c in ("kind", "at", "value"))
+    if not len(kind):
         return None
-    at, value = table.column("at").to_numpy(), table.column("value").to_numpy()
-    return Weights(at[at >= 0], value[at >= 0], float(value[at < 0][0]))
+    w, score, label = kind == 0, value[kind == 1], at[kind == 1].astype(np.float64)
+    order = np.argsort(score, kind="stable")
+    move = float(np.log(THRESHOLD / (1 - THRESHOLD))) - _best_cut(score[order], label[order]) if 0 < label.sum() < len(label) else 0.0
+    return Weights(at[w & (at >= 0)], value[w & (at >= 0)], float(value[w & (at < 0)][0]) + move)
 
 
 def classify(documents: DataFrame, weights: Weights | None, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
