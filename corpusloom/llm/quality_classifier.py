@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample, crc_of_id
+from corpusloom.llm.common import crc_of_id, labelled_sample, materialise
 from corpusloom.llm.lexicon import Lexicon, cuts
 
 DIMENSION = 32
@@ -33,7 +33,7 @@ _lexicon: list[Lexicon] = []
 
 def shape_of(word: str) -> str:
     """Upper case X, lower case x, digits 9, other characters as they are; runs as one."""
-    kinds = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64])
+    kinds = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word)
     return _RUN.sub(r"\1", kinds)
 
 
@@ -84,22 +84,25 @@ def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
     if not len(row):
         return out
     some = np.flatnonzero(count)
-    first = np.concatenate([[0], np.cumsum(count)[:-1]])[some]
-    out[some, :DIMENSION] = np.add.reduceat(vectors[said["word"]], first, axis=0) / count[some, None]
-    out[some, DIMENSION : 2 * DIMENSION] = np.add.reduceat(vectors[said["shape"]], first, axis=0) / count[some, None]
-    order = np.lexsort((said["hash"], row))
+    # The row stands above 40 bits of the hash, so that one sort brings the equal words of a text together.
+    key = row.astype(np.uint64) << np.uint64(40) | said["hash"] >> np.uint64(24)
+    order = np.argsort(key)
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (said["hash"][order[1:]] != said["hash"][order[:-1]]) | (row[order[1:]] != row[order[:-1]])
+    new[1:] = key[order[1:]] != key[order[:-1]]
     one = order[new]
     distinct = np.bincount(row[one], minlength=n)
     begin = np.concatenate([[0], np.cumsum(distinct)[:-1]])[some]
-    out[some, 2 * DIMENSION : 3 * DIMENSION] = np.add.reduceat(vectors[said["word"][one]], begin, axis=0) / distinct[some, None]
-    out[some, 3 * DIMENSION : 4 * DIMENSION] = np.add.reduceat(vectors[said["shape"][one]], begin, axis=0) / distinct[some, None]
+    times = np.diff(np.append(np.flatnonzero(new), len(order))).astype(np.float32)[:, None]
+    word, shape = vectors[said["word"][one]], vectors[said["shape"][one]]
+    for k, (part, size) in enumerate(((word * times, count), (shape * times, count), (word, distinct), (shape, distinct))):
+        out[some, k * DIMENSION : (k + 1) * DIMENSION] = np.add.reduceat(part, begin, axis=0) / size[some, None]
     # Repetition shows in few distinct words, few distinct pairs, and words that stand twice.
-    pair = said["hash"][:-1] * np.uint64(0x9E3779B97F4A7C15) + said["hash"][1:] if len(row) > 1 else np.zeros(0, dtype=np.uint64)
     inside = row[:-1] == row[1:]
-    seen = np.unique(np.stack([row[:-1][inside].astype(np.uint64), pair[inside]]), axis=1)[0].astype(np.int64) if inside.any() else np.zeros(0, dtype=np.int64)
-    pairs = np.bincount(seen, minlength=n)
+    pair = (said["hash"][:-1] * np.uint64(0x9E3779B97F4A7C15) + said["hash"][1:])[inside]
+    pair = np.sort(row[:-1][inside].astype(np.uint64) << np.uint64(40) | pair >> np.uint64(24))
+    first = np.ones(len(pair), dtype=bool)
+    first[1:] = pair[1:] != pair[:-1]
+    pairs = np.bincount((pair[first] >> np.uint64(40)).astype(np.int64), minlength=n)
     again = row[1:][inside & (said["hash"][1:] == said["hash"][:-1])]
     out[:, -5] = np.bincount(again, minlength=n) / np.maximum(count - 1, 1)
     out[:, -4] = np.log1p(count) / 5
@@ -172,19 +175,11 @@ def train(x: np.ndarray, y: np.ndarray, vectors: np.ndarray) -> Network:
     return net
 
 
-def _sample(documents: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str, sample: int) -> DataFrame:
-    """Text and label of about `sample` labelled rows outside the held-out fold."""
-    marked = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isNotNull() & F.col("_id").isNotNull()).dropDuplicates(["_id"])
-    marked = bounded_sample(marked.where(F.pmod(crc_of_id("_id"), F.lit(FOLDS)) != HELD_OUT), F.col("_id"), sample)
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # About `sample` ids at most are sent to the tasks.
-    return rows.join(F.broadcast(marked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "label")
-
-
 def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Network | None:
     """Word vectors and network from a bounded sample; None if no labelled row may be learned from."""
     spark = documents.sparkSession
-    chosen = _sample(documents, labels, label_col, id_col, text_col, sample)
+    learnable = F.pmod(crc_of_id("_id"), F.lit(FOLDS)) != HELD_OUT
+    chosen = materialise(labelled_sample(documents, labels, label_col=label_col, id_col=id_col, text_col=text_col, learnable=learnable, bound=sample), "sample")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
