@@ -10,12 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample, crc_of_id
+from corpusloom.llm.common import DRAWS, crc_of_id, drawn, few, materialise
 from corpusloom.llm.lexicon import cuts
 
 DIMENSION = 1024
-#: Prototypes are bundled from about so many documents at most, chosen by a hash of their id.
-SAMPLE = 12_000
+#: A prototype is bundled from about so many documents of its language at most, chosen by a hash of id and text.
+SAMPLE = 3000
 FOLDS, HELD_OUT = 5, 0
 UNDETERMINED = "und"
 
@@ -84,10 +84,16 @@ def profiles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Languages and their prototypes: the bundled profiles of each language's documents."""
+    """Languages and their prototypes: the bundled profiles of each language's documents.
+
+    Of each language about `sample` documents at most are bundled, all of a rarer one, so that no
+    language is lost beside larger ones.
+    """
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.pmod(crc_of_id(), F.lit(FOLDS)) != HELD_OUT))
-    chosen = bounded_sample(rows, F.col("doc_id"), sample)
+    counts = few(materialise(rows.groupBy("lang").count(), "languages"), extra="length(lang)")
+    share = F.lit(sample) / F.col("count") * DRAWS
+    chosen = rows.join(counts, "lang").where(drawn(F.xxhash64("doc_id", "text")) < share)
 
     def bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
