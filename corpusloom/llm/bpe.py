@@ -19,7 +19,7 @@ from corpusloom.llm.common import rows_of
 
 #: Fixed values of byte-level BPE: how text is cut into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words kept with their ids in a Python worker; the store is emptied when full.
+#: Words of up to SHORT bytes kept with their ids in a Python worker; the store is emptied when full.
 CACHE_WORDS = 400_000
 #: Longer words are merged one by one, shorter ones side by side.
 SHORT = 64
@@ -216,7 +216,12 @@ def encode_batch(vocab: Vocabulary, texts: list[str]) -> list[bytes]:
     new = {w for words in cut for w in set(words) if w not in vocab.words}
     encode_words(vocab, list(new))
     get = vocab.words.__getitem__
-    return [b"".join(map(get, words)) for words in cut]
+    out = [b"".join(map(get, words)) for words in cut]
+    for w in new:
+        # Long words are not kept, so that their number bounds the bytes of the store.
+        if len(w) > SHORT:
+            del vocab.words[w]
+    return out
 
 
 def decode(vocab: Vocabulary, ids: np.ndarray) -> str:

@@ -136,8 +136,16 @@ def test_one_of_each_group(docs, rows, empty):
     assert kept.columns == docs.columns
     want = {i for i, _, c in brute_components([(i, brute_print(t)) for i, t, _, _ in rows]) if i is not None and i == c}
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(want)
-    assert kept.where("doc_id is null").count() == 1
-    assert simhash.near_duplicates(empty).count() == 0
+    assert kept.where("doc_id is null").count() == 0
+    assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each_group(empty).count() == 0
+
+
+def test_one_of_each_group_tells_texts_of_one_id_apart(spark):
+    a, b, c = ("one two three four five six", "seven eight nine ten eleven twelve", "red green blue black white grey")
+    rows = [(1, a, 5), (2, a, 6), (2, b, 7), (2, b, 7), (None, c, 8), (None, c, 8), (None, b, 9), (3, None, 1), (4, "", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, print int").withColumn("m_id", F.lit("x"))
+    got = sorted(((r.doc_id, r.text, r.print) for r in simhash.one_of_each_group(docs).collect()), key=key)
+    assert got == sorted([(1, a, 5), (2, b, 7), (None, c, 8), (3, None, 1)], key=key)
 
 
 # ---- suffix dedup
@@ -360,8 +368,8 @@ def test_templates_and_slots(spark):
     rows = [(1, "A start. " + item + " and an end", "x"), (2, swap, "x"), (3, item.replace("Peter", "Anna").replace("5 km", "12 km"), "x"), (4, None, "x"), (5, "", "x"), (6, "quite another text that has nothing at all to do with any of it, not one bit of it", "x"), (1, "A start. " + item + " and an end", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, hash string").withColumn("id", F.lit("x"))
     bench = spark.createDataFrame([(10, item, 1), (11, None, 1), (12, "so how far", 1)], "item_id long, text string, id int")
-    for bound in (2_000_000, 1):
-        got = {r.doc_id: r.reparameterised for r in decontaminate.contaminated(docs, bench, broadcast_windows=bound).collect()}
+    for bound in (2_000_000, 0):
+        got = {r.doc_id: r.reparameterised for r in decontaminate.contaminated(docs, bench, broadcast_bytes=bound).collect()}
         assert got == {1: False, 2: True, 3: True}
     assert sorted(r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()) == [4, 5, 6]
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
