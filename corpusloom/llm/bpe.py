@@ -20,11 +20,11 @@ from corpusloom.llm.common import rows_of
 #: Fixed values of byte-level BPE: how text is cut into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words of up to SHORT bytes kept with their ids in a Python worker; the store is emptied when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 120_000
 #: Longer words are merged one by one, shorter ones side by side.
 SHORT = 64
 _NONE = np.int64(1 << 60)
-_SLICE_CHARS = 1 << 20
+_SLICE_CHARS = 1 << 19
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -275,6 +275,7 @@ def round_trip(documents: DataFrame, vocabulary_path: str, *, decoded: bool = Tr
                 if decoded:
                     out.append(pa.array([decode(vocab, x) for x in ids], type=pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "ids", "decoded"][: len(out)])
+            pa.default_memory_pool().release_unused()
 
     return rows_of(documents, **cols).mapInArrow(encoded, schema)
 

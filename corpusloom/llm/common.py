@@ -13,7 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 20
+#: Texts are worked on in slices of about so many bytes; arrays over a slice take some hundred times that.
+SLICE_BYTES = 1 << 19
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -192,6 +193,8 @@ def blocks(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         hi = min(max(hi, lo + 1), n)
         yield lo, hi, Block(whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         lo = hi
+    # What a long text took goes back, as the worker lives on for other stages.
+    pa.default_memory_pool().release_unused()
 
 
 def signed(x: np.ndarray) -> np.ndarray:

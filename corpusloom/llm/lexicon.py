@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-LIMIT = 300_000
+LIMIT = 100_000
 
 
 class Lexicon(dict):
@@ -35,7 +35,7 @@ class Lexicon(dict):
         return self.rows[ids], np.repeat(np.arange(len(texts)), count), words
 
 
-def cuts(sizes: list[int], limit: int = 1 << 20) -> list[tuple[int, int]]:
+def cuts(sizes: list[int], limit: int = 1 << 19) -> list[tuple[int, int]]:
     """Row ranges of about `limit` bytes."""
     out, lo, size = [], 0, 0
     for i, n in enumerate(sizes):
