@@ -273,3 +273,34 @@ def test_top_k_uses_group_limits(spark):
     docs = spark.createDataFrame([(1, "cat dog")], "doc_id int, text string")
     plan = bm25.top_documents(docs, docs.withColumnRenamed("doc_id", "qid"), 3, doc_id="doc_id", query_id="qid")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize(
+    ("texts", "last"),
+    [
+        (["(b) x", "(c) x", "(d) x"], "(d)"),
+        (["(h) x", "(i) x"], "(i)"),
+        (["(h) x", "(1) x", "(i) x", "(j) x"], "(j)"),
+        (["(h) x", "(1) x", "(i) x", "(ii) x"], "(h)(1)(ii)"),
+        (["(b)(2)(iv) x", "(A) x", "( 1 ) x", "(i) x"], "(b)(2)(iv)(A)(1)(i)"),
+        (["(y) x", "(z) x", "(aa) x"], "(aa)"),
+        (["(c) x", "(d) Terms. (1) One.", "(i) x", "(v) x"], "(d)(1)(v)"),
+        (["(a) x", "(3) Uses (see 1 of 2)\u2014(i) First.", "(A) x"], "(a)(3)(i)(A)"),
+        (["(1) x", "(i) x", "(ii) x", "(2) x"], "(2)"),
+        (["(a) x", "no marker"], None),
+        (["(a) x", "(§) x", None, ""], None),
+    ],
+)
+def test_outline_by_what_comes_before_and_after(texts, last):
+    assert signals.designations(texts)[-1] == last
+
+
+def test_outline_settles_backwards():
+    assert signals.designations(["(h) x", "(1) x", "(i) x", "(j) x"])[2] == "(i)"
+    assert signals.designations(["(h) x", "(1) x", "(i) x", "(ii) x"])[2] == "(h)(1)(i)"
+    assert signals.designations([f"({chr(97 + k % 26)}) x" for k in range(3000)])[-1] == "(j)"
+
+
+def test_html_silent_nested_and_unclosed():
+    html = "a<div>b <b>c</b><script>x<p>y</script> d<ul><li>e<p>f</ul><h2>g<p>h<style>i"
+    assert extract.html_blocks_of(html) == [("paragraph", None, "a"), ("paragraph", None, "b c d"), ("list_item", None, "e"), ("paragraph", None, "f"), ("heading", 2, "g"), ("paragraph", None, "h")]
