@@ -16,7 +16,7 @@ from corpusloom.llm.common import crc_of_id, labelled_sample, materialise, mix
 from corpusloom.llm.lexicon import Lexicon, cuts
 
 BITS = 20
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 12.0, 1.0
+ALPHA, BETA, L1, L2 = 0.3, 1.0, 25.0, 1.0
 EPOCHS = 5
 #: Toxic rows are rarer; they weigh so much more.
 POSITIVE_WEIGHT = 6.0
