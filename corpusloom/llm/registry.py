@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, toxicity
+from corpusloom.llm import bpe, decontaminate, language_id, oracles, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
