@@ -22,6 +22,11 @@ MAX_OWNERS, MAX_REPOSITORIES = 1, 3
 REDACTED = "[REDACTED]"
 
 
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once, however often body names it, also in functions over arrays."""
+    return F.transform(F.array(value), body)[0]
+
+
 def running(values: Column, fold, zero: int) -> Column:
     """fold of the values up to each place, in time that grows as n times the root of n.
 
@@ -29,21 +34,26 @@ def running(values: Column, fold, zero: int) -> Column:
     come to is then folded into each: one long list grown value by value would be copied each time.
     """
     start = F.lit(zero).cast("int")
-    width = F.greatest(F.ceil(F.sqrt(F.size(values))).cast("int"), F.lit(1))
 
     def grow(parts: Column, of) -> Column:
         empty = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
 
         def step(state: Column, x: Column) -> Column:
-            at = fold(state["at"], of(x)).cast("int")
-            return F.struct(at.alias("at"), F.concat(state["out"], F.array(at)).alias("out"))
+            return _let(fold(state["at"], of(x)).cast("int"), lambda at: F.struct(at.alias("at"), F.concat(state["out"], F.array(at)).alias("out")))
 
         return F.aggregate(parts, empty, step, lambda s: s["out"])
 
-    cut = F.when(F.size(values) > 0, F.transform(F.sequence(F.lit(0), F.size(values) - 1, width), lambda k: F.slice(values, k + 1, width))).otherwise(F.array().cast("array<array<int>>"))
-    before = F.concat(F.array(start), grow(cut, lambda p: F.aggregate(p, start, lambda a, x: fold(a, x).cast("int"))))
-    inside = F.transform(cut, lambda p: grow(p, lambda x: x))
-    return F.flatten(F.zip_with(inside, F.slice(before, F.lit(1), F.size(cut)), lambda p, b: F.transform(p, lambda x: fold(b, x).cast("int"))))
+    def cut(v: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(v))).cast("int"), F.lit(1))
+        pieces = _let(width, lambda w: F.transform(F.sequence(F.lit(0), F.size(v) - 1, w), lambda k: F.slice(v, k + 1, w)))
+        return F.when(F.size(v) > 0, pieces).otherwise(F.array().cast("array<array<int>>"))
+
+    def joined(parts: Column) -> Column:
+        before = F.concat(F.array(start), grow(parts, lambda p: F.aggregate(p, start, lambda a, x: fold(a, x).cast("int"))))
+        inside = F.transform(parts, lambda p: grow(p, lambda x: x))
+        return F.flatten(F.zip_with(inside, F.slice(before, F.lit(1), F.size(parts)), lambda p, b: F.transform(p, lambda x: fold(b, x).cast("int"))))
+
+    return _let(values, lambda v: _let(cut(v), joined))
 
 
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -55,22 +65,26 @@ def _matches(text: Column, pattern: str, kind: int) -> Column:
     The text between matches is what split() gives, so each match ends after the pieces and
     matches up to it.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    sizes = F.zip_with(F.slice(F.split(text, pattern), F.lit(1), F.size(found)), found, lambda piece, value: F.length(piece) + F.length(value))
-    ends = running(sizes, lambda a, b: a + b, 0)
-    spans = F.zip_with(ends, found, lambda end, value: F.struct((end - F.length(value)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value.alias("value")))
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
+
+    def spans(found: Column) -> Column:
+        sizes = F.zip_with(F.slice(F.split(text, pattern), F.lit(1), F.size(found)), found, lambda piece, value: F.length(piece) + F.length(value))
+        return F.zip_with(running(sizes, lambda a, b: a + b, 0), found, lambda end, value: F.struct((end - F.length(value)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value.alias("value")))
+
+    return F.when(text.rlike(pattern), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)).otherwise(F.array().cast(_SPAN))
 
 
 def _outside(base: Column, tokens: Column) -> Column:
     """The tokens that no base span overlaps, by one pass over both in order of their start."""
-    both = F.array_sort(F.concat(base, tokens))
     far = 2**31 - 1
-    reach = running(F.transform(both, lambda x: F.when(x["kind"] < 3, x["end"]).otherwise(0)), lambda a, b: F.greatest(a, b), 0)
-    ahead = F.reverse(running(F.reverse(F.transform(both, lambda x: F.when(x["kind"] < 3, x["start"]).otherwise(far))), lambda a, b: F.least(a, b), far))
-    seen = F.arrays_zip(both.alias("x"), reach.alias("reach"), ahead.alias("ahead"))
-    free = F.filter(seen, lambda y: (y["x"]["kind"] == 3) & (y["reach"] <= y["x"]["start"]) & (y["ahead"] >= y["x"]["end"]))
-    return F.when((F.size(base) > 0) & (F.size(tokens) > 0), F.transform(free, lambda y: y["x"])).otherwise(tokens)
+
+    def free(both: Column) -> Column:
+        reach = running(F.transform(both, lambda x: F.when(x["kind"] < 3, x["end"]).otherwise(0)), lambda a, b: F.greatest(a, b), 0)
+        ahead = F.reverse(running(F.reverse(F.transform(both, lambda x: F.when(x["kind"] < 3, x["start"]).otherwise(far))), lambda a, b: F.least(a, b), far))
+        edges = F.zip_with(reach, ahead, lambda r, a: F.struct(r.alias("reach"), a.alias("ahead")))
+        seen = F.zip_with(both, edges, lambda x, e: F.when((x["kind"] == 3) & (e["reach"] <= x["start"]) & (e["ahead"] >= x["end"]), x))
+        return F.filter(seen, lambda x: x.isNotNull())
+
+    return F.when((F.size(base) > 0) & (F.size(tokens) > 0), _let(F.array_sort(F.concat(base, tokens)), free)).otherwise(tokens)
 
 
 def _digits(value: Column) -> Column:
