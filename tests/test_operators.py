@@ -304,3 +304,12 @@ def test_outline_settles_backwards():
 def test_html_silent_nested_and_unclosed():
     html = "a<div>b <b>c</b><script>x<p>y</script> d<ul><li>e<p>f</ul><h2>g<p>h<style>i"
     assert extract.html_blocks_of(html) == [("paragraph", None, "a"), ("paragraph", None, "b c d"), ("list_item", None, "e"), ("paragraph", None, "f"), ("heading", 2, "g"), ("paragraph", None, "h")]
+
+
+def test_sparse_literal_has_six_figures_and_rising_places(spark):
+    from corpusloom.operators import records
+
+    w = spark.createDataFrame([(1, "b", 0.123456789), (1, "a", 12.5), (1, "z", 1.0), (2, "a", 1e-7)], "id long, term string, weight double")
+    v = spark.createDataFrame([("a", 9), ("b", 0)], "term string, idx long")
+    assert {r.id: r.literal for r in records.sparse_literal(w, v, 10).collect()} == {1: "{1:0.123457,10:12.5}/10", 2: "{10:1e-07}/10"}
+    assert records.alternation(["act", "act of law", "a+"]) == r"(?:act of law|act|a\+)"
