@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -159,8 +160,9 @@ def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "toxic",
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind), type=pa.int32()), pa.array(a, type=pa.int32()), pa.array(v, type=pa.float64())], names=["kind", "at", "value"])
 
     described_rows = materialise(chosen.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "label", "text").mapInArrow(described, "doc_id long, text_hash long, label int, x array<int>"), "features")
-    fits = described_rows.withColumn("fit", F.explode(F.array(*[F.lit(k) for k in range(PARTS + 1)])))
-    table = fits.repartitionByRange(PARTS + 1, "fit").mapInArrow(fitted, "kind int, at int, value double").toArrow()
+    # Each fit is one task that reads the written rows itself; nothing is dealt out once more.
+    fits = reduce(DataFrame.unionByName, [described_rows.coalesce(1).withColumn("fit", F.lit(k)) for k in range(PARTS + 1)])
+    table = fits.mapInArrow(fitted, "kind int, at int, value double").toArrow()
     kind, at, value = (table.column(c).to_numpy() for c in ("kind", "at", "value"))
     if not len(kind):
         return None
