@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -130,7 +131,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "toxic",
     """Weights from about `sample` labelled ids at most, outside the held-out fold; None without any.
 
     Texts become features where they lie; the fits, four on three of four folds each and one on
-    all, are tasks side by side. A fit takes its rows one after the other, as the method asks; their
+    all, are jobs of one task, side by side. A fit takes its rows one after the other, as the method asks; their
     number is bounded by `sample` whatever the size of the corpus. Of an id's unlike labels the
     smallest holds.
     """
@@ -147,22 +148,24 @@ def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "toxic",
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((pair & ((1 << BITS) - 1)).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_hash", "label")), lists], names=["doc_id", "text_hash", "label", "x"])
 
-    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[int, list[tuple]] = {}
+    def fitted(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[tuple] = []
         for batch in batches:
             x = batch.column("x")
-            for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "label", "fit")), strict=True)):
-                got.setdefault(row[3], []).append((*row[:3], x[i].values.to_numpy()))
-        for part in sorted(got):
-            at, value, score, label = _fit(_ordered(got[part]), part)
-            kinds = [(0, at, value)] if part == PARTS else [(1, label, score)]
-            for kind, a, v in kinds:
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind), type=pa.int32()), pa.array(a, type=pa.int32()), pa.array(v, type=pa.float64())], names=["kind", "at", "value"])
+            got += [(*row, x[i].values.to_numpy()) for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "label")), strict=True))]
+        if got:
+            at, value, score, label = _fit(_ordered(got), part)
+            kind, a, v = (0, at, value) if part == PARTS else (1, label, score)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind), type=pa.int32()), pa.array(a, type=pa.int32()), pa.array(v, type=pa.float64())], names=["kind", "at", "value"])
 
     described_rows = materialise(chosen.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "label", "text").mapInArrow(described, "doc_id long, text_hash long, label int, x array<int>"), "features")
-    # Each fit is one task that reads the written rows itself; nothing is dealt out once more.
-    fits = reduce(DataFrame.unionByName, [described_rows.coalesce(1).withColumn("fit", F.lit(k)) for k in range(PARTS + 1)])
-    table = fits.mapInArrow(fitted, "kind int, at int, value double").toArrow()
+
+    def fit(part: int) -> pa.Table:
+        return described_rows.coalesce(1).mapInArrow(partial(fitted, part), "kind int, at int, value double").toArrow()
+
+    # Each fit is a job of one task that reads the written rows itself. As one union of single partitions they would be one task.
+    with ThreadPoolExecutor(PARTS + 1) as pool:
+        table = pa.concat_tables(pool.map(fit, range(PARTS + 1)))
     kind, at, value = (table.column(c).to_numpy() for c in ("kind", "at", "value"))
     if not len(kind):
         return None
