@@ -10,10 +10,16 @@ from corpusloom.functions.text import tokens
 K1, B = 1.5, 0.75
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, tf, dl): how often each document has a term, and its length in tokens."""
+def term_counts(docs: DataFrame, id_col: str, text_col: str, *, only: DataFrame | None = None) -> DataFrame:
+    """(id, term, tf, dl): how often each document has a term, and its length in tokens.
+
+    With `only`, a table of terms, no other term is counted or shuffled; lengths are of all tokens.
+    """
     words = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("words"))
-    return words.select("id", F.size("words").alias("dl"), F.explode("words").alias("term")).groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
+    terms = words.select("id", F.size("words").alias("dl"), F.explode("words").alias("term"))
+    if only is not None:
+        terms = terms.join(only.select("term"), "term", "left_semi")
+    return terms.groupBy("id", "dl", "term").agg(F.count("*").alias("tf"))
 
 
 def statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -43,12 +49,11 @@ def weights(counts: DataFrame, vocab: DataFrame, stats: DataFrame, *, k1: float
 
 def top_documents(docs: DataFrame, queries: DataFrame, k: int, *, doc_id: str, query_id: str, text_col: str = "text") -> DataFrame:
     """The k best documents of each query: an inverted index joined with the query's distinct terms."""
-    counts = term_counts(docs, doc_id, text_col)
-    stats = statistics(docs, doc_id, text_col)
     asked = queries.select(F.col(query_id).alias("qid"), F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
-    # Only terms that a query asks for are weighted.
-    vocab = vocabulary(counts, stats).join(asked.select("term").distinct(), "term", "left_semi")
-    index = weights(counts, vocab, stats)
+    # Only terms that a query asks for are counted; a term's documents are all among these rows.
+    counts = term_counts(docs, doc_id, text_col, only=asked.select("term").distinct())
+    stats = statistics(docs, doc_id, text_col)
+    index = weights(counts, vocabulary(counts, stats), stats)
     score = index.join(asked, "term").groupBy("qid", "id").agg(F.round(F.sum("weight"), 6).alias("score"))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
     return score.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k).select(F.col("qid").alias(query_id), F.col("id").alias(doc_id), "rank", "score")

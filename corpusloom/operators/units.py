@@ -9,24 +9,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.carry import carried
+
 
 def segments(blocks: DataFrame, split_levels: tuple[int, ...]) -> DataFrame:
     """Add segment: it begins anew at a heading of a splitting level, or at or above the level that opened it.
 
-    Only a document's headings are folded, in order; blocks take the segment of the heading before them.
+    Other blocks take the segment of the heading before them; 0 before the first. A heading without
+    a level opens a segment only where it is the first.
     """
-    heads = blocks.where("type = 'heading'").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("reading_order", "level"))).alias("h"))
-    empty = F.array().cast("array<struct<o:int,s:int>>")
-    start = F.struct(F.lit(None).cast("int").alias("level"), F.lit(0).alias("n"), empty.alias("out"))
 
-    def step(s: Column, h: Column) -> Column:
-        cut = s["level"].isNull() | h["level"].isin(*split_levels) | (h["level"] <= s["level"])
-        n = s["n"] + cut.cast("int")
-        return F.struct(F.when(cut, h["level"]).otherwise(s["level"]).cast("int").alias("level"), n.alias("n"), F.concat(s["out"], F.array(F.struct(h["reading_order"].cast("int").alias("o"), n.alias("s")))).alias("out"))
+    def step(state: tuple[int | None, int], row: tuple) -> tuple[tuple[int | None, int], int]:
+        (opened, n), (heading, level) = state, row
+        if heading and (opened is None or (level is not None and (level in split_levels or level <= opened))):
+            return (level, n + 1), n + 1
+        return state, n
 
-    cuts = heads.select("doc_id", F.explode(F.aggregate("h", start, step, lambda s: s["out"])).alias("x")).select("doc_id", F.col("x.o").alias("reading_order"), F.col("x.s").alias("_s"))
-    upto = Window.partitionBy("doc_id").orderBy("reading_order")
-    return blocks.join(cuts, ["doc_id", "reading_order"], "left").withColumn("segment", F.coalesce(F.last("_s", ignorenulls=True).over(upto), F.lit(0))).drop("_s")
+    values = {"heading": F.coalesce(F.col("type") == "heading", F.lit(False)), "level": F.col("level")}
+    return carried(blocks, ["doc_id"], ["reading_order"], values, (None, 0), step, "segment")
 
 
 def labels_in_force(blocks: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import evaluate as ev
@@ -16,10 +16,30 @@ p AS (SELECT qid, count(*) FILTER (WHERE grade > 0) AS found, min(rank) FILTER (
 m AS (SELECT qid, coalesce(relevant, 0) AS relevant, CASE WHEN coalesce(relevant, 0) > 0 THEN round(least(coalesce(found, 0), relevant) / relevant, 6) END AS recall, CASE WHEN coalesce(relevant, 0) > 0 THEN round(coalesce(1.0 / first, 0.0), 6) END AS mrr, CASE WHEN coalesce(relevant, 0) > 0 THEN round(coalesce(dcg / nullif(best, 0), 0.0), 6) END AS ndcg, coalesce(relevant, 0) = 0 AND coalesce(returned, 0) = 0 AS empty_as_due FROM p FULL JOIN want USING (qid))"""
 
 
+SPACE = r"[\x20\x09-\x0D]+"
+RUN = 3
+
+
+def _runs(text: Column) -> Column:
+    """Hashes of all runs of three neighbouring words, from the words beside themselves moved by one and two."""
+    words = F.split(text, SPACE)
+    moved = [F.slice(words, F.lit(k), F.size(words)) for k in (2, 3)]
+    return F.transform(F.arrays_zip(words.alias("a"), moved[0].alias("b"), moved[1].alias("c")), lambda x: F.xxhash64(x["a"], x["b"], x["c"]))
+
+
 def judgements(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that hold a benchmark text. The query set is fixed and small, so it is sent to the rows."""
-    items = F.broadcast(table(spark, d, "benchmark").select("item_id", F.col("text").alias("want")))
-    met = table(spark, d, "documents").join(items, F.contains("text", "want"))
+    """Documents that hold a benchmark text, first and last word in part.
+
+    The second to fourth words of a text stand whole in every document that holds it: they are
+    joined by hash, then the text is sought. A text of under five words is sought in all documents.
+    """
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    items = table(spark, d, "benchmark").select("item_id", F.col("text").alias("want"), F.split("text", SPACE).alias("w"))
+    keyed = items.where(F.size("w") >= RUN + 2).select("item_id", F.xxhash64(*[F.get("w", F.lit(k)) for k in (1, 2, 3)]).alias("run"))
+    likely = docs.select("doc_id", F.explode(_runs(F.col("text"))).alias("run")).join(keyed, "run").select("doc_id", "item_id").distinct()
+    hashed = likely.join(items.select("item_id", "want"), "item_id").join(docs, "doc_id")
+    short = docs.join(items.where(F.size("w") < RUN + 2).select("item_id", "want"), F.contains("text", "want"))
+    met = hashed.where(F.contains("text", "want")).select("item_id", "doc_id").unionByName(short.select("item_id", "doc_id"))
     return met.select(F.col("item_id").alias("qid"), F.col("doc_id").alias("doc"), F.lit(1).alias("grade"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from corpusloom.functions import text as tx
 from corpusloom.functions import vectors as vx
-from corpusloom.operators import bm25, bundle, chunking, citing, embedding, evaluate, extract, factors, graph, kmeans, knn, ledger, relations, signals
+from corpusloom.operators import bm25, bundle, chunking, citing, embedding, evaluate, extract, factors, graph, kmeans, knn, ledger, relations, signals, units
 from corpusloom.operators import blocks as bl
 from corpusloom.plans import specs
 from corpusloom.queries.reading import DIALECT, READING
@@ -313,3 +313,36 @@ def test_sparse_literal_has_six_figures_and_rising_places(spark):
     v = spark.createDataFrame([("a", 9), ("b", 0)], "term string, idx long")
     assert {r.id: r.literal for r in records.sparse_literal(w, v, 10).collect()} == {1: "{1:0.123457,10:12.5}/10", 2: "{10:1e-07}/10"}
     assert records.alternation(["act", "act of law", "a+"]) == r"(?:act of law|act|a\+)"
+
+
+def test_folds_carry_over_batches_and_null_keys(spark):
+    """Greedy packing, joining of small rows and segments against plain loops, over more rows than a batch of Arrow holds."""
+    rng = random.Random(3)
+    rows = [(d, i, "heading" if rng.random() < 0.2 else "paragraph", rng.choice([1, 2, 3, None]), None if rng.random() < 0.05 else "word " * rng.randrange(12)) for d, n in ((1, 12_000), (2, 1), (None, 40)) for i in range(n)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id int, reading_order int, type string, level int, text string")
+    costs = {(r.doc_id, r.reading_order): r.c or 0 for r in df.withColumn("c", tx.estimated_tokens(F.col("text"))).collect()}
+    part, group, segment = {}, {}, {}
+    for d in (1, 2, None):
+        used = at = held = g = n = 0
+        level, first = None, True
+        for _, i, kind, lv, _ in sorted((r for r in rows if r[0] == d), key=lambda r: r[1]):
+            c = costs[d, i]
+            if not first and used + c > 30:
+                used, at = 0, at + 1
+            used, first = used + c, False
+            part[d, i] = at
+            group[d, i] = g
+            held += c
+            if held >= 20:
+                held, g = 0, g + 1
+            if kind == "heading" and (level is None or (lv is not None and (lv == 2 or lv <= level))):
+                level, n = lv, n + 1
+            segment[d, i] = n
+        if held and g:
+            group |= {k: g - 1 for k, v in group.items() if k[0] == d and v == g}
+    assert {(r.doc_id, r.reading_order): r.part for r in chunking.pack(df, ["doc_id"], 30).collect()} == part
+    sized = df.withColumn("size", tx.estimated_tokens(F.col("text")))
+    assert {(r.doc_id, r.reading_order): r.group for r in chunking.coalesce_small(sized, "doc_id", "reading_order", "size", 20).collect()} == group
+    assert {(r.doc_id, r.reading_order): r.segment for r in units.segments(df, (2,)).collect()} == segment
+    assert chunking.pack(df.limit(0), ["doc_id"], 30).count() == 0
