@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.carry import carried
+
 
 def render_query(text: Column, instruction: str, style: str) -> Column:
     """none: the text; prefix: instruction before it; chat: turns with the instruction as system."""
@@ -25,18 +27,33 @@ def hash_vector(text: Column, dimension: int) -> Column:
 
 
 def batches(rows: DataFrame, key: str, order: str, size: str, *, max_items: int, max_padded: int) -> DataFrame:
-    """Add batch: longest first, a batch holds max_items and max_padded (items by the longest) at most.
+    """(key, order, batch): longest first, a batch holds max_items and max_padded (items by the longest) at most.
 
     Rows are batched within each key, which is a window of bounded size.
     """
-    packed = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct((-F.col(size)).cast("long").alias("neg"), F.col(order).cast("long").alias("o")))).alias("rows"))
-    empty = F.array().cast("array<struct<o:bigint,b:int>>")
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("top"), F.lit(0).alias("b"), empty.alias("out"))
 
-    def step(s, r):
-        top = F.greatest(s["top"], -r["neg"])
-        over = (s["n"] > 0) & ((s["n"] + 1 > max_items) | ((s["n"] + 1) * top > max_padded))
-        b = s["b"] + over.cast("int")
-        return F.struct(F.when(over, 1).otherwise(s["n"] + 1).alias("n"), F.when(over, -r["neg"]).otherwise(top).cast("long").alias("top"), b.alias("b"), F.concat(s["out"], F.array(F.struct(r["o"].alias("o"), b.alias("b")))).alias("out"))
+    def step(state: tuple[int, int, int], row: tuple) -> tuple[tuple[int, int, int], int]:
+        (held, top, batch), (more,) = state, row
+        if held and (held == max_items or (held + 1) * max(top, more) > max_padded):
+            return (1, more, batch + 1), batch + 1
+        return (held + 1, max(top, more), batch), batch
+
+    sized = rows.withColumn("_first", -F.col(size))
+    return carried(sized, [key], ["_first", order], {"size": F.col(size).cast("long")}, (0, 0, 0), step, "batch").select(key, order, "batch")
+
+
+def payloads(rows: DataFrame, key: str, order: str, text: str, *, max_bytes: int, max_items: int, max_square: int = 0) -> DataFrame:
+    """(key, order, batch): rows in their order, bounded by bytes, items and, unless 0, items times the longest squared.
+
+    A text beyond a bound goes alone, whole. A null text has no bytes.
+    """
+
+    def step(state: tuple[int, int, int, int], row: tuple) -> tuple[tuple[int, int, int, int], int]:
+        (held, used, top, batch), (more,) = state, row
+        square = max_square > 0 and (held + 1) * max(top, more) ** 2 > max_square
+        if held and (held == max_items or used + more > max_bytes or square):
+            return (1, more, more, batch + 1), batch + 1
+        return (held + 1, used + more, max(top, more), batch), batch
 
-    return packed.select(key, F.explode(F.aggregate("rows", start, step, lambda s: s["out"])).alias("x")).select(key, F.col("x.o").alias(order), F.col("x.b").alias("batch"))
+    sized = rows.select(key, order, F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("_bytes"))
+    return carried(sized, [key], [order], {"bytes": F.col("_bytes")}, (0, 0, 0, 0), step, "batch").select(key, order, "batch")

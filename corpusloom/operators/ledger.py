@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.carry import carried
+
 
 def state(log: DataFrame) -> DataFrame:
     """One row per key: the newest status, the newest doc_id that is not null, and the attempts."""
@@ -36,25 +38,26 @@ def ownership(keys: DataFrame, workers: int, window: int) -> DataFrame:
     return keys.withColumn("window", F.floor(F.col("key") / window)).withColumn("worker", F.pmod("window", F.lit(workers)))
 
 
-def shards(rows: DataFrame, group: str, order: str, size: str, limit: int, *, block: int = 1000) -> DataFrame:
-    """A shard number per row, so that a shard begins where the next row would pass the limit.
+def shards(rows: DataFrame, group: str, order: str, size: str, limit: int, *, window: int = 1000, units: str | None = None, max_units: int = 0, max_rows: int = 0) -> DataFrame:
+    """(group, window, order, shard): a shard begins where the next row would pass `limit`, or once a bound is reached.
 
-    Rows are packed greedily within each group and block of consecutive order values, so that what
-    is folded in one place is bounded however large the group.
+    Bounds: `limit` of size, `max_units` and `max_rows` (0: none). A row beyond a bound is a shard alone. As a
+    run's workers own windows of consecutive order values, each window of a group is packed by itself, so that
+    the largest group is shared out too. Null sizes count as nothing.
     """
-    packed = rows.groupBy(group, F.floor(F.col(order) / block).alias("block")).agg(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("long").alias("s")))).alias("rows"))
-    empty = F.array().cast("array<struct<o:bigint,shard:bigint>>")
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).cast("long").alias("shard"), F.lit(0).cast("long").alias("n"), empty.alias("out"))
-
-    def step(state_, row):
-        over = (state_["n"] > 0) & (state_["used"] + row["s"] > limit)
-        shard = state_["shard"] + over.cast("long")
-        used = F.when(over, row["s"]).otherwise(state_["used"] + row["s"])
-        item = F.struct(row["o"].cast("bigint").alias("o"), shard.alias("shard"))
-        return F.struct(used.alias("used"), shard.alias("shard"), F.when(over, F.lit(1)).otherwise(state_["n"] + 1).cast("long").alias("n"), F.concat(state_["out"], F.array(item)).alias("out"))
-
-    folded = F.aggregate("rows", start, step, lambda s: s["out"])
-    return packed.select(group, "block", F.explode(folded).alias("x")).select(group, "block", F.col("x.o").alias(order), F.col("x.shard").alias("shard"))
+
+    def step(state: tuple[int, int, int, int], row: tuple) -> tuple[tuple[int, int, int, int], int]:
+        (used, parts, held, shard), (more, part) = state, row
+        passed = used + more > limit or (max_units > 0 and parts + part > max_units)
+        reached = used >= limit or (max_units > 0 and parts >= max_units) or (max_rows > 0 and held >= max_rows)
+        if held and (passed or reached):
+            return (more, part, 1, shard + 1), shard + 1
+        return (used + more, parts + part, held + 1, shard), shard
+
+    amount = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long") if c else F.lit(0).cast("long")
+    keyed = rows.withColumns({"window": F.floor(F.col(order) / window), "_size": amount(size), "_units": amount(units)}).select(group, "window", order, "_size", "_units")
+    packed = carried(keyed, [group, "window"], [order], {"size": F.col("_size"), "units": F.col("_units")}, (0, 0, 0, 0), step, "shard")
+    return packed.select(group, "window", order, F.col("shard").cast("long").alias("shard"))
 
 
 def rolling_rate(events: DataFrame, group: str, seconds: int) -> DataFrame:

@@ -167,11 +167,13 @@ def window_ownership(spark: SparkSession, d: str) -> DataFrame:
     return ledger.ownership(table(spark, d, "events").select(F.col("event_id").alias("key")), 4, 64)
 
 
-@query("shard_assignment", """WITH RECURSIVE o AS (SELECT source, doc_id, n_chars AS s, CAST(floor(doc_id / 200) AS BIGINT) AS block, row_number() OVER (PARTITION BY source, floor(doc_id / 200) ORDER BY doc_id) AS i FROM documents),
-w AS (SELECT source, block, doc_id, i, s AS used, 0 AS shard FROM o WHERE i = 1 UNION ALL SELECT o.source, o.block, o.doc_id, o.i, CASE WHEN w.used + o.s > 20000 THEN o.s ELSE w.used + o.s END, CASE WHEN w.used + o.s > 20000 THEN w.shard + 1 ELSE w.shard END FROM w JOIN o ON o.source = w.source AND o.block = w.block AND o.i = w.i + 1)
-SELECT source, block, doc_id, CAST(shard AS BIGINT) AS shard FROM w""")
+@query("shard_assignment", """WITH RECURSIVE o AS (SELECT source, doc_id, n_chars AS s, doc_id % 7 AS u, CAST(floor(doc_id / 200) AS BIGINT) AS win, row_number() OVER (PARTITION BY source, floor(doc_id / 200) ORDER BY doc_id) AS i FROM documents),
+w AS (SELECT source, win, doc_id, i, s AS used, u AS units, 1 AS n, 0 AS shard FROM o WHERE i = 1 UNION ALL SELECT source, win, doc_id, i, CASE WHEN cut THEN s ELSE used + s END, CASE WHEN cut THEN u ELSE units + u END, CASE WHEN cut THEN 1 ELSE n + 1 END, shard + CAST(cut AS INTEGER) FROM (SELECT o.*, w.used, w.units, w.n, w.shard, w.used >= 20000 OR w.used + o.s > 20000 OR w.units >= 25 OR w.units + o.u > 25 OR w.n >= 9 AS cut FROM w JOIN o ON o.source = w.source AND o.win = w.win AND o.i = w.i + 1))
+SELECT source, win AS "window", doc_id, CAST(shard AS BIGINT) AS shard FROM w""")
 def shard_assignment(spark: SparkSession, d: str) -> DataFrame:
-    return ledger.shards(table(spark, d, "documents"), "source", "doc_id", "n_chars", 20_000, block=200)
+    """Documents of a source into shards bounded by characters, units and documents."""
+    rows = table(spark, d, "documents").withColumn("units", F.col("doc_id") % 7)
+    return ledger.shards(rows, "source", "doc_id", "n_chars", 20_000, window=200, units="units", max_units=25, max_rows=9)
 
 
 @query("rolling_rate", "SELECT event_id, round(count(*) OVER (PARTITION BY user_id ORDER BY epoch(ts) RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) / 3600.0, 6) AS rate FROM events")

@@ -122,3 +122,12 @@ SELECT win, doc_id, CAST(b AS INTEGER) AS batch FROM w""")
 def token_batches(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select(F.floor(F.col("doc_id") / 100).alias("win"), "doc_id", estimated_tokens(F.col("text")).alias("size"))
     return embedding.batches(rows, "win", "doc_id", "size", max_items=16, max_padded=8000)
+
+
+@query("payload_batches", """WITH RECURSIVE o AS (SELECT doc_id % 40 AS win, doc_id, strlen(text) AS s, row_number() OVER (PARTITION BY doc_id % 40 ORDER BY doc_id) AS i FROM documents),
+w AS (SELECT win, doc_id, i, 1 AS n, s AS used, s AS top, 0 AS b FROM o WHERE i = 1 UNION ALL SELECT win, doc_id, i, CASE WHEN cut THEN 1 ELSE n + 1 END, CASE WHEN cut THEN s ELSE used + s END, CASE WHEN cut THEN s ELSE greatest(top, s) END, b + CAST(cut AS INTEGER) FROM (SELECT o.*, w.n, w.used, w.top, w.b, w.n = 12 OR w.used + o.s > 12000 OR (w.n + 1) * greatest(w.top, o.s) * greatest(w.top, o.s) > 20000000 AS cut FROM w JOIN o ON o.win = w.win AND o.i = w.i + 1))
+SELECT win, doc_id, CAST(b AS INTEGER) AS batch FROM w""")
+def payload_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Texts in batches by bytes, items and items times the longest squared."""
+    rows = table(spark, d, "documents").select((F.col("doc_id") % 40).alias("win"), "doc_id", "text")
+    return embedding.payloads(rows, "win", "doc_id", "text", max_bytes=12_000, max_items=12, max_square=20_000_000)
