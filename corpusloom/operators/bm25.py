@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import tokens
+from corpusloom.functions.text import TOKEN, tokens
 
 K1, B = 1.5, 0.75
 
@@ -57,3 +57,24 @@ def top_documents(docs: DataFrame, queries: DataFrame, k: int, *, doc_id: str, q
     score = index.join(asked, "term").groupBy("qid", "id").agg(F.round(F.sum("weight"), 6).alias("score"))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
     return score.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k).select(F.col("qid").alias(query_id), F.col("id").alias(doc_id), "rank", "score")
+
+
+def save(vocab: DataFrame, stats: DataFrame, path: str) -> None:
+    """Store a fitted vocabulary and its statistics beside the pattern that its tokens were read by."""
+    vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+    stats.withColumns({"pattern": F.lit(TOKEN), "k1": F.lit(K1), "b": F.lit(B)}).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The stored vocabulary and statistics; refused if tokens are read by another pattern now."""
+    stats = spark.read.parquet(f"{path}/stats")
+    then = stats.first()
+    if then["pattern"] != TOKEN:
+        raise ValueError(f"tokens were read by {then['pattern']!r} and are read by {TOKEN!r} now: vectors would not match")
+    return spark.read.parquet(f"{path}/vocab"), stats.select("n_docs", "avgdl")
+
+
+def weights_left(docs: DataFrame, done: DataFrame, vocab: DataFrame, stats: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """Weights of the documents that have none yet, by the statistics of the fit."""
+    left = docs.join(done.select(F.col("id").alias(id_col)).distinct(), id_col, "left_anti")
+    return weights(term_counts(left, id_col, text_col), vocab, stats)

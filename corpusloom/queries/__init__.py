@@ -6,7 +6,7 @@ from importlib import import_module
 
 from corpusloom.queries.base import ORACLES, QUERIES, Query
 
-MODULES = ("text", "vectors", "graph", "bundle", "blocks", "evaluate", "reading", "structure", "records")
+MODULES = ("text", "vectors", "graph", "bundle", "blocks", "evaluate", "reading", "structure", "records", "plans")
 
 
 def _load() -> None:
