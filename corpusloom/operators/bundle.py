@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+#: So many ids, or digests of the level below, are digested together.
+BUCKET = 4096
 
 
 def id_checks(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -17,9 +18,18 @@ def id_checks(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def source_hash(ids: DataFrame) -> DataFrame:
-    """One digest of all distinct ids: the digests of BUCKETS sorted lists, digested again."""
-    lists = ids.select("id").distinct().groupBy(F.pmod("id", F.lit(BUCKETS)).alias("b")).agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list("id")), lambda x: x.cast("string")), ","), 256).alias("h"))
-    return lists.agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), ","), 256).alias("source_hash"), F.count("*").alias("buckets"))
+    """One digest of all distinct ids, in levels: BUCKET neighbouring ids, then as many digests, then the rest.
+
+    No group grows with the table, as long as ids are dealt out densely.
+    """
+
+    def together(order: str, text: Column) -> Column:
+        return F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), text.alias("t")))), lambda x: x["t"]), ","), 256)
+
+    near = F.floor(F.col("id") / BUCKET).alias("a")
+    low = ids.select("id").distinct().groupBy(near).agg(together("id", F.col("id").cast("string")).alias("h"))
+    high = low.groupBy(F.floor(F.col("a") / BUCKET).alias("b")).agg(together("a", F.col("h")).alias("h"), F.count("*").alias("n"))
+    return high.agg(together("b", F.col("h")).alias("source_hash"), F.sum("n").alias("buckets"))
 
 
 def keep_sidecar(rows: DataFrame, held: DataFrame, key: str, order: list[Column], *, unique: bool = True) -> DataFrame:

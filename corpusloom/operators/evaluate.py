@@ -50,7 +50,7 @@ def measures(ranked: DataFrame, judged: DataFrame, *, k: int = 10) -> DataFrame:
     )
 
 
-def bootstrap(per_query: DataFrame, value: str, *, samples: int = 200) -> DataFrame:
+def bootstrap(per_query: DataFrame, value: str, *, samples: int = 1000) -> DataFrame:
     """Bounds of the mean over resampled queries: the query set is numbered and drawn from by rule.
 
     Sample i, draw j takes query (i * 7919 + j * 104729 + i * j * 31) mod n. The query set is small

@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The sample has so many rows per cluster at most.
+#: The sample has so many rows per cluster at most, and so many in all: what reaches the driver does not grow with the table.
 SAMPLE_PER_CLUSTER = 256
+SAMPLE = 65_536
 ROWS_PER_CLUSTER = 10_000
 
 
@@ -47,7 +48,7 @@ def _start(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 
 
 def fit_matrix(x: np.ndarray, k: int, *, spherical: bool = True, seed: int = 42, rounds: int = 30, tolerance: float = 1e-4) -> Clustering:
-    """Lloyd rounds until the centroids rest; an empty cluster gets the row that fits worst."""
+    """Lloyd rounds until the centroids rest; an empty cluster gets the row that fits worst, never one without a direction if there are others."""
     if k > len(x):
         raise ValueError(f"{k} clusters of {len(x)} rows")
     rng = np.random.default_rng(seed)
@@ -64,9 +65,10 @@ def fit_matrix(x: np.ndarray, k: int, *, spherical: bool = True, seed: int = 42,
             length = np.linalg.norm(new, axis=1)
             count = np.where(length > 1e-12, count, 0)
             new /= np.maximum(length, 1e-12)[:, None]
-        worst = iter(np.argsort(-far, kind="stable"))
-        for c in np.flatnonzero(count == 0):
-            new[c] = x[next(worst)]
+        aims = (np.linalg.norm(x, axis=1) > 1e-12) if spherical else np.ones(len(x), dtype=bool)
+        worst = np.lexsort((np.arange(len(x)), -far, ~aims))
+        empty = np.flatnonzero(count == 0)
+        new[empty] = x[worst[: len(empty)]]
         moved = float(np.linalg.norm(new - centroids, axis=1).mean())
         centroids = new
         if moved <= tolerance:
@@ -80,8 +82,11 @@ def sample_matrix(rows: DataFrame, id_col: str, vec_col: str, size: int, seed: i
     return np.array([r.v for r in chosen.collect()], dtype=np.float64)
 
 
-def fit(rows: DataFrame, k: int, *, id_col: str, vec_col: str, spherical: bool = True, seed: int = 42) -> Clustering:
-    return fit_matrix(sample_matrix(rows, id_col, vec_col, SAMPLE_PER_CLUSTER * k, seed), k, spherical=spherical, seed=seed)
+def fit(rows: DataFrame, k: int, *, id_col: str, vec_col: str, spherical: bool = True, seed: int = 42, sample: int = SAMPLE) -> Clustering:
+    """Centroids of at most SAMPLE_PER_CLUSTER rows a cluster and `sample` rows in all; more clusters than that are refused."""
+    if k > sample:
+        raise ValueError(f"{k} clusters of a sample of {sample}")
+    return fit_matrix(sample_matrix(rows, id_col, vec_col, min(sample, SAMPLE_PER_CLUSTER * k), seed), k, spherical=spherical, seed=seed)
 
 
 def assign(rows: DataFrame, clustering: Clustering, *, id_col: str, vec_col: str) -> DataFrame:

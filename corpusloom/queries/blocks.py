@@ -139,9 +139,9 @@ def expect_floors(spark: SparkSession, d: str) -> DataFrame:
     return ch.expectations(rows, {"level": 0.9, "text": 0.9}, 100, 0.01)
 
 
-@query("embed_text", "SELECT doc_id, CASE WHEN lang = 'en' THEN '' ELSE lang || chr(10) END || source || chr(10) || left(text, 100) AS embed_text FROM documents")
+@query("embed_text", "SELECT doc_id, CASE WHEN lang = 'en' THEN '' ELSE lang || chr(10) END || source || chr(10) || text AS embed_text FROM documents")
 def embed_text(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", ch.embed_text(F.substring("text", 1, 100), [F.col("lang"), F.col("source")], skip=("en", "")).alias("embed_text"))
+    return table(spark, d, "documents").select("doc_id", ch.embed_text(F.col("text"), [F.col("lang"), F.col("source")], skip=("en", "")).alias("embed_text"))
 
 
 @query("search_text", r"SELECT doc_id, sha256(regexp_replace(regexp_replace(text, '[*#$%&]+', '', 'g'), '\s+', ' ', 'g')) AS search_hash FROM documents")

@@ -62,10 +62,10 @@ def eval_report(spark: SparkSession, d: str) -> DataFrame:
     return _measures(spark, d).groupBy(kind.alias("kind")).agg(F.count("*").alias("queries"), *[F.round(F.avg(c), 6).alias(c) for c in ("recall", "mrr", "ndcg")], F.count_if("empty_as_due").alias("empty_as_due"))
 
 
-DRAWN = "b AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS pos, round(length(text) / 100.0, 6) AS v FROM benchmark), n AS (SELECT count(*) AS n FROM b), dr AS (SELECT i, (i * 7919 + j * 104729 + i * j * 31) % n AS pos FROM range(200) t(i), range((SELECT n FROM n)) u(j), n), mm AS (SELECT i, round(avg(v), 6) AS m FROM dr JOIN b USING (pos) GROUP BY i), s AS (SELECT list(m ORDER BY m) AS l FROM mm)"
+DRAWN = "b AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS pos, round(length(text) / 100.0, 6) AS v FROM benchmark), n AS (SELECT count(*) AS n FROM b), dr AS (SELECT i, (i * 7919 + j * 104729 + i * j * 31) % n AS pos FROM range(1000) t(i), range((SELECT n FROM n)) u(j), n), mm AS (SELECT i, round(avg(v), 6) AS m FROM dr JOIN b USING (pos) GROUP BY i), s AS (SELECT list(m ORDER BY m) AS l FROM mm)"
 
 
-@query("bootstrap_ci", f"WITH {DRAWN} SELECT l[5] AS low, l[196] AS high FROM s")
+@query("bootstrap_ci", f"WITH {DRAWN} SELECT l[25] AS low, l[976] AS high FROM s")
 def bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
     per = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), F.round(F.length("text") / 100.0, 6).alias("v"))
     return ev.bootstrap(per, "v")
@@ -81,7 +81,7 @@ def routing_loss(spark: SparkSession, d: str) -> DataFrame:
     return whole.crossJoin(routed).select(F.round("w", 6).alias("whole"), F.round("r", 6).alias("routed"), F.round(F.col("w") - F.col("r"), 6).alias("loss"))
 
 
-@query("beats", f"WITH {DRAWN} SELECT l[5] AS low, l[196] AS high, (SELECT avg(v) FROM b) > 1.5 AND l[5] > 1.2 AS beats FROM s")
+@query("beats", f"WITH {DRAWN} SELECT l[25] AS low, l[976] AS high, (SELECT avg(v) FROM b) > 1.5 AND l[25] > 1.2 AS beats FROM s")
 def beats(spark: SparkSession, d: str) -> DataFrame:
     """Whether a mean is past a margin and its interval clear of the other arm's upper bound."""
     per = table(spark, d, "benchmark").select(F.col("item_id").alias("qid"), F.round(F.length("text") / 100.0, 6).alias("v"))

@@ -31,7 +31,7 @@ def html_heading_paths(spark: SparkSession, d: str) -> DataFrame:
 def table_grids(spark: SparkSession, d: str) -> DataFrame:
     """Lines of pages as rows of a table with a spanning head, read back as grids."""
     pages = table(spark, d, "pages")
-    rows = F.array_join(F.transform(F.slice(F.split("html", "\n"), 1, 5), lambda x: F.concat(F.lit("<tr><td>"), F.regexp_replace(x, "<[^>]*>", " "), F.lit("</td><td rowspan=2>x</td></tr>"))), "")
+    rows = F.array_join(F.transform(F.split("html", "\n"), lambda x: F.concat(F.lit("<tr><td>"), F.regexp_replace(x, "<[^>]*>", " "), F.lit("</td><td rowspan=2>x</td></tr>"))), "")
     html = F.concat(F.lit("<table><tr><th colspan=3>head</th></tr>"), rows, F.lit("</table>"))
     return extract.table_grid(extract.table_cells(pages.select("page_id", html.alias("html")), "page_id", "html"))
 
@@ -104,10 +104,10 @@ def nearest_scope(spark: SparkSession, d: str) -> DataFrame:
     return signals.nearest_scope(rows, scopes)
 
 
-@query("hash_embedding", "WITH h AS (SELECT item_id, sha256(text || '#0') || sha256(text || '#1') AS h FROM benchmark), v AS (SELECT item_id, list_transform(range(64), lambda i: (CAST('0x' || substr(h, i * 2 + 1, 2) AS INTEGER) - 127.5) / 127.5) AS v FROM h) SELECT item_id, round(v[1] / sqrt(list_inner_product(v, v)), 6) AS first, round(v[64] / sqrt(list_inner_product(v, v)), 6) AS last FROM v")
+@query("hash_embedding", "WITH h AS (SELECT item_id, sha256(text || '#0') || sha256(text || '#1') AS h FROM benchmark), v AS (SELECT item_id, list_transform(range(64), lambda i: (CAST('0x' || substr(h, i * 2 + 1, 2) AS INTEGER) - 127.5) / 127.5) AS v FROM h) SELECT item_id, CAST(pos AS INTEGER) AS pos, round(v[pos + 1] / sqrt(list_inner_product(v, v)), 6) AS value FROM v, range(64) r(pos)")
 def hash_embedding(spark: SparkSession, d: str) -> DataFrame:
     v = embedding.hash_vector(F.col("text"), 64)
-    return table(spark, d, "benchmark").select("item_id", v.alias("v")).select("item_id", F.round(F.col("v")[0], 6).alias("first"), F.round(F.col("v")[63], 6).alias("last"))
+    return table(spark, d, "benchmark").select("item_id", F.posexplode(v).alias("pos", "value")).withColumn("value", F.round("value", 6))
 
 
 @query("rendered_queries", "SELECT item_id, 'Instruct: find' || chr(10) || 'Query: ' || text AS prefix, '<system>find.</system><user>' || text || '</user>' AS chat FROM benchmark")
