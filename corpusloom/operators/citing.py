@@ -4,18 +4,25 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.stated import in_regions, region_marks
+
 SPAN = "array<struct<kind:string,start:int,end:int,text:string,type:string,number:string,year:int>>"
 
 
 @dataclass(frozen=True)
 class Reading:
-    """Patterns of one kind of text: citations with groups type, number, year; inner pointers; cues by relation."""
+    """Patterns of one kind of text: citations with groups type, number, year; inner pointers; cues by relation.
+
+    `demote`, in the `reach` characters before a citation, makes it a plain reference. After `title` the words
+    that follow a citation are its title, and a cue among them says nothing of the next citation. `regions`
+    gives the patterns that open and close a part of a document in which one relation holds.
+    """
 
     citation: str
     pointer: str
@@ -24,6 +31,10 @@ class Reading:
     negation: str = r"\bnot\b"
     partial: str = r"\b(?:in part|article)\b"
     window: int = 120
+    demote: str | None = None
+    reach: int = 160
+    title: str | None = None
+    regions: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
 def spans_of(text: str | None, reading: Reading) -> list[dict]:
@@ -41,24 +52,37 @@ def spans_of(text: str | None, reading: Reading) -> list[dict]:
     return kept
 
 
+def sentences_of(text: str, end: str) -> Iterator[tuple[int, str]]:
+    """Sentences and where they start."""
+    at = 0
+    for gap in re.finditer(end, text):
+        yield at, text[at : gap.start()]
+        at = gap.end()
+    yield at, text[at:]
+
+
 def relations_of(text: str | None, reading: Reading) -> list[dict]:
     """Each citation with the relation of its nearest cue before it in the statement, or 'references'.
 
     A negated cue does not act. A list item without a cue takes the one of the statement that opened the list.
     """
     out, carried = [], None
-    for sentence in re.split(reading.sentence_end, text or ""):
+    for offset, sentence in sentences_of(text or "", reading.sentence_end):
         item = re.match(r"\s*(?:[a-z]|\d+)[.)]\s", sentence)
         cues = sorted((m.start(), m.end(), name) for name, p in reading.cues.items() for m in re.finditer(p, sentence, re.I))
         acting = [c for c in cues if not re.search(reading.negation, sentence[max(0, c[0] - 12) : c[0]], re.I)]
         if not item:
             carried = acting[-1][2] if acting and sentence.rstrip().endswith(":") else None
+        named = 0
         for m in re.finditer(reading.citation, sentence, re.I):
             near = [c for c in acting if 0 <= m.start() - c[1] <= reading.window]
             relation = near[-1][2] if near else carried if item and carried else "references"
             g = m.groupdict()
+            entitled = bool(reading.title and named and near and re.search(reading.title, sentence[named : near[-1][0]], re.I))
+            lowered = bool(reading.demote and re.search(reading.demote, sentence[max(0, m.start() - reading.reach) : m.start()], re.I))
+            relation, named = "references" if entitled else relation, m.end()
             before = sentence[near[-1][1] if near else 0 : m.start()]
-            out.append({"relation": relation, "type": g["type"].upper(), "number": g["number"], "year": int(g["year"]), "partial": re.search(reading.partial, before, re.I) is not None, "quote": sentence.strip()[:200]})
+            out.append({"relation": relation, "type": g["type"].upper(), "number": g["number"], "year": int(g["year"]), "partial": re.search(reading.partial, before, re.I) is not None, "quote": sentence.strip()[:200], "start": offset + m.start(), "lowered": lowered})
     return out
 
 
@@ -76,12 +100,19 @@ def references(chunks: DataFrame, reading: Reading, id_col: str, text_col: str)
 
 
 def relations(chunks: DataFrame, reading: Reading, id_col: str, seq_col: str, text_col: str) -> DataFrame:
-    """Relations of each document, equal ones merged: mentions add up, partial only if all are."""
+    """Relations of each document, equal ones merged: mentions add up, partial only if all are.
+
+    In a region its relation holds, whatever cues are near; what is demoted is a reference there as well.
+    """
 
     def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = [(d, s, *r.values()) for d, s, t in zip(part.doc_id, part.seq, part.text, strict=True) for r in relations_of(t, reading)]
-            yield pd.DataFrame(rows, columns=["doc_id", "seq", "relation", "type", "number", "year", "partial", "quote"])
+            yield pd.DataFrame(rows, columns=["doc_id", "seq", "relation", "type", "number", "year", "partial", "quote", "start", "lowered"])
 
-    rows = chunks.select(F.col(id_col).alias("doc_id"), F.col(seq_col).alias("seq"), F.col(text_col).alias("text")).mapInPandas(read, "doc_id long, seq int, relation string, type string, number string, year int, partial boolean, quote string")
+    texts = chunks.select(F.col(id_col).alias("doc_id"), F.col(seq_col).alias("seq"), F.col(text_col).alias("text"))
+    rows = texts.mapInPandas(read, "doc_id long, seq int, relation string, type string, number string, year int, partial boolean, quote string, start int, lowered boolean")
+    if reading.regions:
+        rows = in_regions(rows, region_marks(texts, reading.regions), list(reading.regions)).withColumn("relation", F.coalesce("region", "relation"))
+    rows = rows.withColumn("relation", F.when(F.col("lowered"), "references").otherwise(F.col("relation")))
     return rows.groupBy("doc_id", "relation", "type", "number", "year").agg(F.count("*").alias("mentions"), F.bool_and("partial").alias("partial"), F.min_by("quote", F.struct("seq", "quote")).alias("quote"))

@@ -67,10 +67,15 @@ def bootstrap(per_query: DataFrame, value: str, *, samples: int = 1000) -> DataF
 
 def stratified_split(rows: DataFrame, stratum: str, id_col: str, share: float, seed: str) -> DataFrame:
     """Mark the first `share` of each stratum, by a hash of seed and id, as held out."""
-    key = F.md5(F.concat(F.lit(seed), F.col(id_col).cast("string")))
-    order = Window.partitionBy(stratum).orderBy(key, id_col)
-    size = Window.partitionBy(stratum)
-    return rows.withColumn("held", F.row_number().over(order) <= F.bround(F.count("*").over(size) * share, 0))
+    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    keyed = rows.withColumns({"_key": key, "_cell": F.substring(key, 1, 3)})
+    # A stratum is ranked in 4096 cells, whose counts are then added up: no task ranks a whole one.
+    cells = keyed.groupBy(F.col(stratum).alias("_stratum"), F.col("_cell").alias("_of")).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_stratum").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cells.select("_stratum", "_of", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(Window.partitionBy("_stratum")).alias("_all"))
+    placed = keyed.join(sums, (F.col("_cell") == F.col("_of")) & F.col(stratum).eqNullSafe(F.col("_stratum")))
+    at = F.col("_start") + F.row_number().over(Window.partitionBy(stratum, "_cell").orderBy("_key", id_col))
+    return placed.withColumn("held", at <= F.bround(F.col("_all") * share, 0)).select(*rows.columns, "held")
 
 
 def contradictions(rows: DataFrame, id_col: str, kind: str, relevant: str) -> DataFrame:

@@ -165,6 +165,16 @@ class Dialect:
     tables: frozenset[str] = frozenset({"table"})
     labels: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        roles = {"unit": set(self.units), "heading": set(self.headings), "skipped": set(self.skip), "quoted": set(self.quoted), "raised": set(self.raised), "table": set(self.tables), "label": set(self.labels)}
+        for tag in set().union(*roles.values()):
+            held = [name for name, tags in roles.items() if tag in tags]
+            if len(held) > 1:
+                raise ValueError(f"<{tag}> is {' and '.join(held)}")
+        for tag, (unit, level) in self.units.items():
+            if not unit or not 1 <= level <= 9:
+                raise ValueError(f"<{tag}> is unit {unit!r} at level {level}")
+
 
 def _inline(node: ElementTree.Element, dialect: Dialect) -> str:
     """Text of mixed content: raised parts after a caret, skipped parts without theirs."""

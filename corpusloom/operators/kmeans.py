@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +26,12 @@ class Clustering:
     centroids: np.ndarray
     spherical: bool
 
+    def digest(self) -> str:
+        """Of the centroids as floats and of how distance is taken; spherical centroids must have length one."""
+        if self.spherical and np.any(np.abs(np.linalg.norm(self.centroids, axis=1) - 1) > 0.01):
+            raise ValueError("a spherical centroid has another length than one")
+        return hashlib.sha256(repr((self.spherical, self.centroids.shape)).encode() + self.centroids.astype("<f4").tobytes()).hexdigest()
+
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest centroid (the lowest of equal ones) and the distance to it, never below zero."""
         if self.spherical:

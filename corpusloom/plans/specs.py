@@ -58,6 +58,16 @@ class Profile:
     def config_hash(self) -> str:
         return digest({"ref": self.ref, "units": [asdict(u) for u in self.units], "types": dict(self.types), "authority": dict(self.authority), "boilerplate": self.boilerplate, "terms": self.terms})
 
+    def scoring(self) -> str:
+        """What scores depend on, as JSON: each type with its short form and rank (null if it has none)."""
+        ranks = {t: self.authority.get(t) for t in self.types}
+        return canonical({"profile": self.ref, "types": [{"type": t, "short": s, "rank": ranks[t]} for t, s in sorted(self.types.items())], "top": max((r for r in ranks.values() if r is not None), default=None)})
+
+    def deepest_units(self) -> tuple[str, ...]:
+        """Where chunks are split unless something else is said: the units of the greatest level."""
+        level = max((u.level for u in self.units), default=None)
+        return tuple(u.name for u in self.units if u.level == level)
+
     def document_type(self, title: str) -> str | None:
         """The longest type that the title contains."""
         held = [t for t in self.types if t in title.upper()]
@@ -87,6 +97,11 @@ class ChunkConfig:
         return replace(self, **{k: v for k, v in settings.items() if v is not None})
 
 
+def generation(root: str, stage: str, settings: Mapping[str, Any]) -> str:
+    """The folder of a stage's results under these settings; other settings never meet in it."""
+    return f"{root.rstrip('/')}/{stage}/{digest([stage, dict(settings)])}"
+
+
 @dataclass(frozen=True)
 class Variant:
     """Settings of each stage, in order. A stage's key holds all stages before it."""

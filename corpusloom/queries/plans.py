@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,6 +133,23 @@ def citation_regions(spark: SparkSession, d: str) -> DataFrame:
     return stated.in_regions(placed, marks, ["based_on"]).select("p_partkey", "number", "region")
 
 
+@query("relations_in_regions", """WITH r AS (SELECT p_partkey // 10 AS doc_id, CASE WHEN p_partkey % 10 = 4 THEN 'references' WHEN p_partkey % 10 BETWEEN 2 AND 6 THEN 'based_on' WHEN p_partkey % 10 = 9 THEN 'references' ELSE 'amends' END AS relation, CASE WHEN p_partkey % 10 = 6 THEN 'RULE' ELSE 'ACT' END AS type, CAST(p_size AS VARCHAR) AS number, 1995 AS year FROM part
+UNION ALL SELECT p_partkey // 10, 'references', 'ACT', '7', 1999 FROM part WHERE p_partkey % 10 = 6 UNION ALL SELECT p_partkey // 10, 'references', 'ORDER', '8', 1998 FROM part WHERE p_partkey % 10 = 9)
+SELECT doc_id, relation, type, number, CAST(year AS INTEGER) AS year, count(*) AS mentions FROM r GROUP BY ALL""")
+def relations_in_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Ten paragraphs a document: a legal basis from the third to the seventh, one citation demoted, one cue in a title."""
+    k = F.col("p_partkey")
+    cited = F.concat(F.col("p_size").cast("string"), F.lit(" of 1995"))
+    forms = {2: ("Having regard to Act No. ", "."), 4: ("It amends, in the form as amended by Act No. ", "."), 6: ("Rule No. ", ". Hereby decides that Act No. 7 of 1999 stands."), 9: ("Under review: Act No. ", " concerning a bill that amends Order No. 8 of 1998.")}
+    text = F.concat(F.lit("This amends Act No. "), cited, F.lit("."))
+    for at, (before, after) in forms.items():
+        text = F.when(k % 10 == at, F.concat(F.lit(before), cited, F.lit(after))).otherwise(text)
+    rows = table(spark, d, "part").select(F.floor(k / 10).alias("doc_id"), (k % 10).cast("int").alias("seq"), text.alias("text"))
+    cues = {"revokes": READING.cues["revokes"], "amends": READING.cues["amends"]}
+    reading = replace(READING, cues=cues, demote=r"\bas amended by\b", title=r"\bconcerning\b", regions={"based_on": (r"\bhaving regard to\b", r"\bhereby decides\b")})
+    return citing.relations(rows, reading, "doc_id", "seq", "text").select("doc_id", "relation", "type", "number", "year", "mentions")
+
+
 @query("bm25_weights_left", f"SELECT * FROM ({ORACLES['bm25_doc_vectors']}) WHERE doc_id % 3 = 0")
 def bm25_weights_left(spark: SparkSession, d: str) -> DataFrame:
     """Vectors of the documents that a run before left out, by the statistics of all."""

@@ -7,7 +7,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from corpusloom.operators import bm25, embedding, kmeans, ledger, stated
+from corpusloom.operators import bm25, embedding, evaluate, extract, kmeans, ledger, stated
+from corpusloom.plans import specs
 from corpusloom.sources import plans, tables
 
 
@@ -118,3 +119,22 @@ def test_an_unknown_shape_is_refused(spark):
     cases = spark.createDataFrame([("1", "q", "riddle", None, None, None, None)], "id string, question string, shape string, difficulty string, source string, articles array<struct<regulation_type:string,regulation_number:string,year:int,article:string>>, expect_empty boolean")
     with pytest.raises(PySparkException, match="not known: riddle"):
         stated.seed_queries(cases, {"ACT": "A"}).collect()
+
+
+def test_split_holds_null_ids_and_strata(spark):
+    rows = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(40)] + [(None, "a")], "id int, s string")
+    got = evaluate.stratified_split(rows, "s", "id", 0.25, "7").groupBy("s").agg(F.count("*").alias("n"), F.count_if("held").alias("held")).collect()
+    assert {(r.s, r.n, r.held) for r in got} == {("a", 21, 5), (None, 20, 5)}
+
+
+def test_settings_that_clash_are_refused():
+    with pytest.raises(ValueError, match="<p> is heading and skipped"):
+        extract.Dialect(units={"s": ("section", 1)}, headings=frozenset({"p"}), skip=frozenset({"p"}))
+    with pytest.raises(ValueError, match="level 0"):
+        extract.Dialect(units={"s": ("section", 0)})
+    with pytest.raises(ValueError, match="another length"):
+        kmeans.Clustering(np.ones((2, 2)), True).digest()
+    assert kmeans.Clustering(np.eye(2), True).digest() != kmeans.Clustering(np.eye(2), False).digest()
+    profile = specs.Profile("a", "1", units=(specs.Unit("part", "p", 1), specs.Unit("s", "s", 2), specs.Unit("t", "t", 2)), types={"ACT": "A", "RULE": "R"}, authority={"ACT": 3})
+    assert profile.deepest_units() == ("s", "t") and '"rank":null' in profile.scoring() and '"top":3' in profile.scoring()
+    assert specs.generation("/x/", "chunk", {"a": 1}) != specs.generation("/x", "chunk", {"a": 2})
