@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpusloom.llm import conversation_repair as c
 from corpusloom.llm import quality_rules as q
 from corpusloom.llm import secrets as s
 
@@ -51,5 +52,34 @@ a AS (SELECT rid, string_agg({_NAME}, ',' ORDER BY start, kind) AS names FROM (S
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.names, '')) AS base_sha256, coalesce(a.names, '') AS spans, coalesce(n_owned, 0) AS n_owned, coalesce(n_base_owned, 0) AS n_base_owned FROM d LEFT JOIN b USING (rid) LEFT JOIN o USING (rid) LEFT JOIN a USING (rid)"""
 
 
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes: each byte is mixed in and followed by eight shifts."""
+    octets = f"flatten(list_transform(range(1, length(hex(encode({text}))), 2), lambda i: [CAST('0x' || substring(hex(encode({text})), i, 2) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return f"xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {octets}), lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) ELSE xor(s >> 1, 3988292384 * (s & 1)) END))"
+
+
+_MOVES = ", ".join(f"({b}, '{kind}', {a}, {cost}, '{audit}', '{made}')" for b, kind, a, cost, audit, made in c.moves())
+_ENDS = ", ".join(f"({s}, {cost}, '{audit}', '{made}')" for s, (cost, audit, made) in c.ENDS.items())
+_INSERTED = "replace(replace({0}, 'U', 'user:' || chr(10)), 'A', 'assistant:' || chr(10))"
+
+OP11 = rf"""WITH RECURSIVE drawn AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS draw FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role, CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN draw = 3 THEN 2 ELSE 1 END)) AS copy FROM drawn WHERE draw <> 0),
+placed AS (SELECT *, row_number() OVER o - 1 AS pos, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth, lag(role) OVER o AS before FROM damaged WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^{c.SPACE}]') THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][{c.SPACE}]*\z') THEN 'truncated' ELSE 'none' END AS fault, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS initial FROM placed),
+kinds AS (SELECT conv_id, pos, role, text, CASE WHEN fault IN ('blank', 'duplicate') THEN 'd' WHEN fault = 'truncated' THEN upper(initial) ELSE initial END AS kind FROM judged),
+moves(b, kind, a, cost, audit, made) AS (VALUES {_MOVES}),
+ends(state, cost, audit, made) AS (VALUES {_ENDS}),
+walk AS (
+ SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, '' AS said FROM kinds
+ UNION ALL
+ SELECT conv_id, pos + 1, state, best.cost, best.audit, best.said FROM (
+  SELECT w.conv_id, w.pos, m.a AS state, min({{'cost': w.cost + m.cost, 'audit': w.audit || m.audit, 'said': w.said || {_INSERTED.format("m.made[:-2]")} || CASE m.made[-1:] WHEN 'D' THEN '' WHEN 'K' THEN k.role || ':' || k.text || chr(10) WHEN 'u' THEN 'user:' || k.text || chr(10) ELSE 'assistant:' || k.text || chr(10) END}}) AS best
+  FROM walk w JOIN kinds k ON k.conv_id IS NOT DISTINCT FROM w.conv_id AND k.pos = w.pos JOIN moves m ON m.b = w.state AND m.kind = k.kind GROUP BY ALL)),
+sums AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+best AS (SELECT s.conv_id, min({{'cost': w.cost + e.cost, 'audit': w.audit || e.audit, 'said': w.said || {_INSERTED.format("e.made")}}}) AS best FROM sums s JOIN walk w ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.pos = s.n JOIN ends e ON e.state = w.state GROUP BY s.conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost, coalesce(best.audit, '') AS audit, sha256(coalesce(best.said[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM i.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op4_secrets": OP4}
+    return {"op1_quality_rules": OP1, "op4_secrets": OP4, "op11_conversation_repair": OP11}

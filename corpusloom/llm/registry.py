@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, decontaminate, language_id, oracles, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, toxicity
+from corpusloom.llm import bpe, conversation_repair, decontaminate, language_id, oracles, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,8 +63,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, *language_id.learn(docs))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_suffix_dedup, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op8_quality, op9_toxicity, op10_language)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_suffix_dedup, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op8_quality, op9_toxicity, op10_language, op11_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
