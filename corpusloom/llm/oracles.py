@@ -5,6 +5,7 @@ from __future__ import annotations
 from corpusloom.llm import conversation_repair as c
 from corpusloom.llm import quality_rules as q
 from corpusloom.llm import secrets as s
+from corpusloom.llm import variants as v
 
 WORD = r"[^\x20\x09-\x0D]+"
 _LOWER = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -81,5 +82,21 @@ SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM i.conv_id"""
 
 
+_REST = "list_transform(range(1, length({0}) + 1), lambda i: {{'at': i, 'rest': {0}[:i - 1] || {0}[i + 1:]}})"
+
+OP13 = rf"""WITH RECURSIVE said AS (SELECT id, translate(run, '{v.UPPER}', '{v.LOWER}') AS run, count(*) AS times FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(text, '[{v.LETTERS}]+')) AS run FROM documents) WHERE length(run) >= {v.LEAST} GROUP BY ALL),
+drawn AS (SELECT run, times, {_crc32("id || ':' || run")} AS h FROM said),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (SELECT CASE WHEN h % {v.DAMAGED} = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, times FROM drawn) WHERE length(word) >= {v.LEAST} GROUP BY word HAVING sum(times) >= {v.OFTEN}),
+rests AS (SELECT word, n, r.at AS at, r.rest AS rest FROM (SELECT word, n, unnest({_REST.format("word")}) AS r FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM rests a JOIN rests b ON a.rest = b.rest AND a.at = b.at AND a.word <> b.word
+ UNION SELECT r.word, w.word, w.n FROM rests r JOIN words w ON w.word = r.rest
+ UNION SELECT w.word, r.word, r.n FROM rests r JOIN words w ON w.word = r.rest),
+best AS (SELECT word, count(*) AS n_near, min({{'less': -other_n, 'other': other}}) AS b FROM near GROUP BY word),
+forms AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 2 * n THEN b.other END AS form, CASE WHEN -b.less >= 2 * n THEN -b.less END AS form_n FROM words w LEFT JOIN best USING (word)),
+way AS (SELECT word, form AS goal FROM forms WHERE form IS NOT NULL UNION ALL SELECT way.word, f.form FROM way JOIN forms f ON f.word = way.goal AND f.form IS NOT NULL),
+roots AS (SELECT way.word, goal AS root FROM way JOIN forms f ON f.word = goal AND f.form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM forms LEFT JOIN roots USING (word)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op4_secrets": OP4, "op11_conversation_repair": OP11}
+    return {"op1_quality_rules": OP1, "op4_secrets": OP4, "op11_conversation_repair": OP11, "op13_variants": OP13}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, conversation_repair, decontaminate, language_id, oracles, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, toxicity
+from corpusloom.llm import bpe, conversation_repair, decontaminate, language_id, oracles, packing, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, toxicity, variants
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,10 +29,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.secret_spans(documents(spark, sf_dir)))
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +67,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_suffix_dedup, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op8_quality, op9_toxicity, op10_language, op11_conversation_repair)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash, op3_suffix_dedup, op4_secrets, op5_bpe, op6_sharding, op7_decontaminate, op8_quality, op9_toxicity, op10_language, op11_conversation_repair, op12_packing, op13_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
