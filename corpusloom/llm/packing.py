@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,8 +31,9 @@ CAPACITY = 2048
 #: The id after each document.
 CLOSE = 0
 #: Words kept with their ids in a Python worker; longer ones are not kept.
-STORE_WORDS, SHORT = 120_000, 64
+STORE_WORDS, SHORT = 400_000, 64
 WINDOW_BYTES = 1 << 20
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -89,6 +92,8 @@ class Coder:
     """
 
     tokenizer: object
+    #: Which ids end a word.
+    ends: np.ndarray
     store: dict[str, bytes] = field(default_factory=dict)
 
     @classmethod
@@ -99,29 +104,79 @@ class Coder:
         tokenizer = Tokenizer.from_str(spec)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        return cls(tokenizer)
+        vocabulary = tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        return cls(tokenizer, ends)
+
+    def learn(self, words: list[str]) -> None:
+        """Put the ids of these words into the store. Words of letters alone are one word each to the tokenizer, so many go as one text."""
+        plain = [w for w in words if _PLAIN(w)]
+        for lo in range(0, len(plain), 20_000):
+            part = plain[lo : lo + 20_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            raw, stops = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            self.store.update((w, raw[a:b]) for w, a, b in zip(part, [0, *stops[:-1]], stops, strict=True))
+        others = [w for w in words if not _PLAIN(w)]
+        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        self.store.update((w, array("I", e.ids).tobytes()) for w, e in zip(others, found, strict=True))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where those of each text end."""
-        split = pc.ascii_split_whitespace(texts)
+        split = pc.ascii_split_whitespace(_parted(texts))
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         if len(self.store) > STORE_WORDS:
             self.store.clear()
         new = [w for w in words if w not in self.store]
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.store.update((w, np.array(e.ids, dtype=np.uint32).tobytes()) for w, e in zip(new, found, strict=True))
+        self.learn(new)
         raw = [self.store[w] for w in words]
         for w in new:
             if len(w) > SHORT:
                 del self.store[w]
-        sizes = np.array([len(x) // 4 for x in raw], dtype=np.int64)
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
         begins, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
         each = sizes[at]
         ends = np.concatenate([[0], np.cumsum(each)])
         places = np.arange(ends[-1]) + np.repeat(begins[at] - ends[:-1], each)
-        offsets = np.asarray(split.offsets) - split.offsets[0].as_py()
-        return np.frombuffer(b"".join(raw), dtype=np.uint32)[places], ends[offsets[1:]]
+        offsets = np.frombuffer(split.offsets.buffers()[1], dtype=split.offsets.type.to_pandas_dtype())[split.offsets.offset :][: len(split) + 1]
+        return np.frombuffer(b"".join(raw), dtype=np.uint32)[places], ends[offsets[1:] - offsets[0]]
+
+
+_CODES = np.arange(256)
+_ALPHA = ((_CODES | 32) >= 97) & ((_CODES | 32) <= 122)
+_DIGIT = (_CODES >= 48) & (_CODES <= 57)
+_MARK = (_CODES > 32) & (_CODES < 127) & ~_ALPHA & ~_DIGIT
+
+
+def _parted(texts: pa.Array) -> pa.Array:
+    """The texts with blanks where their words end for the tokenizer anyway, in lower case.
+
+    That is after a letter (ASCII or Latin-1) before an ASCII mark, and around a digit: no piece of
+    its pattern holds a letter and then a mark, or a digit and something else. Few words remain, so
+    that most are in the store. Texts with special strings or combining marks are left as they are.
+    """
+    texts = texts.cast(pa.large_string())
+    n = len(texts)
+    _, raw, data = texts.buffers()
+    offsets = np.frombuffer(raw, dtype=np.int64)[texts.offset : texts.offset + n + 1]
+    if data is None or offsets[-1] == offsets[0]:
+        return texts
+    buf = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    held = buf.tobytes()
+    if b"<|" in held or b"\xcc" in held or b"\xcd" in held:
+        return texts
+    letter, digit = _ALPHA[buf], _DIGIT[buf]
+    latin = np.zeros(len(buf), dtype=bool)
+    latin[1:] = (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+    cut = np.zeros(len(buf), dtype=bool)
+    cut[1:] = (letter | latin)[:-1] & _MARK[buf[1:]] | digit[:-1] | digit[1:]
+    cut[offsets[:-1][offsets[:-1] < len(buf)]] = False
+    places = np.flatnonzero(cut)
+    wide = np.insert(np.where((buf >= 65) & (buf <= 90), buf | 32, buf).astype(np.uint8), places, 32)
+    moved = offsets + np.searchsorted(places, offsets, side="left")
+    return pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(moved.astype(np.int64)), pa.py_buffer(wide)])
 
 
 def _windows(text: bytes) -> Iterator[bytes]:
@@ -138,7 +193,7 @@ def _windows(text: bytes) -> Iterator[bytes]:
 
 def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of about WINDOW_BYTES, or one longer row."""
-    sizes = pc.binary_length(texts).to_numpy()
+    sizes = pc.binary_length(texts).to_pylist()
     lo = total = 0
     for i, n in enumerate(sizes):
         if total and total + n > WINDOW_BYTES:
@@ -158,7 +213,7 @@ def _documents_ids(coder: Coder, texts: pa.Array) -> Iterator[tuple[int, np.ndar
             yield lo, np.zeros(0, dtype=np.uint32), True
         else:
             ids, ends = coder.encode(texts.slice(lo, hi - lo))
-            for k, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+            for k, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
                 yield lo + k, ids[a:b], True
 
 
