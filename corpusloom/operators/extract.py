@@ -1,14 +1,12 @@
-"""Blocks and tables from HTML and XML: parsing is a small helper inside Arrow functions."""
+"""Blocks and tables from HTML, and plain text made even: parsing is a small helper inside Arrow functions."""
 
 from __future__ import annotations
 
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from html import unescape
 from html.parser import HTMLParser
-from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -145,106 +143,12 @@ def table_cells(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
 def table_grid(cells: DataFrame) -> DataFrame:
     """Each table as a Markdown grid: a cell's text stands at its origin, bars are escaped."""
     size = cells.groupBy("doc_id", "table").agg(F.max(F.col("c") + F.col("colspan")).alias("n_cols"), F.max(F.col("r") + F.col("rowspan")).alias("n_rows"))
-    text = F.regexp_replace(F.regexp_replace("text", r"\|", r"\\\\|"), r"\n", " ")
+    text = F.regexp_replace(F.regexp_replace("text", r"\|", r"\\|"), r"\n", " ")
     rows = cells.groupBy("doc_id", "table", "r").agg(F.map_from_entries(F.collect_list(F.struct("c", text.alias("t")))).alias("m")).join(size, ["doc_id", "table"])
     line = F.concat(F.lit("| "), F.array_join(F.transform(F.sequence(F.lit(0), F.col("n_cols") - 1), lambda c: F.coalesce(F.try_element_at("m", c), F.lit(""))), " | "), F.lit(" |"))
     return rows.select("doc_id", "table", "r", line.alias("line"), "n_cols", "n_rows").groupBy("doc_id", "table").agg(F.first("n_rows").alias("n_rows"), F.first("n_cols").alias("n_cols"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r", "line"))), lambda x: x["line"]), "\n").alias("grid"))
 
 
-@dataclass(frozen=True)
-class Dialect:
-    """How XML of one kind reads: tags of units with their levels, of headings, labels and what to skip."""
-
-    units: dict[str, tuple[str, int]]
-    headings: frozenset[str] = frozenset()
-    number: str = "num"
-    skip: frozenset[str] = frozenset()
-    quoted: frozenset[str] = frozenset()
-    raised: frozenset[str] = frozenset({"sup"})
-    reserved: str = r"\[?reserved\]?"
-    tables: frozenset[str] = frozenset({"table"})
-    labels: dict[str, str] = field(default_factory=dict)
-
-    def __post_init__(self) -> None:
-        roles = {"unit": set(self.units), "heading": set(self.headings), "skipped": set(self.skip), "quoted": set(self.quoted), "raised": set(self.raised), "table": set(self.tables), "label": set(self.labels)}
-        for tag in set().union(*roles.values()):
-            held = [name for name, tags in roles.items() if tag in tags]
-            if len(held) > 1:
-                raise ValueError(f"<{tag}> is {' and '.join(held)}")
-        for tag, (unit, level) in self.units.items():
-            if not unit or not 1 <= level <= 9:
-                raise ValueError(f"<{tag}> is unit {unit!r} at level {level}")
-
-
-def _inline(node: ElementTree.Element, dialect: Dialect) -> str:
-    """Text of mixed content: raised parts after a caret, skipped parts without theirs."""
-    out = [node.text or ""]
-    for child in node:
-        if child.tag in dialect.raised:
-            out.append("^" + _inline(child, dialect))
-        elif child.tag not in dialect.skip:
-            out.append(_inline(child, dialect))
-        out.append(child.tail or "")
-    return " ".join("".join(out).split())
-
-
-def xml_blocks_of(xml: str | None, dialect: Dialect) -> list[dict]:
-    """Headings and paragraphs in reading order; a unit of nothing but 'reserved' is left out.
-
-    Inside a quoted container units are read as text: they belong to the instrument that is quoted.
-    """
-    try:
-        root = ElementTree.fromstring(xml or "")
-    except ElementTree.ParseError:
-        return []
-    out: list[dict] = []
-
-    def add(kind: str, text: str, level: int | None = None, unit: str | None = None) -> None:
-        text = clean(text)
-        if text:
-            out.append({"type": kind, "level": level, "unit": unit, "text": text})
-
-    def walk(node: ElementTree.Element, quoted: bool) -> None:
-        if node.tag in dialect.skip:
-            return
-        unit = None if quoted else dialect.units.get(node.tag)
-        if unit:
-            title = " ".join(_inline(c, dialect) for c in node if c.tag in dialect.headings)
-            rest = [c for c in node if c.tag not in dialect.headings and c.tag not in dialect.skip]
-            words = " ".join(_inline(c, dialect) for c in rest) or node.text or ""
-            if re.fullmatch(dialect.reserved, (words or title).strip(), re.I):
-                return
-            add("heading", " ".join(x for x in (node.get(dialect.number, ""), title) if x), unit[1], unit[0])
-            for child in rest:
-                walk(child, quoted)
-        elif node.tag in dialect.labels:
-            add("paragraph", f"{dialect.labels[node.tag]}: {_inline(node, dialect)}")
-        elif node.tag in dialect.tables:
-            for row in node.iter("row"):
-                add("table_row", " | ".join(_inline(c, dialect) for c in row))
-        elif len(node) and any(c.tag in dialect.units or c.tag in dialect.quoted or len(c) for c in node) and not quoted:
-            for child in node:
-                walk(child, quoted or node.tag in dialect.quoted)
-        else:
-            add("quote" if quoted or node.tag in dialect.quoted else "paragraph", _inline(node, dialect))
-
-    walk(root, False)
-    return out
-
-
-def xml_blocks(docs: DataFrame, dialect: Dialect, id_col: str, xml_col: str) -> DataFrame:
-    """(doc_id, reading_order, type, level, unit, text) of each document; XML that does not parse gives none."""
-
-    def parsed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = [(doc, i, b["type"], b["level"], b["unit"], b["text"]) for doc, xml in zip(part.doc_id, part.xml, strict=True) for i, b in enumerate(xml_blocks_of(xml, dialect))]
-            out = pd.DataFrame(rows, columns=["doc_id", "reading_order", "type", "level", "unit", "text"])
-            out["level"] = out["level"].astype("Int32")
-            yield out
-
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(xml_col).alias("xml")).mapInPandas(parsed, "doc_id long, reading_order int, type string, level int, unit string, text string")
-
-
 #: Fixed order of English months.
 MONTHS = "january february march april may june july august september october november december".split()
 

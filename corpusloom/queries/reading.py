@@ -14,7 +14,6 @@ READING = citing.Reading(
     pointer=r"\barticle\s+\d+",
     cues={"revokes": r"\b(?:revokes?|repeals?)\b", "amends": r"\bamends?\b", "based_on": r"\b(?:under|pursuant to)\b"},
 )
-DIALECT = extract.Dialect(units={"part": ("part", 1), "section": ("section", 2)}, headings=frozenset({"head"}), skip=frozenset({"note"}), quoted=frozenset({"quote"}), labels={"auth": "Authority"})
 
 
 @query("html_blocks")
@@ -60,16 +59,6 @@ def relations_extracted(spark: SparkSession, d: str) -> DataFrame:
     return citing.relations(_instrument_texts(spark, d), READING, "doc_id", "seq", "text").drop("quote")
 
 
-@query("xml_blocks", """WITH l AS (SELECT doc_id, generate_subscripts(p, 1) AS i, unnest(p) AS t FROM (SELECT doc_id, string_split(regexp_replace(text, '[^A-Za-z \n]', '', 'g'), chr(10)) AS p FROM documents)), s AS (SELECT doc_id, i, trim(regexp_replace(t, '\\s+', ' ', 'g')) AS s FROM l), k AS (SELECT * FROM s WHERE s <> '')
-SELECT doc_id, CAST(2 * row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS reading_order, 'heading' AS type, CAST(2 AS INTEGER) AS level, '1' AS text FROM k UNION ALL SELECT doc_id, CAST(2 * row_number() OVER (PARTITION BY doc_id ORDER BY i) AS INTEGER), 'paragraph', NULL, s FROM k UNION ALL SELECT DISTINCT doc_id, 0, 'heading', 1, 'title' FROM documents""")
-def xml_blocks(spark: SparkSession, d: str) -> DataFrame:
-    """Documents put into XML, a section to a line, and read back as blocks."""
-    lines = F.split(F.regexp_replace("text", "[^A-Za-z \n]", ""), "\n")
-    body = F.array_join(F.transform(F.filter(lines, lambda x: F.trim(x) != ""), lambda x: F.concat(F.lit('<section num="1"><p>'), x, F.lit("</p><note>left out</note></section>"))), "")
-    xml = F.concat(F.lit("<doc><part><head>title</head>"), body, F.lit("</part></doc>"))
-    return extract.xml_blocks(table(spark, d, "documents").select("doc_id", xml.alias("xml")), DIALECT, "doc_id", "xml").drop("unit")
-
-
 @query("outline_designations")
 def outline_designations(spark: SparkSession, d: str) -> DataFrame:
     """Line items of an order as paragraphs that are numbered by letter and figure in turn."""

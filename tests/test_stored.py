@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from corpusloom.operators import bm25, embedding, evaluate, extract, kmeans, ledger, stated
+from corpusloom.operators import bm25, embedding, evaluate, kmeans, ledger, stated, xml
 from corpusloom.plans import specs
 from corpusloom.sources import plans, tables
 
@@ -128,10 +128,10 @@ def test_split_holds_null_ids_and_strata(spark):
 
 
 def test_settings_that_clash_are_refused():
-    with pytest.raises(ValueError, match="<p> is heading and skipped"):
-        extract.Dialect(units={"s": ("section", 1)}, headings=frozenset({"p"}), skip=frozenset({"p"}))
+    with pytest.raises(ValueError, match="<p> is skipped and a leaf"):
+        xml.Dialect(units={"s": ("section", 1)}, skip=frozenset({"p"}))
     with pytest.raises(ValueError, match="level 0"):
-        extract.Dialect(units={"s": ("section", 0)})
+        xml.Dialect(units={"s": ("section", 0)})
     with pytest.raises(ValueError, match="another length"):
         kmeans.Clustering(np.ones((2, 2)), True).digest()
     assert kmeans.Clustering(np.eye(2), True).digest() != kmeans.Clustering(np.eye(2), False).digest()
