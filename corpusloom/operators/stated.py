@@ -121,7 +121,7 @@ def region_marks(paragraphs: DataFrame, regions: Mapping[str, tuple[str, str]])
             rows = [(d, s, *m) for d, s, t in zip(part.doc_id, part.seq, part.text, strict=True) for m in marks(t)]
             yield pd.DataFrame(rows, columns=["doc_id", "seq", "at", "relation", "opens"])
 
-    return paragraphs.select("doc_id", "seq", "text").mapInPandas(find, "doc_id long, seq int, at int, relation string, opens boolean")
+    return paragraphs.select("doc_id", "seq", "text").mapInPandas(find, f"doc_id {dict(paragraphs.dtypes)['doc_id']}, seq long, at int, relation string, opens boolean")
 
 
 def in_regions(citations: DataFrame, marks: DataFrame, regions: Sequence[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import estimated_tokens
@@ -56,7 +58,29 @@ def references_extracted(spark: SparkSession, d: str) -> DataFrame:
 @query("relations_extracted", r"""WITH t AS (SELECT l_orderkey AS doc_id, ['revokes','amends','references','based_on','references'][1 + l_partkey % 5] AS relation, l_partkey % 5 = 1 AS p, CAST(l_partkey AS VARCHAR) AS number, CAST(1990 + l_suppkey % 9 AS INTEGER) AS year FROM lineitem)
 SELECT doc_id, relation, 'ACT' AS type, number, year, count(*) AS mentions, bool_and(p) AS partial FROM t GROUP BY ALL""")
 def relations_extracted(spark: SparkSession, d: str) -> DataFrame:
-    return citing.relations(_instrument_texts(spark, d), READING, "doc_id", "seq", "text").drop("quote")
+    return citing.relations(_instrument_texts(spark, d), READING, "doc_id", "seq", "text").drop("quote", "seq", "inherited")
+
+
+#: What a paragraph says, by its number modulo seven; {} stands for the instrument.
+_FORMS = ("This act revokes the following:", "They are amended; this amends:", "a) {};", "(2) {} in the end;", "iv. under {} only;", "See {}.", "x) it revokes in part {}.")
+
+
+@query("relations_across_paragraphs", r"""WITH i AS (SELECT l_orderkey AS doc_id, l_linenumber AS n, min(l_partkey) AS k, min(l_suppkey) AS s FROM lineitem GROUP BY 1, 2),
+p AS (SELECT doc_id, n, 0 AS m, k % 7 AS f, k AS number, 1990 + k % 9 AS year, s % 11 = 0 AS skipped FROM i UNION ALL SELECT doc_id, n, 1, s % 7, s, 1990 + s % 9, s % 11 = 0 FROM i),
+h AS (SELECT *, last_value(CASE WHEN skipped THEN '' WHEN f = 0 THEN 'revokes' WHEN f = 1 THEN 'amends' WHEN f = 5 THEN '' END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY n, m ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS held FROM p),
+r AS (SELECT doc_id, n, m, CAST(number AS VARCHAR) AS number, CAST(year AS INTEGER) AS year, CASE f WHEN 4 THEN 'based_on' WHEN 5 THEN 'references' WHEN 6 THEN 'revokes' ELSE coalesce(nullif(held, ''), 'references') END AS relation, f = 6 AS part, f IN (2, 3) AND coalesce(held, '') <> '' AS inherited FROM h WHERE f >= 2 AND NOT skipped)
+SELECT doc_id, relation, 'ACT' AS type, number, year, count(*) AS mentions, bool_and(part) AS partial, arg_min(n, n * 2 + m) AS seq, CAST(sum(CAST(inherited AS INTEGER)) AS BIGINT) AS inherited FROM r GROUP BY doc_id, relation, number, year""")
+def relations_across_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of an order as chunks of two paragraphs: heads of lists, items that take their cue, and what ends a list."""
+    items = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("k"), F.min("l_suppkey").alias("s"))
+
+    def said(n: Column) -> Column:
+        act = F.concat(F.lit("Act No. "), n.cast("string"), F.lit(" of "), (1990 + n % 9).cast("string"))
+        return F.element_at(F.array(*[F.concat(*[x for k, part in enumerate(f.split("{}")) for x in ([act] * bool(k) + [F.lit(part)])]) for f in _FORMS]), (n % 7 + 1).cast("int"))
+
+    chunks = items.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("seq"), F.concat(said(F.col("k")), F.lit("\n \n"), said(F.col("s"))).alias("text"), F.when(F.col("s") % 11 == 0, "ANNEX II").otherwise("I").alias("chapter"))
+    reading = replace(READING, skip=("ANNEX",))
+    return citing.relations(chunks, reading, "doc_id", "seq", "text", chapter_col="chapter").drop("quote")
 
 
 @query("outline_designations")
