@@ -38,3 +38,31 @@ def _read(key: list[str], taken: list[str], keep: list[str], start: Any, step: S
             state, n = step(state, v)
             out.append(n)
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out, type=pa.int32())], names=[*keep, name])
+
+
+Fold = Callable[[Any, tuple], tuple[Any, tuple]]
+
+
+def folded(rows: DataFrame, key: list[str], order: list[str], values: dict[str, Column], start: Any, step: Fold, columns: str) -> DataFrame:
+    """Like carried, with several columns: step gives the next state and a tuple of the columns (`a int, b string`)."""
+    taken = {f"_carry_{c}": v for c, v in values.items()}
+    wide = rows.withColumns(taken).repartition(*key).sortWithinPartitions(*key, *order)
+    names, keep, types = list(taken), rows.columns, {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "long": pa.int64()}
+    made = [(c.split()[0], types[c.split()[1]]) for c in columns.split(", ")]
+    schema = T.StructType([*wide.select(*keep).schema.fields, *T._parse_datatype_string(columns).fields])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, state = None, start
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in key), strict=True)
+            given = zip(*(batch.column(c).to_pylist() for c in names), strict=True)
+            out = []
+            for k, v in zip(keys, given, strict=True):
+                if k != last:
+                    last, state = k, start
+                state, new = step(state, v)
+                out.append(new)
+            more = [pa.array(x, type=t) for (_, t), x in zip(made, zip(*out, strict=True) if out else [[] for _ in made], strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *more], names=[*keep, *(n for n, _ in made)])
+
+    return wide.mapInArrow(read, schema)

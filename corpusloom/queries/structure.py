@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators import blocks as bl
-from corpusloom.operators import chunking, factors, kmeans, mirror, relations, units
+from corpusloom.operators import chunking, factors, kmeans, mirror, relations, unit_chunks, units
 from corpusloom.queries.base import query, table
 from corpusloom.queries.blocks import BLOCKS, PATHS, _blocks, _marked
 
@@ -181,3 +181,42 @@ def sequence_gaps(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "lineitem").withColumn("p", before)
     n = F.col("l_linenumber")
     return s.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_if(n == F.col("p")).alias("repeats"), F.count_if(n > F.col("p") + 1).alias("gaps"), ((F.min(n) == 1) & (F.count_if(F.col("p").isNotNull() & (n != F.col("p") + 1)) == 0)).alias("clean"))
+
+
+#: What a line of an order is, by its part modulo six: a heading, a marker of one of two kinds, or more text.
+UNITS = unit_chunks.Chunking(split_on=("article",), min_tokens=24, max_tokens=10_000, lead=16)
+
+
+def _unit_blocks(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("int").alias("reading_order")).agg(F.min("l_partkey").alias("k"), F.min("l_suppkey").alias("s"))
+    n, words = F.col("reading_order").cast("string"), F.repeat(F.lit(" word"), (F.col("s") % 30).cast("int"))
+    kind = F.col("k") % 6
+    text = F.when(kind == 0, F.concat(F.lit("Article "), n)).when(kind == 1, F.concat(F.lit("("), n, F.lit(") said"), words)).when(kind == 2, F.concat(F.chr(96 + F.col("reading_order")), F.lit(". said"), words)).otherwise(F.concat(F.lit("so"), words))
+    return items.select("doc_id", "reading_order", F.when(kind == 0, "heading").otherwise("paragraph").alias("type"), F.when(kind == 0, 2).alias("level"), F.when(kind == 0, "article").alias("unit"), text.alias("text"), F.col("k").cast("int").alias("page"), F.concat(F.lit("Act "), F.col("doc_id").cast("string")).alias("citation"))
+
+
+UNIT_SQL = r"""i AS (SELECT l_orderkey AS doc_id, l_linenumber AS n, min(l_partkey) AS k, min(l_suppkey) AS s FROM lineitem GROUP BY 1, 2),
+b AS (SELECT doc_id, n, k, k % 6 AS f, CASE k % 6 WHEN 0 THEN 'Article ' || n WHEN 1 THEN '(' || n || ') said' || repeat(' word', CAST(s % 30 AS INTEGER)) WHEN 2 THEN chr(CAST(96 + n AS INTEGER)) || '. said' || repeat(' word', CAST(s % 30 AS INTEGER)) ELSE 'so' || repeat(' word', CAST(s % 30 AS INTEGER)) END AS text, CASE k % 6 WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE 1 END + s % 30 AS w FROM i),
+g AS (SELECT *, count(*) FILTER (WHERE f = 0) OVER o AS seg, max(CASE WHEN f = 0 THEN n END) OVER o AS head FROM b WINDOW o AS (PARTITION BY doc_id ORDER BY n)),
+m AS (SELECT *, count(*) FILTER (WHERE f IN (1, 2)) OVER o AS grp, max(CASE WHEN f = 1 THEN n END) OVER o AS num, max(CASE WHEN f = 2 THEN n END) OVER o AS let, min(CASE WHEN f = 1 THEN n END) OVER o AS num1, min(CASE WHEN f = 2 THEN n END) OVER o AS let1 FROM g WINDOW o AS (PARTITION BY doc_id, seg ORDER BY n)),
+c AS (SELECT *, CASE WHEN num IS NULL AND let IS NULL THEN '' WHEN let IS NULL THEN 'number ' || num WHEN num IS NULL THEN 'letter ' || chr(CAST(96 + let AS INTEGER)) WHEN num1 < let1 THEN 'number ' || num || CASE WHEN let > num THEN ' letter ' || chr(CAST(96 + let AS INTEGER)) ELSE '' END ELSE 'letter ' || chr(CAST(96 + let AS INTEGER)) || CASE WHEN num > let THEN ' number ' || num ELSE '' END END AS marker FROM m WHERE f <> 0),
+z AS (SELECT doc_id, seg, grp, min(head) AS head, min(marker) AS marker, sum(w) AS w, string_agg(text, chr(10) || chr(10) ORDER BY n) AS body, min(n) AS first_n, min(k) AS page, list(n ORDER BY n) AS ids FROM c GROUP BY 1, 2, 3),
+y AS (SELECT *, count(*) OVER s > 1 AND first(marker) OVER o = '' AND floor(first(w) OVER o * 1.35) <= 16 AS led, first(w) OVER o AS lw, first(body) OVER o AS lbody, first(ids) OVER o AS lids FROM z WINDOW s AS (PARTITION BY doc_id, seg), o AS (PARTITION BY doc_id, seg ORDER BY grp)),
+x AS (SELECT *, CAST(floor((w + CASE WHEN led THEN lw ELSE 0 END) * 1.35) >= 24 AS INTEGER) AS enough FROM y WHERE NOT (led AND marker = '')),
+v AS (SELECT *, least(coalesce(sum(enough) OVER (PARTITION BY doc_id, seg ORDER BY grp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), greatest(sum(enough) OVER (PARTITION BY doc_id, seg) - 1, 0)) AS plan FROM x),
+u AS (SELECT doc_id, seg, plan, min(first_n) AS first_n, min(head) AS head, arg_min(marker, grp) AS marker, count(*) AS merged, bool_or(led) AS led, min(lbody) AS lbody, min(lids) AS lids, string_agg(body, chr(10) || chr(10) ORDER BY grp) AS body, flatten(list(ids ORDER BY grp)) AS ids, min(page) AS page FROM v GROUP BY 1, 2, 3),
+t AS (SELECT *, array_to_string(list_filter([CASE WHEN head IS NOT NULL THEN 'Article ' || head END, nullif(marker, '')], lambda x: x IS NOT NULL), ' ') AS locator FROM u)"""
+
+
+@query("unit_chunks", f"""WITH {UNIT_SQL} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first_n) - 1 AS INTEGER) AS seq, locator, trim('Act ' || doc_id || ' ' || locator) AS identifier, CASE WHEN head IS NOT NULL THEN 'article' END AS unit, CASE WHEN marker <> '' THEN string_split(marker, ' ')[-2] END AS subunit, merged, sha256(CASE WHEN led THEN lbody || chr(10) || chr(10) ELSE '' END || body) AS body_hash, array_to_string(CASE WHEN led THEN lids ELSE [] END || ids, ',') AS blocks, CAST(page AS INTEGER) AS page FROM t""")
+def unit_chunks_query(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of an order as articles, numbers and letters: chunks with locators, leads and what is joined."""
+    got = unit_chunks.chunks(_unit_blocks(spark, d), UNITS)
+    return got.select("doc_id", "seq", "locator", "identifier", "unit", "subunit", "merged", F.sha2("body", 256).alias("body_hash"), F.array_join(F.col("block_ids").cast("array<string>"), ",").alias("blocks"), "page")
+
+
+@query("unit_words_missing", f"WITH {UNIT_SQL} SELECT doc_id, CAST(sum(CASE f WHEN 1 THEN 2 WHEN 2 THEN 2 ELSE 1 END + w - CASE f WHEN 1 THEN 4 WHEN 2 THEN 3 ELSE 1 END) AS BIGINT) AS n_words, CAST(0 AS BIGINT) AS missing FROM c GROUP BY doc_id")
+def unit_words_missing(spark: SparkSession, d: str) -> DataFrame:
+    """Words of the blocks against words of their chunks: none is missing."""
+    blocks = _unit_blocks(spark, d)
+    return unit_chunks.words_missing(blocks, unit_chunks.chunks(blocks, UNITS), UNITS)
