@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import rows_of
+from corpusloom.llm.common import release, rows_of
 
 #: Fixed values of byte-level BPE: how text is cut into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -275,7 +275,7 @@ def round_trip(documents: DataFrame, vocabulary_path: str, *, decoded: bool = Tr
                 if decoded:
                     out.append(pa.array([decode(vocab, x) for x in ids], type=pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "ids", "decoded"][: len(out)])
-            pa.default_memory_pool().release_unused()
+            release()
 
     return rows_of(documents, **cols).mapInArrow(encoded, schema)
 

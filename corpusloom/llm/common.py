@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -193,8 +194,15 @@ def blocks(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         hi = min(max(hi, lo + 1), n)
         yield lo, hi, Block(whole[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         lo = hi
-    # What a long text took goes back, as the worker lives on for other stages.
+    release()
+
+
+def release() -> None:
+    """Give back what a worker no longer uses, as it lives on beside those of later stages."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def signed(x: np.ndarray) -> np.ndarray:

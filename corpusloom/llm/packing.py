@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import materialise, rows_of
+from corpusloom.llm.common import materialise, release, rows_of
 
 CAPACITY = 2048
 #: The id after each document.
@@ -263,7 +263,7 @@ def pieces(documents: DataFrame, vocabulary_path: str, *, capacity: int = CAPACI
                     yield pa.RecordBatch.from_pydict(out, schema=schema)
                     for kept in out.values():
                         kept.clear()
-            pa.default_memory_pool().release_unused()
+            release()
         yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, at long" + ", ids array<int>" * keep_ids
