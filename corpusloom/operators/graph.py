@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 DAMPING = 0.85
 
 
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write df where the cluster shares files and read it back, which cuts its lineage."""
-    spark: SparkSession = df.sparkSession
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares; one of our own only where none is set and all runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
         import tempfile
@@ -21,9 +20,14 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="corpusloom-")
         spark.sparkContext.setCheckpointDir(root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write df where the cluster shares files and read it back, which cuts its lineage."""
+    path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build(identifiers: DataFrame, citations: DataFrame) -> dict[str, DataFrame]:

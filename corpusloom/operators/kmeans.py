@@ -1,4 +1,4 @@
-"""Spherical and Euclidean k-means: fitted on a bounded sample, all rows assigned by product."""
+"""Clusterings that fit in memory, and what is said of any: assignment, statistics, balance. `clusters` fits large ones as jobs."""
 
 from __future__ import annotations
 
@@ -11,9 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The sample has so many rows per cluster at most, and so many in all: what reaches the driver does not grow with the table.
 SAMPLE_PER_CLUSTER = 256
-SAMPLE = 65_536
 ROWS_PER_CLUSTER = 10_000
 
 
@@ -54,14 +52,14 @@ def _start(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return x[seeds]
 
 
-def fit_matrix(x: np.ndarray, k: int, *, spherical: bool = True, seed: int = 42, rounds: int = 30, tolerance: float = 1e-4) -> Clustering:
-    """Lloyd rounds until the centroids rest; an empty cluster gets the row that fits worst, never one without a direction if there are others."""
+def fit_matrix(x: np.ndarray, k: int, *, spherical: bool = True, seed: int = 42, rounds: int = 30, tolerance: float = 1e-4, start: np.ndarray | None = None) -> Clustering:
+    """For tables that fit in memory, as `clusters.fit` for all others: Lloyd rounds until the centroids rest; an empty cluster gets the row that fits worst, never one without a direction if there are others."""
     if k > len(x):
         raise ValueError(f"{k} clusters of {len(x)} rows")
     rng = np.random.default_rng(seed)
     if spherical:
         x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    centroids = _start(x, k, rng)
+    centroids = _start(x, k, rng) if start is None else start
     for _ in range(rounds):
         at, far = Clustering(centroids, spherical).nearest(x)
         new = np.zeros_like(centroids)
@@ -83,19 +81,6 @@ def fit_matrix(x: np.ndarray, k: int, *, spherical: bool = True, seed: int = 42,
     return Clustering(centroids, spherical)
 
 
-def sample_matrix(rows: DataFrame, id_col: str, vec_col: str, size: int, seed: int = 42) -> np.ndarray:
-    """At most `size` rows, the first by a hash of id and seed; the bound is what reaches the driver."""
-    chosen = rows.select(F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"), F.col(id_col).alias("id"), F.col(vec_col).alias("v")).orderBy("h", "id").limit(size)
-    return np.array([r.v for r in chosen.collect()], dtype=np.float64)
-
-
-def fit(rows: DataFrame, k: int, *, id_col: str, vec_col: str, spherical: bool = True, seed: int = 42, sample: int = SAMPLE) -> Clustering:
-    """Centroids of at most SAMPLE_PER_CLUSTER rows a cluster and `sample` rows in all; more clusters than that are refused."""
-    if k > sample:
-        raise ValueError(f"{k} clusters of a sample of {sample}")
-    return fit_matrix(sample_matrix(rows, id_col, vec_col, min(sample, SAMPLE_PER_CLUSTER * k), seed), k, spherical=spherical, seed=seed)
-
-
 def assign(rows: DataFrame, clustering: Clustering, *, id_col: str, vec_col: str) -> DataFrame:
     """(id, cluster_id, distance) of every row. The centroids' size is k by the dimension."""
     sent = rows.sparkSession.sparkContext.broadcast(clustering)

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 QUERY_BLOCK, ROW_BLOCK = 256, 2048
 
 
-def _matrix(vectors: list) -> np.ndarray:
-    m = np.array(vectors, dtype=np.float64)
-    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+def _parted(rows: pa.ListScalar, prefix: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of length one of a block of rows, without a Python object for each number."""
+    held = rows.values
+    m = held.field(f"{prefix}vec").flatten().to_numpy(zero_copy_only=False).reshape(len(held), -1).astype(np.float64)
+    return held.field(f"{prefix}id").to_numpy(), m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
 
 
 def _blocks(rows: DataFrame, size: int, prefix: str) -> DataFrame:
@@ -31,10 +33,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, *, id_col: str, vec_col:
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for asked, held in zip(batch.column("q_rows").to_pylist(), batch.column("r_rows").to_pylist(), strict=True):
-                ids = np.array([r["r_id"] for r in held])
-                qid = np.array([q["q_id"] for q in asked])
-                score = np.round(_matrix([q["q_vec"] for q in asked]) @ _matrix([r["r_vec"] for r in held]).T, 6)
+            for asked, held in zip(batch.column("q_rows"), batch.column("r_rows"), strict=True):
+                (qid, left), (ids, right) = _parted(asked, "q_"), _parted(held, "r_")
+                score = np.round(left @ right.T, 6)
                 if without_self:
                     score[qid[:, None] == ids[None, :]] = -np.inf
                 order = np.lexsort((np.broadcast_to(ids, score.shape), -score), axis=1)[:, :k]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import vectors as vx
-from corpusloom.operators import kmeans, knn
+from corpusloom.operators import clusters, kmeans, knn
+from corpusloom.operators.graph import scratch_folder
 from corpusloom.queries.base import query, table
 
 D = "CAST(embedding AS DOUBLE[])"
@@ -141,12 +145,27 @@ def gate_auc(spark: SparkSession, d: str) -> DataFrame:
     return out.crossJoin(refused).withColumn("floor", F.round("floor", 2))
 
 
+@query("kmeans_round", f"WITH {CENTROIDS}, e AS (SELECT cluster_id, generate_subscripts({D}, 1) AS pos, unnest({D}) / norm AS x FROM (SELECT cluster_id, embedding, sqrt(list_inner_product({D}, {D})) AS norm FROM near JOIN embeddings USING (vec_id))), m AS (SELECT cluster_id, pos, avg(x) AS m FROM e GROUP BY ALL), n AS (SELECT cluster_id, sqrt(sum(m * m)) AS n FROM m GROUP BY 1) SELECT dense_rank() OVER (ORDER BY cluster_id) - 1 AS cluster_id, CAST(pos - 1 AS INTEGER) AS pos, round(m / n, 6) AS value FROM m JOIN n USING (cluster_id)")
+def kmeans_round(spark: SparkSession, d: str) -> DataFrame:
+    """The centroids after one round of all rows from the labels' means."""
+    _, c = _label_centroids(spark, d)
+    start = spark.createDataFrame(list(enumerate(c.centroids.tolist())), "cluster_id long, center array<double>")
+    rows = clusters.vectors(_vectors(spark, d), "vec_id", "embedding")
+    new = clusters.recentred(clusters.nearest(rows, start), start)
+    return new.select("cluster_id", F.posexplode("center").alias("pos", "value")).withColumn("value", F.round("value", 6))
+
+
+def _fitted(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Centroids of k clusters and every row with its cluster."""
+    centers = clusters.fit(rows, k, id_col="vec_id", vec_col="embedding")
+    return centers, clusters.nearest(clusters.vectors(rows, "vec_id", "embedding"), centers)
+
+
 @query("kmeans_fit")
 def kmeans_fit(spark: SparkSession, d: str) -> DataFrame:
     """Cluster and distance of each vector after a fit with as many clusters as labels."""
     rows = _vectors(spark, d)
-    k = rows.select("label").distinct().count()
-    found = kmeans.assign(rows, kmeans.fit(rows, k, id_col="vec_id", vec_col="embedding"), id_col="vec_id", vec_col="embedding")
+    found = _fitted(rows, rows.select("label").distinct().count())[1]
     return found.select(F.col("id").alias("vec_id"), "cluster_id", F.round("distance", 6).alias("distance"))
 
 
@@ -156,25 +175,44 @@ def placement(spark: SparkSession, d: str) -> DataFrame:
     rows = _vectors(spark, d)
     barred = table(spark, d, "labels").where("quality = 0").select(F.col("doc_id").alias("vec_id"))
     kept = rows.join(barred, "vec_id", "left_anti")
-    k = max(2, kmeans.suggested_k(kept.count()))
-    found = kmeans.assign(kept, kmeans.fit(kept, k, id_col="vec_id", vec_col="embedding"), id_col="vec_id", vec_col="embedding")
+    found = _fitted(kept, max(2, kmeans.suggested_k(kept.count())))[1]
     return found.groupBy("cluster_id").agg(F.count("*").alias("rows"), F.round(F.avg("distance"), 6).alias("mean_distance"))
 
 
+def _parents(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    leaves = clusters.fit(_vectors(spark, d), 64, id_col="vec_id", vec_col="embedding")
+    return clusters.parents_of(leaves, least=2)
+
+
 @query("parent_level")
 def parent_level(spark: SparkSession, d: str) -> DataFrame:
     """Clusters of clusters: leaf, parent and distance, with the root of the leaves as their number."""
-    rows = _vectors(spark, d)
-    leaves = kmeans.fit(rows, 64, id_col="vec_id", vec_col="embedding").centroids
-    top = kmeans.fit_matrix(leaves, max(2, round(len(leaves) ** 0.5)))
-    at, far = top.nearest(leaves)
-    return spark.createDataFrame([(i, int(a), round(float(f), 6)) for i, (a, f) in enumerate(zip(at, far, strict=True))], "leaf long, parent long, distance double")
+    return _parents(spark, d)[1].withColumn("distance", F.round("distance", 6))
 
 
-@query("parent_problems")
+@query("parent_problems", "SELECT CAST(NULL AS VARCHAR) AS problem, CAST(NULL AS BIGINT) AS id WHERE false")
 def parent_problems(spark: SparkSession, d: str) -> DataFrame:
-    """Leaves without a parent and parents without a leaf; none if the level is sound."""
-    level = parent_level(spark, d)
-    parents = spark.range(level.select("parent").distinct().count()).withColumnRenamed("id", "parent")
-    lone = parents.join(level, "parent", "left_anti").select(F.lit("empty parent").alias("problem"), F.col("parent").alias("id"))
+    """Parents without a leaf, and leaves without a parent; none if the level is sound."""
+    top, level = _parents(spark, d)
+    lone = top.join(level, top.cluster_id == level.parent, "left_anti").select(F.lit("empty parent").alias("problem"), F.col("cluster_id").alias("id"))
     return lone.unionByName(level.where("parent is null").select(F.lit("orphan leaf").alias("problem"), F.col("leaf").alias("id")))
+
+
+@query("probe_recall")
+def probe_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Share of the ten nearest neighbours found in 8, 24 and 48 of 64 clusters, over one level and over two.
+
+    Queries are the rows whose id is divisible by 20, against all rows, which are laid out by cluster.
+    """
+    rows = _vectors(spark, d)
+    centers, placed = _fitted(rows, 64)
+    path = f"{scratch_folder(spark)}/layout-{uuid.uuid4().hex}"
+    clusters.layout(placed.select("id", "v", "cluster_id"), path, folders=16)
+    laid, asked = spark.read.parquet(path), clusters.vectors(rows.where(F.col("vec_id") % 20 == 0), "vec_id", "embedding")
+    exact = knn.top_k(rows, rows.where(F.col("vec_id") % 20 == 0), 10, id_col="vec_id", vec_col="embedding")
+    parents, out = clusters.parents_of(centers, least=2), []
+    for probes in (8, 24, 48):
+        for levels in (1, 2):
+            found = clusters.probe(laid, asked, centers, 10, probes=probes, folders=16, parents=parents if levels == 2 else None, parent_probes=probes // 8 + 2)
+            out.append(clusters.recall(found, exact).select(F.lit(levels).alias("levels"), F.lit(probes).alias("probes"), "recall"))
+    return reduce(DataFrame.unionByName, out)
