@@ -45,7 +45,7 @@ sp AS (SELECT rid, kind, v, CAST(stop AS BIGINT) AS stop, CAST(stop - length(v)
 base AS (SELECT * FROM sp WHERE kind < 3 AND (kind > 0 OR length(regexp_extract(v, '{_quoted(s.ASSIGN)}', 2)) >= {s.ASSIGN_LEAST})),
 tok AS (SELECT * FROM sp WHERE kind = 3 AND length(regexp_replace(v, '[^0-9]', '', 'g')) >= {s.CANDIDATE_DIGITS} AND length(regexp_replace(v, '[^A-Za-z]', '', 'g')) >= {s.CANDIDATE_LETTERS} AND NOT EXISTS (SELECT 1 FROM base WHERE base.rid = sp.rid AND base.start < sp.stop AND sp.start < base.stop)),
 cand AS (SELECT *, {_SECRET} AS secret FROM (SELECT * FROM base UNION ALL SELECT * FROM tok)),
-rare AS (SELECT secret FROM cand JOIN d USING (rid) GROUP BY secret HAVING count(DISTINCT owner) = 1),
+rare AS (SELECT secret FROM cand JOIN d USING (rid) GROUP BY secret HAVING count(DISTINCT owner) = 1 OR (count(DISTINCT owner) <= {s.MAX_OWNERS} AND count(DISTINCT (owner, text)) <= {s.MAX_REPOSITORIES})),
 owned AS (SELECT * FROM cand WHERE secret IN (SELECT secret FROM rare)),
 b AS (SELECT rid, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex, string_agg({_NAME}, ',' ORDER BY start, kind) AS names FROM base GROUP BY rid),
 o AS (SELECT rid, count(*) FILTER (WHERE kind = 3) AS n_owned, count(*) FILTER (WHERE kind < 3) AS n_base_owned FROM owned GROUP BY rid),

@@ -17,8 +17,9 @@ ASSIGN_LEAST = 6
 #: Candidates of the ownership method: long runs that mix letters and digits.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 CANDIDATE_DIGITS, CANDIDATE_LETTERS = 3, 3
-#: A candidate that more owners hold, or two owners or more in more repositories, is a copied example.
-MAX_OWNERS, MAX_REPOSITORIES = 1, 3
+#: A candidate that more owners hold, or two owners or more in more repositories, is a copied example: what two
+#: owners have in three places at most has been moved or shared by its owner, what they have in more is passed around.
+MAX_OWNERS, MAX_REPOSITORIES = 2, 3
 REDACTED = "[REDACTED]"
 
 
