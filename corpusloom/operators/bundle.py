@@ -17,19 +17,26 @@ def id_checks(chunks: DataFrame, vectors: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-def source_hash(ids: DataFrame) -> DataFrame:
-    """One digest of all distinct ids, in levels: BUCKET neighbouring ids, then as many digests, then the rest.
+def source_hash(ids: DataFrame, *, bucket: int = BUCKET) -> DataFrame:
+    """One digest of all distinct ids, in levels, and how many cells they lie in at first.
 
-    No group grows with the table, as long as ids are dealt out densely.
+    A cell are the ids whose SHA-256 begins alike, by as many digits as leave about `bucket` ids in
+    each, whatever the ids are; three digits fewer are a cell of the next level, of 4096 digests at most.
     """
 
     def together(order: str, text: Column) -> Column:
         return F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), text.alias("t")))), lambda x: x["t"]), ","), 256)
 
-    near = F.floor(F.col("id") / BUCKET).alias("a")
-    low = ids.select("id").distinct().groupBy(near).agg(together("id", F.col("id").cast("string")).alias("h"))
-    high = low.groupBy(F.floor(F.col("a") / BUCKET).alias("b")).agg(together("a", F.col("h")).alias("h"), F.count("*").alias("n"))
-    return high.agg(together("b", F.col("h")).alias("source_hash"), F.sum("n").alias("buckets"))
+    text = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    some = ids.select("id").distinct().withColumn("_sha", F.sha2(text, 256))
+    cells, digits = some.count() / bucket, 0
+    while 16**digits < cells:
+        digits += 1
+    level = some.groupBy(F.substring("_sha", 1, digits).alias("a")).agg(together("id", text).alias("h"), F.lit(1).cast("long").alias("n"))
+    while digits > 3:
+        digits -= 3
+        level = level.groupBy(F.substring("a", 1, digits).alias("a")).agg(together("a", F.col("h")).alias("h"), F.sum("n").alias("n"))
+    return level.agg(together("a", F.col("h")).alias("source_hash"), F.coalesce(F.sum("n"), F.lit(0)).alias("buckets"))
 
 
 def keep_sidecar(rows: DataFrame, held: DataFrame, key: str, order: list[Column], *, unique: bool = True) -> DataFrame:

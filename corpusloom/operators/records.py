@@ -117,12 +117,18 @@ def chunk_report(chunks: DataFrame, group: list[Column], tokens: str, body: str)
     empty = F.length(F.trim(body)) == 0
     rows = chunks.select(*group, F.col(tokens).alias("_n"), F.coalesce(empty, F.lit(True)).alias("_empty"), F.xxhash64(body).alias("_body"))
     names = rows.columns[: len(group)]
-    size = F.when(~F.col("_empty"), F.col("_n"))
-    # Of an even number the upper of the two middle ones: the place n / 2 counted from 0.
-    place = Window.partitionBy(*names, "_empty").orderBy("_n")
-    ranked = rows.withColumn("_at", F.row_number().over(place) - 1).withColumn("_of", F.count("*").over(Window.partitionBy(*names, "_empty")))
-    middle = F.max(F.when(~F.col("_empty") & (F.col("_at") == F.floor(F.col("_of") / 2)), F.col("_n")))
-    return ranked.groupBy(*names).agg(F.count("*").alias("chunks"), F.count_if("_empty").alias("empty"), (F.count(size) - F.countDistinct(F.when(~F.col("_empty"), F.col("_body")))).alias("repeated"), middle.alias("median_tokens"))
+    counts = rows.groupBy(*names).agg(F.count("*").alias("chunks"), F.count_if("_empty").alias("empty"))
+    full = rows.where("NOT _empty")
+    bodies = full.groupBy(*names, "_body").count().groupBy(*names).agg(F.sum(F.col("count") - 1).alias("repeated"))
+    # Of an even number the upper of the two middle ones: the place n / 2 counted from 0, sought among
+    # the sizes that occur, of which a group has few however many chunks.
+    sizes = full.groupBy(*names, "_n").count()
+    upto = F.sum("count").over(Window.partitionBy(*names).orderBy("_n"))
+    whole = F.sum("count").over(Window.partitionBy(*names))
+    middle = sizes.withColumns({"_upto": upto, "_of": whole}).where(F.col("_upto") > F.floor(F.col("_of") / 2)).groupBy(*names).agg(F.min("_n").alias("median_tokens"))
+    same = [F.col(f"a.{n}").eqNullSafe(F.col(f"b.{n}")) for n in names]
+    out = counts.alias("a").join(bodies.alias("b"), same, "left").select("a.*", F.coalesce("repeated", F.lit(0)).alias("repeated"))
+    return out.alias("a").join(middle.alias("b"), same, "left").select("a.*", "median_tokens")
 
 
 def alignment(chunks: DataFrame, vectors: DataFrame, chunk_key: str, vector_key: str) -> DataFrame:

@@ -17,7 +17,7 @@ def id_set_check(spark: SparkSession, d: str) -> DataFrame:
     return bundle.id_checks(table(spark, d, "documents").select(F.col("doc_id").alias("id")), table(spark, d, "embeddings").select(F.col("vec_id").alias("id")))
 
 
-@query("source_hash", "WITH l AS (SELECT doc_id // 4096 AS a, sha256(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id)) AS h FROM (SELECT DISTINCT doc_id FROM documents) GROUP BY 1), t AS (SELECT a // 4096 AS b, sha256(string_agg(h, ',' ORDER BY a)) AS h, count(*) AS n FROM l GROUP BY 1) SELECT sha256(string_agg(h, ',' ORDER BY b)) AS source_hash, CAST(sum(n) AS BIGINT) AS buckets FROM t")
+@query("source_hash", "WITH i AS (SELECT DISTINCT doc_id FROM documents), k AS (SELECT CAST(greatest(ceil(ln(count(*) / 4096.0) / ln(16)), 0) AS INTEGER) AS k FROM i), l AS (SELECT left(sha256(CAST(doc_id AS VARCHAR)), k) AS a, sha256(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id)) AS h FROM i, k GROUP BY 1) SELECT sha256(string_agg(h, ',' ORDER BY a)) AS source_hash, count(*) AS buckets FROM l")
 def source_hash(spark: SparkSession, d: str) -> DataFrame:
     return bundle.source_hash(table(spark, d, "documents").select(F.col("doc_id").alias("id")))
 

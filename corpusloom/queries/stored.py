@@ -11,7 +11,7 @@ from corpusloom.operators import bm25, clusters
 from corpusloom.operators.graph import scratch_folder
 from corpusloom.queries.base import ORACLES, query, table
 from corpusloom.queries.vectors import CENTROIDS, _label_centroids
-from corpusloom.sources import generations, snapshots
+from corpusloom.sources import generations, preflight, snapshots, tables
 
 
 def _root(spark: SparkSession, name: str) -> str:
@@ -68,3 +68,22 @@ def newest_generation(spark: SparkSession, d: str) -> DataFrame:
     held = generations.newest(spark, root, "extract")
     generations.clear(spark, root, "extract")
     return generations.read(spark, held, keys=docs.where("doc_id % 2 = 0").select("doc_id"))
+
+
+@query("preflight_checks", """WITH n AS (SELECT (SELECT count(*) FROM documents) AS docs, (SELECT count(*) FROM embeddings) AS vectors, (SELECT count(*) FROM labels WHERE quality = 0) AS failed, (SELECT count(*) FROM documents WHERE source IS NULL OR doc_id % 50 = 0) AS bare, (SELECT max(len(embedding)) FROM embeddings) AS dim)
+SELECT 'manifest' AS "check", 'ok' AS status, 'ok' AS strict FROM n UNION ALL SELECT 'dimension', CASE WHEN dim = 64 THEN 'ok' ELSE 'fail' END, CASE WHEN dim = 65 THEN 'ok' ELSE 'fail' END FROM n UNION ALL SELECT 'recipe', 'skipped', 'fail' FROM n UNION ALL SELECT 'canary', 'ok', 'fail' FROM n
+UNION ALL SELECT 'completeness', CASE WHEN failed / (failed + docs) > 0.5 THEN 'fail' ELSE 'ok' END, CASE WHEN docs <> vectors OR failed > 0 THEN 'fail' ELSE 'ok' END FROM n UNION ALL SELECT 'files', 'ok', 'fail' FROM n UNION ALL SELECT 'room', 'skipped', 'ok' FROM n UNION ALL SELECT 'provenance', CASE WHEN bare > 0 THEN 'skipped' ELSE 'ok' END, CASE WHEN bare > 0 THEN 'fail' ELSE 'ok' END FROM n""")
+def preflight_checks(spark: SparkSession, d: str) -> DataFrame:
+    """A bundle of documents and vectors, looked at leniently and, with a stray file in it, strictly."""
+    docs, vectors = table(spark, d, "documents"), table(spark, d, "embeddings")
+    root = _root(spark, "bundle")
+    source = F.when(F.col("doc_id") % 50 != 0, F.col("source"))
+    failed = table(spark, d, "labels").where("quality = 0").select(F.col("doc_id").cast("string").alias("key"), F.lit("bad").alias("reason"))
+    first = vectors.orderBy("vec_id").limit(1)
+    dim = vectors.agg(F.max(F.size("embedding"))).first()[0]
+    tables.seal(spark, root, {"documents": docs.select("doc_id", "text", source.alias("source_url")), "vectors": vectors}, {"dim": dim, "model": "m"}, failed=failed, canary=first)
+    asked = first.first().embedding
+    kind = preflight.preflight(spark, root, target_dim=64, vector=asked, documents="documents", tolerance=0.5, sourced="documents", allow_no_source=True)
+    first.write.mode("append").parquet(f"{root}/stray")
+    strict = preflight.preflight(spark, root, target_dim=65, deployed={"dim": dim, "model": "n"}, vector=[-x for x in asked], free_bytes=1 << 50, equal=[("documents", "vectors")], documents="documents", sourced="documents")
+    return kind.select("check", "status").join(strict.select("check", F.col("status").alias("strict")), "check")
