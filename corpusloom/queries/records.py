@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import estimated_tokens
 from corpusloom.operators import bm25, records
 from corpusloom.queries import blocks as block_queries
+from corpusloom.queries import structure as structure_queries
 from corpusloom.queries.base import ORACLES, query, table
 
 #: A table per customer of the first orders: a head row for even keys, a caption for every third.
@@ -129,14 +130,29 @@ def lexicon_load(spark: SparkSession, d: str) -> DataFrame:
     return records.lexicon_words(table(spark, d, "part").select(F.explode(F.array(line, F.lit(""))).alias("line")), "line")
 
 
-@query("all_issues", f"""SELECT CAST(doc_id AS BIGINT) AS doc_id, 'reading_order' AS rule, 'error' AS severity, count(*) AS issues FROM ({ORACLES['reading_order_issues']}) GROUP BY doc_id UNION ALL SELECT doc_id, 'text_ratio', 'warning', count(*) FROM ({ORACLES['text_ratio']}) WHERE NOT ok GROUP BY doc_id UNION ALL SELECT doc_id, 'round_trip', 'error', count(*) FROM ({ORACLES['round_trip_issues']}) GROUP BY doc_id UNION ALL SELECT doc_id, 'heading_path', 'error', count(*) FROM ({ORACLES['heading_path_issues']}) GROUP BY doc_id""")
+#: Every rule with its severity and the query that finds what breaks it.
+RULES = {"reading_order": "error", "round_trip": "error", "heading_path": "error", "invariants": "error", "repeated_ids": "error", "table_refs": "error", "text_ratio": "warning"}
+
+
+def _breaking(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """What breaks each rule: blocks of documents, and orders whose lines stand for blocks with ids and references."""
+    return {
+        "reading_order": block_queries.reading_order_issues(spark, d), "round_trip": block_queries.round_trip_issues(spark, d), "heading_path": block_queries.heading_path_issues(spark, d),
+        "invariants": structure_queries.block_invariants(spark, d), "repeated_ids": structure_queries.repeated_block_ids(spark, d).withColumnRenamed("l_orderkey", "doc_id"),
+        "table_refs": structure_queries.table_ref_issues(spark, d), "text_ratio": block_queries.text_ratio(spark, d).where("NOT ok"),
+    }
+
+
+def _issue_sql(rule: str, rows: str, where: str = "", doc: str = "doc_id") -> str:
+    return f"SELECT CAST({doc} AS BIGINT) AS doc_id, '{rule}' AS rule, '{RULES[rule]}' AS severity, count(*) AS issues FROM ({ORACLES[rows]}) {where} GROUP BY 1"
+
+
+@query("all_issues", " UNION ALL ".join([_issue_sql("reading_order", "reading_order_issues"), _issue_sql("round_trip", "round_trip_issues"), _issue_sql("heading_path", "heading_path_issues"), _issue_sql("invariants", "block_invariants"), _issue_sql("repeated_ids", "repeated_block_ids", doc="l_orderkey"), _issue_sql("table_refs", "table_ref_issues"), _issue_sql("text_ratio", "text_ratio", "WHERE NOT ok")]))
 def all_issues(spark: SparkSession, d: str) -> DataFrame:
-    rules = {"reading_order": "error", "text_ratio": "warning", "round_trip": "error", "heading_path": "error"}
-    rows = {"reading_order": block_queries.reading_order_issues(spark, d), "text_ratio": block_queries.text_ratio(spark, d).where("NOT ok"), "round_trip": block_queries.round_trip_issues(spark, d), "heading_path": block_queries.heading_path_issues(spark, d)}
-    return records.all_issues({name: (rules[name], rows[name]) for name in rules})
+    return records.all_issues({rule: (RULES[rule], rows) for rule, rows in _breaking(spark, d).items()})
 
 
-@query("valid_documents", f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({ORACLES['reading_order_issues']}))")
+@query("valid_documents", f"SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM ({ORACLES['all_issues']}) WHERE severity = 'error')")
 def valid_documents(spark: SparkSession, d: str) -> DataFrame:
     return records.valid_documents(table(spark, d, "documents"), all_issues(spark, d)).select("doc_id")
 
