@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -134,21 +135,23 @@ def _merge_side_by_side(vocab: Vocabulary, words: list[bytes], width: int) -> li
 
 
 def _merge_one(vocab: Vocabulary, word: bytes) -> np.ndarray:
-    """The same for one long word, with a tree of plain integers."""
+    """The same for one long word, with a tree in one array of integers: some 30 bytes a byte of the word."""
     if not vocab.rank_of:
         vocab.rank_of.update(zip(((int(k) >> 32, int(k) & 0xFFFFFFFF) for k in vocab.keys), vocab.ranks.tolist(), strict=True))
     n = len(word)
     width = 1 << max(1, (n - 1).bit_length())
     none = int(_NONE)
-    ids = [int(vocab.first[b]) for b in word]
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    ids = array("i", vocab.first[np.frombuffer(word, dtype=np.uint8)].tobytes())
+    after, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))
     rank_of = vocab.rank_of
 
     def value(i: int) -> int:
         r = rank_of.get((ids[i], ids[after[i]])) if after[i] < n else None
         return none if r is None else r * width + i
 
-    tree = [none] * width + [value(i) for i in range(n)] + [none] * (width - n)
+    tree = array("q", [none]) * (2 * width)
+    for i in range(n):
+        tree[width + i] = value(i)
     for x in range(width - 1, 0, -1):
         tree[x] = min(tree[2 * x], tree[2 * x + 1])
 
@@ -159,7 +162,7 @@ def _merge_one(vocab: Vocabulary, word: bytes) -> np.ndarray:
             x >>= 1
             tree[x] = min(tree[2 * x], tree[2 * x + 1])
 
-    live = [True] * n
+    live = bytearray(b"\1") * n
     while tree[1] < none:
         rank, at = divmod(tree[1], width)
         gone = after[at]
@@ -167,12 +170,12 @@ def _merge_one(vocab: Vocabulary, word: bytes) -> np.ndarray:
         after[at] = after[gone]
         if after[gone] < n:
             before[after[gone]] = at
-        live[gone] = False
+        live[gone] = 0
         put(gone, none)
         put(at, value(at))
         if before[at] >= 0:
             put(before[at], value(before[at]))
-    return np.array([x for x, on in zip(ids, live, strict=True) if on], dtype=np.int32)
+    return np.frombuffer(ids, dtype=np.int32)[np.frombuffer(live, dtype=np.uint8) > 0]
 
 
 def encode_words(vocab: Vocabulary, words: list[str]) -> None:

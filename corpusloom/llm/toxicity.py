@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -68,12 +69,40 @@ class Weights:
         return out
 
 
-def logits(texts: list[str | None], dense: np.ndarray, bias: float) -> np.ndarray:
+#: A longer text is read in windows of so many bytes, the last two words of one again at the start of the next.
+WINDOW_BYTES = 1 << 20
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _windows(text: bytes, size: int) -> Iterator[str]:
+    lo, tail = 0, b""
+    while lo < len(text):
+        gap = _GAP.search(text, min(lo + size, len(text)))
+        stop = gap.start() if gap else len(text)
+        part = tail + text[lo:stop]
+        yield part.decode()
+        tail, lo = b" ".join(part.rsplit(None, 2)[-2:]) + b" ", stop
+
+
+def _distinct(text: bytes, dense: np.ndarray, size: int) -> np.ndarray:
+    """The distinct features of a text that have a weight: no more than there are weights."""
+    found = np.zeros(0, dtype=np.int64)
+    for part in _windows(text, size):
+        at, _ = features([part])
+        found = np.union1d(found, at[dense[at] != 0])
+    return found
+
+
+def logits(texts: list[str | None], dense: np.ndarray, bias: float, *, window: int = WINDOW_BYTES) -> np.ndarray:
     """The sum of the weights of the distinct features of each text."""
-    at, row = features(texts)
+    long = {k: raw for k, t in enumerate(texts) if t and len(t) * 4 > window and len(raw := t.encode()) > window}
+    at, row = features([None if k in long else t for k, t in enumerate(texts)])
     live = dense[at] != 0
     pair = np.unique(row[live] << BITS | at[live])
-    return bias + np.bincount(pair >> BITS, weights=dense[pair & ((1 << BITS) - 1)], minlength=len(texts))
+    out = bias + np.bincount(pair >> BITS, weights=dense[pair & ((1 << BITS) - 1)], minlength=len(texts))
+    for k, raw in long.items():
+        out[k] += dense[_distinct(raw, dense, window)].sum()
+    return out
 
 
 def ftrl(examples: list[np.ndarray], labels: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, float]:
