@@ -74,12 +74,14 @@ def pagerank(nodes: DataFrame, edges: DataFrame, *, damping: float = DAMPING, to
     rank = scratch(nodes.join(out.withColumnRenamed("src", "doc_id"), "doc_id", "left").withColumn("rank", F.lit(1.0 / n)), "rank")
     if links.isEmpty():
         return rank.select("doc_id", "rank")
+    held = F.coalesce(F.sum(F.when(F.col("outs").isNull(), F.col("rank"))), F.lit(0.0)).alias("lost")
+    lost = rank.agg(held).first().lost
     for _ in range(rounds):
-        lost = rank.where(F.col("outs").isNull()).agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("v")).first().v
         share = links.join(rank.select(F.col("doc_id").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("doc_id")).agg(F.sum(F.col("rank") / F.col("outs")).alias("got"))
         base = (1 - damping) / n + damping * lost / n
         new = scratch(rank.join(share, "doc_id", "left").select("doc_id", "outs", F.col("rank").alias("old"), (F.lit(base) + damping * F.coalesce("got", F.lit(0.0))).alias("rank")), "rank")
-        moved = new.agg(F.sum(F.abs(F.col("rank") - F.col("old"))).alias("m")).first().m
+        # One look at what was written gives how far it moved and what the next round hands out.
+        moved, lost = new.agg(F.sum(F.abs(F.col("rank") - F.col("old"))), held).first()
         rank = new.drop("old")
         if moved < tolerance:
             break

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import REPLACEMENT
+from corpusloom.operators.graph import scratch
 
 WORD = r"\p{L}+"
 MIN_WORD_CHARS = 3
@@ -30,7 +31,8 @@ def judged_words(text: Column) -> Column:
 def build(docs: DataFrame, id_col: str, text_col: str, *, min_documents: int = 3, max_unknown: float = 0.3) -> DataFrame:
     """Two passes: words of enough documents, then again over documents of few unknown words only."""
     words = docs.select(F.col(id_col).alias("id"), F.explode(judged_words(F.col(text_col))).alias("w")).select("id", F.lower("w").alias("word"))
-    once = words.groupBy("id", "word").agg(F.count("*").alias("n"))
+    # Three steps read these counts; the texts are cut into words once.
+    once = scratch(words.groupBy("id", "word").agg(F.count("*").alias("n")), "words")
     first = once.groupBy("word").agg(F.count("*").alias("documents")).where(F.col("documents") >= min_documents)
     share = once.join(first.select("word", F.lit(1).alias("known")), "word", "left").groupBy("id").agg((F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)) / F.sum("n")).alias("unknown"))
     good = share.where(F.col("unknown") < max_unknown).select("id")
@@ -39,10 +41,13 @@ def build(docs: DataFrame, id_col: str, text_col: str, *, min_documents: int = 3
 
 def chunk_measures(chunks: DataFrame, lexicon: DataFrame, *, doc_col: str, chunk_col: str, text_col: str) -> DataFrame:
     """(doc, chunk, judged, unknown, chars, replaced, damaged) of each chunk."""
-    rows = chunks.select(F.col(doc_col).alias("doc"), F.col(chunk_col).alias("chunk"), F.length(text_col).cast("long").alias("chars"), (F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit(REPLACEMENT), F.lit("")))).cast("long").alias("replaced"), judged_words(F.col(text_col)).alias("words"))
-    counted = rows.select("doc", "chunk", F.explode("words").alias("w")).groupBy("doc", "chunk", F.lower("w").alias("word")).agg(F.count("*").alias("n"))
-    unknown = counted.join(lexicon.select("word"), "word", "left_anti").groupBy("doc", "chunk").agg(F.sum("n").alias("unknown"))
-    out = rows.select("doc", "chunk", "chars", "replaced", F.size("words").cast("long").alias("judged")).join(unknown, ["doc", "chunk"], "left").withColumn("unknown", F.coalesce("unknown", F.lit(0)))
+    replaced = (F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit(REPLACEMENT), F.lit("")))).cast("long")
+    rows = chunks.select(F.col(doc_col).alias("doc"), F.col(chunk_col).alias("chunk"), F.length(text_col).cast("long").alias("chars"), replaced.alias("replaced"), F.explode_outer(judged_words(F.col(text_col))).alias("w"))
+    key = ["doc", "chunk", "chars", "replaced"]
+    # A chunk without a word keeps one row, of a null word.
+    counted = rows.groupBy(*key, F.lower("w").alias("word")).agg(F.count("w").alias("n"))
+    met = counted.join(lexicon.select("word", F.lit(1).alias("known")), "word", "left")
+    out = met.groupBy(*key).agg(F.sum("n").alias("judged"), F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("unknown"))
     noisy = (F.col("judged") >= MIN_CHUNK_WORDS) & (F.col("unknown") >= CHUNK_UNKNOWN * F.col("judged"))
     return out.withColumn("damaged", (1000 * F.col("replaced") >= CHUNK_REPLACEMENT * F.greatest("chars", F.lit(1))) | noisy)
 
