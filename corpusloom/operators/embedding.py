@@ -26,6 +26,11 @@ def hash_vector(text: Column, dimension: int) -> Column:
     return F.transform(raw, lambda x: x / norm)
 
 
+def hash_items(text: Column, image_digest: Column, dimension: int) -> Column:
+    """A unit vector of a text and of the digest of the picture beside it; either may be null, not both."""
+    return hash_vector(F.concat_ws("\n", text, image_digest), dimension)
+
+
 def batches(rows: DataFrame, key: str, order: str, size: str, *, max_items: int, max_padded: int) -> DataFrame:
     """(key, order, batch): longest first, a batch holds max_items and max_padded (items by the longest) at most.
 

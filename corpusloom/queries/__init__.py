@@ -6,7 +6,7 @@ from importlib import import_module
 
 from corpusloom.queries.base import ORACLES, QUERIES, Query
 
-MODULES = ("text", "vectors", "graph", "bundle", "blocks", "evaluate", "reading", "xml", "structure", "records", "plans", "stored")
+MODULES = ("text", "vectors", "graph", "bundle", "blocks", "evaluate", "reading", "xml", "structure", "records", "plans", "stored", "readers")
 
 
 def _load() -> None:

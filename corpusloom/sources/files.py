@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.mirror import fetch_states
+
 #: Fixed types by name.
 MIME = {"html": "text/html", "htm": "text/html", "md": "text/markdown", "txt": "text/plain", "xml": "application/xml", "json": "application/json", "pdf": "application/pdf", "parquet": "application/vnd.apache.parquet"}
 
@@ -31,6 +33,44 @@ def scan(spark: SparkSession, root: str, pattern: str = "*", *, only: DataFrame
     return out if only is None else out.join(only.select("rel").distinct(), "rel", "left_semi")
 
 
+def either_case(glob: str) -> str:
+    """A glob whose suffix is met in either case: `*.xml` also finds `A.XML`."""
+    stem, dot, suffix = glob.rpartition(".")
+    if not dot or "/" in suffix:
+        return glob
+    return f"{stem}." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+
+
+def find(spark: SparkSession, roots: Sequence[str], globs: Sequence[str]) -> DataFrame:
+    """(path, bytes, modified) of files under any of the roots that a glob names, each once, in order of path.
+
+    Roots may be in any store that Spark reads. Suffixes count in either case; hidden files are left out.
+    Nothing but the listing is read. Roots that lie in each other give a file once.
+    """
+    found = None
+    for root in roots:
+        for glob in globs:
+            one = spark.read.format("binaryFile").option("pathGlobFilter", either_case(glob)).option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+            found = one if found is None else found.unionByName(one)
+    if found is None:
+        raise ValueError("no root or no glob is named")
+    return found.where(~F.regexp_extract("path", r"([^/]*)$", 1).rlike(r"^[._]")).dropDuplicates(["path"]).orderBy("path")
+
+
+def write_snapshot(wanted: DataFrame, present: DataFrame, path: str) -> int:
+    """Write the list of what was wanted, once all of it is there in the right size; how many files it has.
+
+    wanted and present: rel, size. What is missing or of another size is an error that names some of it.
+    """
+    states = fetch_states(wanted, present).where("state IN ('missing', 'conflict')")
+    some = states.orderBy("state", "rel").limit(5).collect()
+    if some:
+        raise ValueError(f"{states.count()} files are not as listed: " + ", ".join(f"{r.rel} {r.state}" for r in some))
+    listed = wanted.select("rel").distinct()
+    listed.orderBy("rel").coalesce(1).select(F.col("rel").alias("value")).write.text(path)
+    return listed.count()
+
+
 def missing(listed: DataFrame, files: DataFrame) -> DataFrame:
     """Listed files that were not found."""
     return listed.select("rel").distinct().join(files, "rel", "left_anti")
