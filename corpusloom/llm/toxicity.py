@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import crc_of_id, labelled_sample, materialise, mix
+from corpusloom.llm.common import crc_of_id, labelled_sample, materialise, mix, release
 from corpusloom.llm.lexicon import Lexicon, cuts
 
 BITS = 20
@@ -146,7 +146,7 @@ def _ordered(got: list[tuple]) -> list[tuple]:
 def _fit(rows: list[tuple], part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Weights learned from all folds but `part`, and scores and labels of that fold; PARTS: from all rows."""
     labels = np.array([r[2] for r in rows], dtype=np.float64)
-    examples = [np.append(np.asarray(r[3], dtype=np.int64), 1 << BITS) for r in rows]
+    examples = [np.append(np.asarray(r[3], dtype=np.int32), np.int32(1 << BITS)) for r in rows]
     folds = np.array([xxhash.xxh64_intdigest(r[0].to_bytes(8, "little", signed=True)) % PARTS for r in rows])
     order = np.random.default_rng(5 + part).permutation(np.flatnonzero(folds != part))
     w, b = ftrl(examples, labels, order)
@@ -176,6 +176,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "toxic",
                 ends = np.concatenate([[0], np.cumsum(np.bincount(pair >> BITS, minlength=hi - lo))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array((pair & ((1 << BITS) - 1)).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in ("doc_id", "text_hash", "label")), lists], names=["doc_id", "text_hash", "label", "x"])
+            release()
 
     def fitted(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: list[tuple] = []
@@ -185,6 +186,9 @@ def learn(documents: DataFrame, labels: DataFrame, *, label_col: str = "toxic",
         if got:
             at, value, score, label = _fit(_ordered(got), part)
             kind, a, v = (0, at, value) if part == PARTS else (1, label, score)
+            # The examples go before the worker waits for its next task.
+            got.clear()
+            release()
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind), type=pa.int32()), pa.array(a, type=pa.int32()), pa.array(v, type=pa.float64())], names=["kind", "at", "value"])
 
     described_rows = materialise(chosen.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "label", "text").mapInArrow(described, "doc_id long, text_hash long, label int, x array<int>"), "features")
@@ -222,6 +226,7 @@ def classify(documents: DataFrame, weights: Weights | None, *, id_col: str = "do
                 part = text.slice(lo, hi - lo).to_pylist()
                 score = np.zeros(hi - lo) if w is None else 1 / (1 + np.exp(-np.clip(logits(part, dense, w.bias), -30, 30)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            release()
 
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), (F.pmod(crc_of_id(F.col(id_col)), F.lit(FOLDS)) == HELD_OUT).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(judged, "doc_id long, held_out boolean, score double, predicted int")
