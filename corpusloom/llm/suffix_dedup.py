@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bwt import SHARD_BYTES, repeated_intervals
-from corpusloom.llm.common import Block, blocks, materialise, mix, signed
+from corpusloom.llm.common import Block, blocks, few, materialise, mix, signed
 
 LENGTH = 100
 GRAM = 48
@@ -233,17 +233,41 @@ def _tie(text: Column, salt: int) -> Column:
 
 
 def _keyed(documents: DataFrame, id_col: str, text_col: str, tie=_tie) -> DataFrame:
-    """doc_id, text, and a tie such that rows of one (doc_id, tie) have one text: salts are tried until it holds."""
+    """doc_id, text, and a tie such that rows of one (doc_id, tie) have one text."""
+    return _told_apart(documents, id_col, text_col, tie)[0]
+
+
+def _told_apart(documents: DataFrame, id_col: str, text_col: str, tie=_tie) -> tuple[DataFrame, DataFrame]:
+    """The rows with their tie, salts being tried until it holds; and each (doc_id, tie) that several rows have."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     for salt in range(8):
         digest = F.sha2(F.col("text").cast("binary"), 256)
-        held = rows.groupBy("doc_id", tie(F.col("text"), salt).alias("tie")).agg(F.min(digest).alias("a"), F.max(digest).alias("b"))
+        held = rows.groupBy("doc_id", tie(F.col("text"), salt).alias("tie")).agg(F.min(digest).alias("a"), F.max(digest).alias("b"), F.count("*").alias("n"))
+        held = materialise(held.where("a <> b OR n > 1"), "held")
         if held.where("a <> b").isEmpty():
-            return rows.withColumn("tie", tie(F.col("text"), salt))
+            return rows.withColumn("tie", tie(F.col("text"), salt)), held.select("doc_id", "tie")
     raise RuntimeError("texts of one id could not be told apart")
 
 
+def _without_equal(texts: DataFrame, several: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row of each (doc_id, tie), and the results of the others, which are copies, made where they lie.
+
+    So no task gets all of many equal rows.
+    """
+    same = F.col("t.doc_id").eqNullSafe(F.col("s.doc_id")) & F.col("t.tie").eqNullSafe(F.col("s.tie"))
+    kept = few(several)
+    # Written once, so that a row keeps its number.
+    equal = materialise(texts.alias("t").join(kept.alias("s"), same, "left_semi").withColumn("_row", F.monotonically_increasing_id()), "equal")
+    first = few(materialise(equal.groupBy("doc_id", "tie").agg(F.min("_row").alias("_row")).select("_row"), "first"))
+    ones = texts.alias("t").join(kept.alias("s"), same, "left_anti").unionByName(equal.join(first, "_row", "left_semi").drop("_row"))
+    copies = equal.join(first, "_row", "left_anti")
+    size = F.octet_length("text").cast("long")
+    long = size >= LENGTH
+    gone = copies.select("doc_id", size.alias("n_bytes"), F.when(long, size).otherwise(0).alias("n_removed"), long.cast("long").alias("n_spans"), F.when(long, F.lit("")).otherwise(F.col("text")).cast("binary").alias("kept"))
+    return ones, gone
+
+
 def _by_document(texts: DataFrame, marks: DataFrame, fields: list[str]) -> DataFrame:
     """Each document's marks, then its text, in one task: a union that is dealt out by document."""
     kinds = {f.name: f.dataType for f in marks.schema.fields}
@@ -517,7 +541,10 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: st
     Whole fragments are taken as equal if two 64-bit hashes and their lengths agree; all other
     strings are compared by the merged transforms.
     """
-    texts = _keyed(documents, id_col, text_col)
+    texts, several = _told_apart(documents, id_col, text_col)
+    copies = None
+    if not several.isEmpty():
+        texts, copies = _without_equal(texts, several)
     found = texts.select("doc_id", "tie", "text").mapInArrow(_fragment_rows, _FRAGMENT)
     ordered = found.repartition("value", "deal").sortWithinPartitions(*[F.expr(x) for x in _ORDER])
     repeated = materialise(ordered.mapInArrow(_repeated_rows, _REPEATED), "fragments")
@@ -530,9 +557,10 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: st
     cut = _by_document(texts, marks, ["value", "start", "count", "crowded"]).mapInArrow(_cut_out, _CUT)
     # A crowded hash is merged first where its documents lie, then its earliest strings of all tasks.
     covered = cut.repartition("value", "part").sortWithinPartitions("value", "part").mapInArrow(_merged, "doc_id long, tie long, begin int, end int")
-    copies = repeated.where("not first").select("doc_id", "tie", F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + LENGTH).cast("int").alias("end"))
-    spans = materialise(covered.unionByName(copies), "covered")
-    return _by_document(texts, spans, ["begin", "end"]).mapInArrow(_kept_bytes, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    again = repeated.where("not first").select("doc_id", "tie", F.col("start").alias("begin"), (F.col("start") + F.col("count") - 1 + LENGTH).cast("int").alias("end"))
+    spans = materialise(covered.unionByName(again), "covered")
+    out = _by_document(texts, spans, ["begin", "end"]).mapInArrow(_kept_bytes, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return out if copies is None else out.unionByName(copies)
 
 
 def digests(removed: DataFrame) -> DataFrame:

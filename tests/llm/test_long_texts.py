@@ -47,3 +47,19 @@ def test_memory_is_bounded(code, mb):
     said = subprocess.run([sys.executable, "-c", f"import resource, sys; sys.path.insert(0, {ROOT!r})\n{code}\nprint(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)"], capture_output=True, text=True, timeout=600)
     assert said.returncode == 0, said.stderr[-800:]
     assert int(said.stdout.split()[-1]) < mb
+
+
+def test_many_equal_rows_are_dealt_out(spark):
+    from corpusloom.llm import sharding, suffix_dedup
+
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(7, long)] * 400 + [(8, "short")] * 5 + [(None, long)] * 3 + [(None, None)] * 4 + [(9, long + " more"), (7, "other of seven")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = sorted((tuple(r)[:4] for r in suffix_dedup.remove_repeats(df).collect()), key=str)
+    n = len(long)
+    want = [(7, n, 0, 0)] + [(7, n, n, 1)] * 399 + [(7, 14, 0, 0)] + [(8, 5, 0, 0)] * 5 + [(None, n, n, 1)] * 3 + [(None, 0, 0, 0)] * 4 + [(9, n + 5, n, 1)]
+    assert got == sorted(want, key=str)
+    slots = {}
+    for r in sharding.assign(df).collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, slots.values())) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
