@@ -32,7 +32,7 @@ CAPACITY = 2048
 CLOSE = 0
 #: Words kept with their ids in a Python worker; longer ones are not kept.
 STORE_WORDS, SHORT = 400_000, 64
-WINDOW_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 22
 _PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 

@@ -49,8 +49,8 @@ def test_pieces_and_places(spark, docs, rows, capacity):
 
 def test_long_text_is_read_in_windows(spark, monkeypatch):
     rng = random.Random(2)
-    text = " ".join("".join(rng.choice("abcdéß.") for _ in range(rng.randint(1, 9))) for _ in range(400_000))
-    rows = [(1, text), (2, "short"), (3, "\n" * 1_200_000 + "end"), (4, "y" * 1_100_000)]
+    text = " ".join("".join(rng.choice("abcdéß.") for _ in range(rng.randint(1, 9))) for _ in range(1_000_000))
+    rows = [(1, text), (2, "short"), (3, "\n" * 4_500_000 + "end"), (4, "yz " * 1_500_000 + "y" * 200_000)]
     got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), PATH).collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == plain_pieces(rows, 2048)
 
