@@ -83,9 +83,15 @@ def relations_across_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return citing.relations(chunks, reading, "doc_id", "seq", "text", chapter_col="chapter").drop("quote")
 
 
-@query("outline_designations")
+@query("outline_designations", """WITH i AS (SELECT DISTINCT l_orderkey AS scope, l_linenumber AS seq FROM lineitem), w AS (SELECT *, max(CASE WHEN seq % 2 = 1 THEN seq END) OVER o AS last, bool_or(seq = 1) OVER o AS a, bool_or(seq IN (3, 7)) OVER (PARTITION BY scope) AS letters, bool_or(seq = 6) OVER (PARTITION BY scope) AS more, bool_or(seq IN (2, 4)) OVER o AS figure FROM i WINDOW o AS (PARTITION BY scope ORDER BY seq)),
+r AS (SELECT *, last = 5 AND figure AND NOT letters AND NOT (a AND more) AS roman FROM w)
+SELECT scope, seq, CASE WHEN roman THEN CASE WHEN a THEN '(a)' ELSE '' END || '(1)(c)' ELSE coalesce('(' || chr(CAST(96 + (last + 1) / 2 AS INTEGER)) || ')', '') END || CASE WHEN seq % 2 = 0 THEN '(1)' ELSE '' END AS designation FROM r""")
 def outline_designations(spark: SparkSession, d: str) -> DataFrame:
-    """Line items of an order as paragraphs that are numbered by letter and figure in turn."""
+    """Line items of an order as paragraphs that are numbered by letter and figure in turn.
+
+    A (c) after a figure, with neither (b) nor (d) beside it, is the Roman numeral under that figure,
+    unless (a) stands before and a figure after it, as under a letter.
+    """
     rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("scope"), F.col("l_linenumber").alias("seq"), F.when(F.col("l_linenumber") % 2 == 1, F.format_string("(%s) text", F.chr(96 + (F.col("l_linenumber") + 1) / 2))).otherwise("(1) text").alias("text"))
     return signals.outline(rows.dropDuplicates(["scope", "seq"]))
 
