@@ -4,7 +4,9 @@ import random
 import re
 from dataclasses import replace
 
-from corpusloom.operators import citing
+from pyspark.sql import functions as F
+
+from corpusloom.operators import citing, relations
 from corpusloom.queries.reading import READING
 
 HEADS = ("The act revokes these:", "It amends:", "Under which:", "Revokes and amends:")
@@ -61,3 +63,15 @@ def test_regions_hold_in_the_preamble_alone(spark):
     df = spark.createDataFrame(rows, "doc_id long, seq int, article string, text string")
     got = {(r.doc_id, r.number): r.relation for r in citing.relations(df, reading, "doc_id", "seq", "text", article_col="article").collect()}
     assert got == {(1, "1"): "based_on", (1, "2"): "based_on", (1, "3"): "amends", (1, "4"): "references", (2, "1"): "references", (3, "1"): "references"}
+
+
+def test_status_is_found_once_for_all_copies(spark):
+    """200 copies revoked by 300 others: one row with its list, not 60,000 rows on the way."""
+    ids = spark.range(500).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 200, "ACT").otherwise("ORDER").alias("type"), F.lit("").alias("body"), F.lit("1").alias("number"), F.when(F.col("id") < 200, 2000).otherwise(F.col("id").cast("int")).alias("year"))
+    edges = spark.range(200, 500).select(F.concat(F.lit("e"), "id").alias("edge_id"), F.col("id").alias("source"), F.lit("revokes").alias("relation"), F.lit("ACT").alias("target_type"), F.lit(None).cast("string").alias("target_body"), F.lit("1").alias("target_number"), F.lit(2000).alias("target_year"), F.lit("q").alias("quote"), F.lit(False).alias("partial"))
+    resolved = relations.resolve(edges.unionByName(edges.limit(1).withColumns({"edge_id": F.lit("own"), "source": F.lit(5).cast("long")})), ids)
+    assert {(r.target, r.resolution) for r in resolved.collect()} == {(0, "resolved")}
+    found = relations.instrument_status(resolved, ids).collect()
+    assert [(r.type, r.year, r.status, r.revoked_by, r.amended_by) for r in found] == [("ACT", 2000, "revoked", list(range(200, 500)), [])]
+    got = {r.doc_id: (r.status, len(r.revoked_by)) for r in relations.derive_status(resolved, ids).collect()}
+    assert got == {i: ("revoked", 300) if i < 200 else ("none_known", 0) for i in range(500)}
