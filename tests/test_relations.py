@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import citing, relations
+from corpusloom.operators import citing, relations, signals
 from corpusloom.queries.reading import READING
 
 HEADS = ("The act revokes these:", "It amends:", "Under which:", "Revokes and amends:")
@@ -75,3 +75,12 @@ def test_status_is_found_once_for_all_copies(spark):
     assert [(r.type, r.year, r.status, r.revoked_by, r.amended_by) for r in found] == [("ACT", 2000, "revoked", list(range(200, 500)), [])]
     got = {r.doc_id: (r.status, len(r.revoked_by)) for r in relations.derive_status(resolved, ids).collect()}
     assert got == {i: ("revoked", 300) if i < 200 else ("none_known", 0) for i in range(500)}
+
+
+def test_scopes_are_looked_through_beside_a_row(spark):
+    rows = spark.createDataFrame([(1, 1, [0, 4, 2]), (1, 2, [1, 1]), (1, 3, []), (1, 1, [0, 4, 2]), (2, 4, [7]), (3, 5, [1])], "doc_id int, row_id int, path array<int>")
+    scopes = spark.createDataFrame([(1, 9, [0]), (1, 8, [0, 4]), (1, 6, [0, 4]), (1, 3, [2]), (2, 5, []), (2, 4, [8])], "doc_id int, scope int, scope_path array<int>")
+    got = signals.nearest_scope(rows, scopes)
+    assert {(r.doc_id, r.row_id, r.scope) for r in got.collect()} == {(1, 1, 6), (1, 2, 3), (1, 3, 3), (2, 4, 5)} and got.count() == 4
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate")  # rows are not multiplied by scopes and grouped again
