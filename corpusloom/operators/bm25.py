@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import TOKEN, tokens
+from corpusloom.operators.graph import scratch
 
 K1, B = 1.5, 0.75
+#: Tables of terms with so many rows at most are sent to the tasks, so that no task gets all rows of a common term.
+FEW_TERMS = 100_000
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str, *, only: DataFrame | None = None) -> DataFrame:
@@ -36,25 +39,29 @@ def vocabulary(counts: DataFrame, stats: DataFrame, max_features: int | None = N
         df = df.orderBy(F.desc("df"), "term").limit(max_features)
         df = df.withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("long"))
     n, d = F.col("n_docs"), F.col("df")
-    return df.crossJoin(F.broadcast(stats)).withColumn("idf", F.log(1 + (n - d + 0.5) / (d + 0.5))).drop("n_docs", "avgdl")
+    out = df.crossJoin(F.broadcast(stats)).withColumn("idf", F.log(1 + (n - d + 0.5) / (d + 0.5))).drop("n_docs", "avgdl")
+    return F.broadcast(out) if max_features is not None and max_features <= FEW_TERMS else out
 
 
-def weights(counts: DataFrame, vocab: DataFrame, stats: DataFrame, *, k1: float = K1, b: float = B) -> DataFrame:
-    """(id, term, weight) of each document's terms that are in the vocabulary."""
-    joined = counts.join(vocab.select("term", "idf"), "term").crossJoin(F.broadcast(stats.select("avgdl")))
+def weights(counts: DataFrame, vocab: DataFrame, stats: DataFrame, *, k1: float = K1, b: float = B, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, term, weight) of each document's terms that are in the vocabulary, with the columns of it to keep."""
+    joined = counts.join(vocab.select("term", "idf", *keep), "term").crossJoin(F.broadcast(stats.select("avgdl")))
     tf = F.col("tf")
     weight = F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
-    return joined.withColumn("weight", weight).where("weight > 0").select("id", "term", "weight")
+    return joined.withColumn("weight", weight).where("weight > 0").select("id", "term", "weight", *keep)
 
 
 def top_documents(docs: DataFrame, queries: DataFrame, k: int, *, doc_id: str, query_id: str, text_col: str = "text") -> DataFrame:
     """The k best documents of each query: an inverted index joined with the query's distinct terms."""
     asked = queries.select(F.col(query_id).alias("qid"), F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
-    # Only terms that a query asks for are counted; a term's documents are all among these rows.
-    counts = term_counts(docs, doc_id, text_col, only=asked.select("term").distinct())
-    stats = statistics(docs, doc_id, text_col)
-    index = weights(counts, vocabulary(counts, stats), stats)
-    score = index.join(asked, "term").groupBy("qid", "id").agg(F.round(F.sum("weight"), 6).alias("score"))
+    # Only terms that a query asks for are counted, and once; a term's documents are all among these rows.
+    counts = scratch(term_counts(docs, doc_id, text_col, only=asked.select("term").distinct()), "counts").hint("merge")
+    stats = scratch(statistics(docs, doc_id, text_col), "stats")
+    wanted = scratch(asked.join(vocabulary(counts, stats), "term").select("qid", "term", "idf"), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= FEW_TERMS else wanted.hint("merge")
+    # Dealt out by document before queries multiply them, so that scores are added up where they are.
+    index = weights(counts.repartition("id"), wanted, stats, keep=("qid",))
+    score = index.groupBy("qid", "id").agg(F.round(F.sum("weight"), 6).alias("score"))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "id")
     return score.withColumn("rank", F.row_number().over(best).cast("long")).where(F.col("rank") <= k).select(F.col("qid").alias(query_id), F.col("id").alias(doc_id), "rank", "score")
 

@@ -339,3 +339,20 @@ def test_folds_carry_over_batches_and_null_keys(spark):
     assert {(r.doc_id, r.reading_order): r.group for r in chunking.coalesce_small(sized, "doc_id", "reading_order", "size", 20).collect()} == group
     assert {(r.doc_id, r.reading_order): r.segment for r in units.segments(df, (2,)).collect()} == segment
     assert chunking.pack(df.limit(0), ["doc_id"], 30).count() == 0
+
+
+def test_no_task_gets_all_rows_of_a_common_term(spark):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("the of w"), "id").alias("text"))
+    asked = spark.createDataFrame([(1, "the w3"), (2, "of w4 w5")], "item_id long, text string")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stats = bm25.statistics(docs, "doc_id", "text")
+        counts = bm25.term_counts(docs, "doc_id", "text")
+        made = bm25.weights(counts, bm25.vocabulary(counts, stats, 500), stats)
+        best = bm25.top_documents(docs, asked, 2, doc_id="doc_id", query_id="item_id")
+        for df in (made, best):
+            assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        assert {(r.item_id, r.rank, r.doc_id) for r in best.collect()} == {(1, 1, 3), (1, 2, 0), (2, 1, 4), (2, 2, 5)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
