@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import bm25, clusters
-from corpusloom.operators.graph import scratch_folder
+from corpusloom.operators.graph import scratch, scratch_folder
 from corpusloom.queries.base import ORACLES, query, table
 from corpusloom.queries.vectors import CENTROIDS, _label_centroids
 from corpusloom.sources import generations, preflight, snapshots, tables
@@ -47,11 +47,12 @@ def relabel_rewrite(spark: SparkSession, d: str) -> DataFrame:
 def bm25_by_shard(spark: SparkSession, d: str) -> DataFrame:
     """Vectors of documents shard by shard by one fit: the first run makes a third of the shards, the second the rest."""
     docs, path = table(spark, d, "documents").withColumn("shard", F.col("doc_id") % 9), _root(spark, "sparse")
-    stats = bm25.statistics(docs, "doc_id", "text")
-    vocab = bm25.vocabulary(bm25.term_counts(docs, "doc_id", "text"), stats, 500)
+    stats = scratch(bm25.statistics(docs, "doc_id", "text"), "stats")
+    # One fit for all runs: written once, and small.
+    vocab = F.broadcast(scratch(bm25.vocabulary(bm25.term_counts(docs, "doc_id", "text"), stats, 500), "vocab"))
 
     def transform(rows: DataFrame) -> DataFrame:
-        return bm25.weights(bm25.term_counts(rows, "doc_id", "text"), vocab, stats).join(rows.select(F.col("doc_id").alias("id"), "shard"), "id")
+        return bm25.weights(bm25.term_counts(rows, "doc_id", "text", only=vocab), vocab, stats).join(rows.select(F.col("doc_id").alias("id"), "shard"), "id")
 
     generations.transform_shards(docs.where("shard < 3"), "shard", transform, path)
     generations.transform_shards(docs, "shard", transform, path)
