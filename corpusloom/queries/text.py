@@ -61,8 +61,9 @@ def bm25_vocab(spark: SparkSession, d: str) -> DataFrame:
 @query("bm25_doc_vectors", f"WITH {COUNTS}, top AS (SELECT * FROM vocab ORDER BY df DESC, term LIMIT 500) SELECT doc_id, term, round({WEIGHT}, 6) AS weight FROM counts JOIN top USING (term), stats WHERE {WEIGHT} > 0")
 def bm25_doc_vectors(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    counts, stats = bm25.term_counts(docs, "doc_id", "text"), bm25.statistics(docs, "doc_id", "text")
-    w = bm25.weights(counts, bm25.vocabulary(counts, stats, 500), stats)
+    stats = bm25.statistics(docs, "doc_id", "text")
+    vocab = bm25.vocabulary(bm25.term_counts(docs, "doc_id", "text"), stats, 500)
+    w = bm25.weights(bm25.term_counts(docs, "doc_id", "text", only=vocab), vocab, stats)
     return w.select(F.col("id").alias("doc_id"), "term", F.round("weight", 6).alias("weight"))
 
 
