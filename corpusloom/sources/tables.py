@@ -114,12 +114,13 @@ def seal(spark: SparkSession, path: str, parts: Mapping[str, DataFrame], recipe:
         if counts[a] != counts[b]:
             raise ValueError(f"{a} has {counts[a]} rows and {b} has {counts[b]}")
     none = spark.createDataFrame([], "key string, reason string")
-    (none if failed is None else failed).coalesce(1).write.mode("overwrite").json(f"{root}/failed")
+    (none if failed is None else failed).write.mode("overwrite").json(f"{root}/failed")
     if canary is not None:
         canary.limit(1).write.mode("overwrite").json(f"{root}/reference")
-    sums = checksums(spark, root)
-    # One row a file; the manifest holds what the files' hashes give together, the table each of them.
-    sums.coalesce(1).write.mode("overwrite").parquet(f"{root}/_checksums")
+    # One row a file, gathered after the files are hashed in as many tasks as they fill; the manifest
+    # holds what the files' hashes give together, the table each of them.
+    checksums(spark, root).repartition(1).write.mode("overwrite").parquet(f"{root}/_checksums")
+    sums = spark.read.parquet(f"{root}/_checksums")
     together = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), ","), 256)
     # In two steps, so that no group holds all files of a part.
     some = sums.groupBy(F.substring_index("rel", "/", 1).alias("part"), F.substring("sha256", 1, 3).alias("cell")).agg(together("sha256").alias("sum"))

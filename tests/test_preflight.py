@@ -65,6 +65,20 @@ def test_files_that_are_new_or_altered(spark, tmp_path):
     assert got["files"][0] == "fail" and got["files"][1].startswith("1 new: chunks/") and got["completeness"] == ("fail", "chunks: 4 rows, 3 by the manifest") and got["canary"][0] == "fail"
 
 
+def test_files_are_hashed_in_many_tasks(spark, tmp_path, monkeypatch):
+    plain, root = tables.checksums, str(tmp_path / "x")
+    # The task stands where a file's size would be.
+    monkeypatch.setattr(tables, "checksums", lambda *a: plain(*a).withColumn("bytes", F.spark_partition_id().cast("long")))
+    held = tables.seal(spark, root, {"chunks": spark.range(80).repartition(8)}, {"dim": 1})
+    sums = spark.read.parquet(f"{root}/_checksums").collect()
+    assert len({r.bytes for r in sums}) > 1 and len(list(tmp_path.glob("x/_checksums/*.parquet"))) == 1
+    by = {}
+    for r in sums:
+        by.setdefault(r.rel.split("/")[0], {}).setdefault(r.sha256[:3], []).append(r.sha256)
+    digest = lambda x: hashlib.sha256(",".join(sorted(x)).encode()).hexdigest()
+    assert held.checksums == {part: digest([digest(v) for v in cells.values()]) for part, cells in by.items()}
+
+
 def test_source_hash_in_levels(spark):
     ids = [*(f"id-{k}" for k in range(300)), None]
     df = spark.createDataFrame([(i,) for i in [*ids, "id-1"]], "id string").repartition(5)
