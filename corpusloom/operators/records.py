@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from corpusloom.functions.sliced import each_text
 from corpusloom.functions.text import CONTROL
 
 
@@ -149,13 +150,9 @@ def reproduced(old: DataFrame, new: DataFrame, key: str, least: float) -> DataFr
     return c.agg(F.count("*").alias("compared"), F.round(F.min("c"), 5).alias("worst"), F.round(F.avg("c"), 5).alias("mean"), F.min_by(key, F.struct(F.round("c", 9), key)).alias("worst_key"), (F.min("c") >= least).alias("same"))
 
 
-def _composed(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
-
-
 def repaired(text: Column) -> Column:
     """Composed characters (NFC) without control characters."""
-    return F.regexp_replace(pandas_udf(_composed, "string")(text), CONTROL, "")
+    return F.regexp_replace(each_text(text, lambda t: None if t is None else unicodedata.normalize("NFC", t), "string"), CONTROL, "")
 
 
 def lexicon_words(lines: DataFrame, line: str) -> DataFrame:
