@@ -18,7 +18,11 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str, *, only: DataFrame
 
     With `only`, a table of terms, no other term is counted or shuffled; lengths are of all tokens.
     """
-    words = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("words"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if only is None:
+        # All terms weigh more than the texts, which are dealt out by id instead; terms are counted where they are cut.
+        texts = texts.repartition("id")
+    words = texts.select("id", tokens(F.col("text")).alias("words"))
     terms = words.select("id", F.size("words").alias("dl"), F.explode("words").alias("term"))
     if only is not None:
         terms = terms.join(only.select("term"), "term", "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import estimated_tokens
 from corpusloom.operators import bm25, records
+from corpusloom.operators.graph import scratch
 from corpusloom.queries import blocks as block_queries
 from corpusloom.queries import structure as structure_queries
 from corpusloom.queries.base import ORACLES, query, table
@@ -65,9 +66,10 @@ def chunk_identifiers(spark: SparkSession, d: str) -> DataFrame:
 def sparse_literals(spark: SparkSession, d: str) -> DataFrame:
     """The sparse vectors of documents over the vocabulary's 500 terms as literals."""
     docs = table(spark, d, "documents")
-    counts, stats = bm25.term_counts(docs, "doc_id", "text"), bm25.statistics(docs, "doc_id", "text")
-    vocab = bm25.vocabulary(counts, stats, 500)
-    return records.sparse_literal(bm25.weights(counts, vocab, stats), vocab, 500)
+    stats = scratch(bm25.statistics(docs, "doc_id", "text"), "stats")
+    # One fit, written once and small; then only its terms are counted.
+    vocab = F.broadcast(scratch(bm25.vocabulary(bm25.term_counts(docs, "doc_id", "text"), stats, 500), "vocab"))
+    return records.sparse_literal(bm25.weights(bm25.term_counts(docs, "doc_id", "text", only=vocab), vocab, stats), vocab, 500)
 
 
 @query("gathered_blocks", "WITH f AS (SELECT conv_id, trim(text) AS t, min(turn) AS o FROM conversations WHERE role = 'user' AND trim(text) <> '' GROUP BY ALL) SELECT conv_id, count(*) AS texts, string_agg(t, chr(10) ORDER BY o, t) AS joined FROM f GROUP BY conv_id")

@@ -9,7 +9,7 @@ from html.parser import HTMLParser
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import readers, xml
+from corpusloom.operators import bm25, readers, xml
 from corpusloom.queries import queries
 from corpusloom.sources import files
 
@@ -79,6 +79,22 @@ def test_table_grids(spark):
     assert {k for k in want if re.sub(r"\s+", " ", got[k]) != re.sub(r"\s+", " ", want[k])} == set()
 
 
+def test_all_terms_are_counted_where_texts_are_cut(spark):
+    """Texts are shuffled by id, terms are not; rows of one id and length are counted together as before."""
+    docs = spark.createDataFrame([(1, "aa bb aa"), (1, "aa cc cc"), (1, "aa"), (2, None), (None, "bb bb")], "id long, text string")
+    counts = bm25.term_counts(docs, "id", "text")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_COL" in plan
+    got = {(r.id, r.term, r.tf, r.dl) for r in counts.collect()}
+    assert got == {(1, "aa", 3, 3), (1, "bb", 1, 3), (1, "cc", 2, 3), (1, "aa", 1, 1), (None, "bb", 2, 2)}
+
+
+def test_sparse_literals_count_terms_of_the_vocabulary_alone(spark, monkeypatch):
+    asked, plain = [], bm25.term_counts
+    monkeypatch.setattr(bm25, "term_counts", lambda *a, **k: asked.append("only" in k) or plain(*a, **k))
+    assert queries()["sparse_literals"](spark, D).count() > 0 and asked == [False, True]
+
+
 def test_sparse_literals(spark):
     weights = queries()["bm25_doc_vectors"](spark, D)
     place = {t: k + 1 for k, t in enumerate(sorted(r.term for r in weights.select("term").distinct().collect()))}
