@@ -74,7 +74,9 @@ def relations_of(text: str | None, reading: Reading, inherited: str | None = Non
     in its paragraph, or else `inherited`, the one of the paragraph that did.
     """
     out, carried = [], inherited
-    for offset, sentence in sentences_of(text or "", reading.sentence_end):
+    if not text or not re.search(reading.citation, text, re.I):
+        return out
+    for offset, sentence in sentences_of(text, reading.sentence_end):
         item = re.match(r"\s*(?:[a-z]|\d+)[.)]\s", sentence)
         cues = sorted((m.start(), m.end(), name) for name, p in reading.cues.items() for m in re.finditer(p, sentence, re.I))
         acting = [c for c in cues if not re.search(reading.negation, sentence[max(0, c[0] - 12) : c[0]], re.I)]
@@ -159,5 +161,6 @@ def relations(chunks: DataFrame, reading: Reading, id_col: str, seq_col: str, te
         marks = region_marks(texts.where("preamble").select("doc_id", F.col("place").alias("seq"), "text"), reading.regions)
         rows = in_regions(rows, marks, list(reading.regions)).withColumn("relation", F.coalesce(F.when(F.col("preamble"), F.col("region")), F.col("relation")))
     rows = rows.withColumn("relation", F.when(F.col("lowered"), "references").otherwise(F.col("relation")))
+    # A place begins with its chunk, and numbers alone are added up without sorting where quotes are not asked for.
     first = F.struct("seq", "start")
-    return rows.groupBy("doc_id", "relation", "type", "number", "year").agg(F.count("*").alias("mentions"), F.bool_and("partial").alias("partial"), F.min_by("quote", first).alias("quote"), F.min_by("chunk", first).alias("seq"), F.sum(F.col("inherited").cast("long")).alias("inherited"))
+    return rows.groupBy("doc_id", "relation", "type", "number", "year").agg(F.count("*").alias("mentions"), F.bool_and("partial").alias("partial"), F.min_by("quote", first).alias("quote"), F.shiftright(F.min("seq"), 20).alias("seq"), F.sum(F.col("inherited").cast("long")).alias("inherited"))

@@ -84,3 +84,13 @@ def test_scopes_are_looked_through_beside_a_row(spark):
     assert {(r.doc_id, r.row_id, r.scope) for r in got.collect()} == {(1, 1, 6), (1, 2, 3), (1, 3, 3), (2, 4, 5)} and got.count() == 4
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate")  # rows are not multiplied by scopes and grouped again
+
+
+def test_numbers_of_relations_are_added_up_without_sorting(spark):
+    from corpusloom.operators import citing
+    from corpusloom.queries.reading import READING
+
+    chunks = spark.createDataFrame([(1, 7, "none here"), (1, 9, "See act 3 of 1999.\n\nSee act 3 of 1999."), (1, 8, "first\n\nSee act 3 of 1999.")], "d long, s int, t string")
+    got = citing.relations(chunks, READING, "d", "s", "t").drop("quote")
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [(r.seq, r.mentions) for r in got.collect()] == [(8, 3)]
