@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.graph import dealt
+
 MAX_LEVEL = 9
 #: Fixed forms of the block dialect.
 AMBIGUOUS = r"^(?:\\|#{1,9}\s|-\s|\$\$|<!--)"
@@ -141,7 +143,8 @@ def text_ratio(blocks: DataFrame, least: float = 0.30) -> DataFrame:
 
 
 def repeated_ids(rows: DataFrame, id_col: str) -> DataFrame:
-    return rows.groupBy(id_col).count().where("count > 1")
+    """(id, count) of ids that several rows have."""
+    return dealt(rows, id_col).groupBy(id_col).count().where("count > 1")
 
 
 def path_issues(blocks: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.graph import dealt
+
 
 def fetch_states(wanted: DataFrame, present: DataFrame) -> DataFrame:
     """(rel, state) of wanted files: present, conflict (another size) or missing; and files nobody wants."""
@@ -29,10 +31,15 @@ def export(chunks: DataFrame, signals: DataFrame, key: str) -> DataFrame:
 
 
 def reference_issues(blocks: DataFrame, tables: DataFrame) -> DataFrame:
-    """(doc_id, ref, rule): references to no table, tables that no block or several blocks refer to."""
-    used = blocks.where(F.col("ref").isNotNull()).groupBy("doc_id", "ref").agg(F.count("*").alias("n"))
-    both = used.join(tables.select("doc_id", F.col("table_id").alias("ref"), F.lit(1).alias("there")), ["doc_id", "ref"], "full_outer")
-    rule = F.when(F.col("there").isNull(), "dangling").when(F.col("n").isNull(), "orphan").when(F.col("n") > 1, "multiple")
+    """(doc_id, ref, rule): references to no table, tables that no block or several blocks refer to.
+
+    Both are counted in one grouping, without sorting either. Nulls refer to nothing.
+    """
+    used = blocks.where(F.col("ref").isNotNull()).select("doc_id", "ref", F.lit(1).alias("n"), F.lit(0).alias("there"))
+    known = tables.select("doc_id", F.col("table_id").alias("ref"), F.lit(0).alias("n"), F.lit(1).alias("there"))
+    apart = F.when(F.col("doc_id").isNull() | F.col("ref").isNull(), F.col("there"))
+    both = dealt(used.unionByName(known), "doc_id", "ref").groupBy("doc_id", "ref", apart.alias("_apart")).agg(F.sum("n").alias("n"), F.max("there").alias("there"))
+    rule = F.when(F.col("there") == 0, "dangling").when(F.col("n") == 0, "orphan").when(F.col("n") > 1, "multiple")
     return both.select("doc_id", "ref", rule.alias("rule")).where("rule is not null")
 
 

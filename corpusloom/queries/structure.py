@@ -87,7 +87,7 @@ def dataset_export(spark: SparkSession, d: str) -> DataFrame:
 @query("table_ref_issues", "WITH b AS (SELECT l_orderkey AS doc_id, CAST(l_partkey % 4 AS VARCHAR) AS ref, count(*) AS n FROM lineitem GROUP BY ALL), t AS (SELECT DISTINCT o_orderkey AS doc_id, CAST(k AS VARCHAR) AS ref FROM orders, range(3) r(k)) SELECT coalesce(b.doc_id, t.doc_id) AS doc_id, coalesce(b.ref, t.ref) AS ref, CASE WHEN t.ref IS NULL THEN 'dangling' WHEN b.ref IS NULL THEN 'orphan' ELSE 'multiple' END AS rule FROM b FULL JOIN t ON b.doc_id = t.doc_id AND b.ref = t.ref WHERE t.ref IS NULL OR b.ref IS NULL OR n > 1")
 def table_ref_issues(spark: SparkSession, d: str) -> DataFrame:
     blocks = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), (F.col("l_partkey") % 4).cast("string").alias("ref"))
-    tables = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.explode(F.array(*[F.lit(str(k)) for k in range(3)])).alias("table_id")).distinct()
+    tables = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.explode(F.array(*[F.lit(str(k)) for k in range(3)])).alias("table_id"))
     return mirror.reference_issues(blocks, tables)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from corpusloom.functions import text as tx
 from corpusloom.functions import vectors as vx
-from corpusloom.operators import bm25, bundle, chunking, citing, embedding, evaluate, extract, factors, graph, kmeans, knn, ledger, relations, signals, units
+from corpusloom.operators import bm25, bundle, chunking, citing, embedding, evaluate, extract, factors, graph, kmeans, knn, ledger, mirror, relations, signals, units
 from corpusloom.operators import blocks as bl
 from corpusloom.plans import specs
 from corpusloom.queries.reading import READING
@@ -356,3 +356,22 @@ def test_no_task_gets_all_rows_of_a_common_term(spark):
         assert {(r.item_id, r.rank, r.doc_id) for r in best.collect()} == {(1, 1, 3), (1, 2, 0), (2, 1, 4), (2, 2, 5)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
+def test_reference_issues_are_dealt_out_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(graph, "ROWS_PER_TASK", 50)
+    blocks = spark.createDataFrame([(d, r) for d in range(60) for r in ("a", "a", "x", None)] + [(None, "a")], "doc_id long, ref string")
+    tables = spark.createDataFrame([(d, t) for d in range(60) for t in ("a", "b", "b")] + [(None, "a")], "doc_id long, table_id string")
+    got = mirror.reference_issues(blocks, tables)
+    want = [(d, r, rule) for d in range(60) for r, rule in (("a", "multiple"), ("b", "orphan"), ("x", "dangling"))]
+    assert sorted(((r.doc_id, r.ref, r.rule) for r in got.where("doc_id IS NOT NULL").collect())) == want
+    assert sorted((r.ref, r.rule) for r in got.where("doc_id IS NULL").collect()) == [("a", "dangling"), ("a", "orphan")]
+    # However few bytes 363 rows have, no task is given all of them.
+    assert got.rdd.getNumPartitions() == 8
+
+
+def test_repeated_ids_are_dealt_out_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(graph, "ROWS_PER_TASK", 50)
+    got = bl.repeated_ids(spark.createDataFrame([(n % 300,) for n in range(303)], "k long"), "k")
+    assert sorted((r.k, r["count"]) for r in got.collect()) == [(0, 2), (1, 2), (2, 2)]
+    assert got.rdd.getNumPartitions() == 7
